@@ -13,9 +13,8 @@ from provfin.refdata import FILE_YEAR_PATTERN, LINE_HEADERS, PROVIDER_HEADERS
 
 def derive_financial_year(file_name: str) -> str:
     """``..._2023-24.csv`` -> ``2023/24``; a name without a year stops the job."""
-    year = f"regexp_replace(regexp_extract({file_name}, r'{FILE_YEAR_PATTERN}', 0), '-', '/')"
-    problem = f"raise_error(concat('Cannot extract financial year from: ', {file_name}))"
-    return f"CASE WHEN {file_name} RLIKE r'{FILE_YEAR_PATTERN}' THEN {year} ELSE {problem} END"
+    year = f"replace(regexp_extract({file_name}, r'{FILE_YEAR_PATTERN}', 0), '-', '/')"
+    return f"coalesce(nullif({year}, ''), raise_error(concat('Cannot extract financial year from: ', {file_name})))"
 
 
 def derive_trust_type(file_name: str) -> str:
@@ -36,41 +35,45 @@ def resolve_headers(raw: DataFrame, headers: dict[str, list[str]], optional: tup
     return raw.selectExpr(*resolved, "source_file")
 
 
-def _text(name: str) -> str:
-    """Trimmed text; blank, and the text form of a missing value, are NULL."""
-    return f"CASE WHEN lower(trim({name})) NOT IN ('', 'nan') THEN trim({name}) END"
+def _given(*names: str) -> str:
+    """True if every text is there: not NULL, not blank, and not the text form of a missing value."""
+    return " AND ".join(f"lower(trim({name})) NOT IN ('', 'nan')" for name in names)
 
 
 def clean_lines(raw: DataFrame) -> DataFrame:
     """Current-year account lines. Totals may hold separators; unreadable ones are 0, fractions are cut."""
-    number = "try_cast(try_cast(replace(trim(total), ',', '') AS DOUBLE) AS BIGINT)"
+    number = "try_cast(try_cast(replace(total, ',', '') AS DOUBLE) AS BIGINT)"
     return (
         resolve_headers(raw, LINE_HEADERS)
-        .filter("main_code IS NULL OR main_code NOT LIKE '%PY%'")
+        .filter("main_code IS NULL OR NOT contains(main_code, 'PY')")
+        .filter(_given("organisation_name", "sub_code", "total"))
         .selectExpr(
-            f"{_text('organisation_name')} AS organisation_name",
-            f"{_text('worksheet_name')} AS worksheet_name",
-            "try_cast(trim(table_id) AS SMALLINT) AS table_id",
-            f"{_text('main_code')} AS main_code",
-            "try_cast(trim(row_num) AS BIGINT) AS row_num",
-            f"{_text('sub_code')} AS sub_code",
-            f"CASE WHEN {_text('total')} IS NOT NULL THEN coalesce({number}, 0) END AS total",
+            "trim(organisation_name) AS organisation_name",
+            "trim(worksheet_name) AS worksheet_name",
+            "try_cast(table_id AS SMALLINT) AS table_id",
+            "trim(main_code) AS main_code",
+            "try_cast(row_num AS BIGINT) AS row_num",
+            "trim(sub_code) AS sub_code",
+            f"coalesce({number}, 0) AS total",
             "source_file",
             "'CY' AS year_type",
             f"{derive_trust_type('source_file')} AS trust_type",
             f"{derive_financial_year('source_file')} AS financial_year",
         )
-        .dropna(subset=["organisation_name", "sub_code", "total"])
     )
 
 
 def clean_providers(raw: DataFrame, code_length: int = 3) -> DataFrame:
     """Provider list rows with a well-formed code."""
     rows = resolve_headers(raw, PROVIDER_HEADERS, optional=("region", "sector", "comments"))
-    return rows.selectExpr(
-        f"{_text('organisation_name')} AS organisation_name",
-        f"{_text('org_code')} AS org_code",
-        *[c for c in rows.columns if c not in ("organisation_name", "org_code")],
-        f"{derive_trust_type('source_file')} AS trust_type",
-        f"{derive_financial_year('source_file')} AS financial_year",
-    ).filter(f"length(org_code) = {code_length} AND organisation_name IS NOT NULL")
+    return (
+        rows.filter(_given("organisation_name", "org_code"))
+        .filter(f"length(trim(org_code)) = {code_length}")
+        .selectExpr(
+            "trim(organisation_name) AS organisation_name",
+            "trim(org_code) AS org_code",
+            *[c for c in rows.columns if c not in ("organisation_name", "org_code")],
+            f"{derive_trust_type('source_file')} AS trust_type",
+            f"{derive_financial_year('source_file')} AS financial_year",
+        )
+    )

@@ -90,13 +90,14 @@ def promote_lines(lines: DataFrame, providers: DataFrame) -> DataFrame:
         "main_code",
         "sub_code",
         "struct(source_file, row_num, total) AS last",
-        "struct(source_file, row_num, total, worksheet_name, table_id, trust_type AS type) AS first",
+        "struct(source_file, row_num, total, worksheet_name, table_id) AS first",
     )
     codes = providers.selectExpr(
         "financial_year", "trust_type", "lower(organisation_name) AS name_key", "org_code"
     ).distinct()
     joined = _winner(staged, [*match, "main_code", "sub_code"]).join(codes, match)
-    return _winner(joined, FACT_KEY).selectExpr(
+    coded = joined.selectExpr(*FACT_KEY, "last", "struct(first.*, trust_type) AS first")
+    return _winner(coded, FACT_KEY).selectExpr(
         "org_code",
         "financial_year",
         "first.worksheet_name",
@@ -104,7 +105,7 @@ def promote_lines(lines: DataFrame, providers: DataFrame) -> DataFrame:
         "main_code",
         "sub_code",
         "CAST(last.total AS DECIMAL(14,0)) AS total_000s",
-        "first.type AS trust_type",
+        "first.trust_type",
         "last.source_file",
     )
 

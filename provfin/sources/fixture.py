@@ -206,10 +206,9 @@ def dim_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw extracts, as published: drifting names, spaces, text totals -------------------------------
 
 
-def source_file(kind: str, year: str) -> str:
-    """Extract name of a trust type and year."""
-    stem = f"CASE WHEN {kind} = 'FOUNDATION_TRUST' THEN 'TAC_NHS_foundation_trusts_' ELSE 'TAC_NHS_trusts_' END"
-    return f"concat({stem}, replace({year}, '/', '-'))"
+def _by_slot(values: list[str]) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST(slot AS INT) + 1)"
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,33 +216,35 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Names differ in case and spacing, and some names, codes and totals are missing or unreadable.
     """
-    code = "CASE " + " ".join(f"WHEN slot <= {last} THEN '{code}'" for _, last, _, code in SLOTS) + " END"
-    sheet = (
-        f"CASE WHEN slot <= 8 THEN '{WS_PATIENT_INCOME}' WHEN slot <= 11 THEN '{WS_OTHER_INCOME}' "
-        f"WHEN slot <= 22 THEN '{WS_EXPENDITURE}' ELSE 'TAC08 Extra' END"
-    )
+    by_slot = [(ws, code) for first, last, ws, code in SLOTS for _ in range(first, last + 1)]
+    codes = [code for _, code in by_slot]
+    sheets = [ws for ws, _ in by_slot[:-1]] + ["TAC08 Extra"]
     lines = table(spark, sf_dir, "lineitem").selectExpr(
-        f"concat('Supplier#', {org_code('l_suppkey')}) AS name",
+        "l_suppkey",
         f"{VALUE} AS value",
         f"{SLOT} AS slot",
-        f"CASE WHEN {PRIOR_LINE} THEN 'PY' ELSE 'CY' END AS year_type",
-        f"{expr.financial_year(SHIP_DATE)} AS year",
-        f"{trust_type('l_suppkey')} AS kind",
+        f"CASE WHEN {PRIOR_LINE} THEN 'PY01' ELSE 'CY01' END AS main_suffix",
+        f"{expr.fiscal_year_start(SHIP_DATE)} AS start_year",
         "l_orderkey * 8 + l_linenumber AS row_number",
         "l_orderkey + l_linenumber AS mix",
     )
-    return lines.selectExpr(
-        """CASE WHEN mix % 3 = 0 THEN concat(' ', name, '  ') WHEN mix % 3 = 1 THEN upper(name)
-           WHEN mix % 97 <> 0 THEN name END AS OrganisationName""",
-        f"{sheet} AS WorkSheetName",
-        "'1' AS TableID",
-        f"concat('A', substr({sheet}, 4, 2), year_type, '01') AS MainCode",
-        "CAST(row_number AS STRING) AS RowNumber",
-        f"CASE WHEN mix % 89 <> 0 THEN concat(' ', {code}) END AS SubCode",
-        """CASE WHEN mix % 11 = 0 THEN format_number(value, 0) WHEN mix % 13 = 0 THEN concat(value, '.9')
-           WHEN mix % 17 = 0 THEN 'n/a' WHEN mix % 83 <> 0 THEN CAST(value AS STRING) END AS Total""",
-        f"{source_file('kind', 'year')} AS source_file",
-    )
+    columns = {
+        "OrganisationName": f"""CASE WHEN mix % 3 <> 2 OR mix % 97 <> 0 THEN concat(
+            CASE mix % 3 WHEN 0 THEN ' Supplier#' WHEN 1 THEN 'SUPPLIER#' ELSE 'Supplier#' END,
+            {org_code("l_suppkey")}, '  ') END""",
+        "WorkSheetName": _by_slot(sheets),
+        "TableID": "'1'",
+        "MainCode": f"concat({_by_slot(['A' + ws[3:5] for ws in sheets])}, main_suffix)",
+        "RowNumber": "CAST(row_number AS STRING)",
+        "SubCode": f"CASE WHEN mix % 89 <> 0 THEN {_by_slot([' ' + c for c in codes])} END",
+        "Total": """CASE WHEN mix % 11 = 0 THEN format_number(value, 0) WHEN mix % 13 = 0 THEN concat(value, '.9')
+            WHEN mix % 17 = 0 THEN 'n/a' WHEN mix % 83 <> 0 THEN CAST(value AS STRING) END""",
+        "source_file": """concat(CASE WHEN l_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
+            start_year, '-', lpad((start_year + 1) % 100, 2, '0'))""",
+    }
+    # Unfolded from a one-element array, so that filters on these texts do not write them out a second time.
+    row = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+    return lines.selectExpr(f"inline(array(struct({row})))")
 
 
 def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,5 +263,6 @@ def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "r_name AS Region",
         f"CASE WHEN NOT (s_suppkey % 13 = 12 AND year = '{YEAR}') THEN {sector('s_suppkey')} END AS Sector",
         "CAST(NULL AS STRING) AS `Comments `",
-        f"{source_file(trust_type('s_suppkey'), 'year')} AS source_file",
+        """concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
+                  replace(year, '/', '-')) AS source_file""",
     )
