@@ -18,17 +18,19 @@ def fiscal_period(df: DataFrame, date: str) -> DataFrame:
     )
 
 
-def years_of(df: DataFrame, year: str = "financial_year") -> DataFrame:
-    """Calendar rows of the financial years a frame mentions."""
-    start = f"make_date(CAST(substr({year}, 1, 4) AS INT), 4, 1)"
-    return (
-        df.select(year)
-        .filter(f"{year} IS NOT NULL")
-        .distinct()
-        .selectExpr(
-            year,
-            f"{start} AS start_date",
-            f"date_sub(add_months({start}, 12), 1) AS end_date",
-            f"substr({year}, 3, 5) AS year_label_short",
-        )
+def years_of(df: DataFrame, date: str) -> DataFrame:
+    """Calendar rows of the financial years a date column falls in; complete once all twelve months occur.
+
+    Dates are reduced to months first, so a busy year is at most twelve rows per task.
+    """
+    months = df.filter(f"{date} IS NOT NULL").selectExpr(
+        f"{expr.fiscal_year_start(date)} AS start_year", f"{expr.fiscal_month(date)} AS month"
+    )
+    years = months.distinct().groupBy("start_year").count()
+    return years.selectExpr(
+        f"{expr.year_label('start_year')} AS financial_year",
+        "make_date(start_year, 4, 1) AS start_date",
+        "make_date(start_year + 1, 3, 31) AS end_date",
+        f"substr({expr.year_label('start_year')}, 3, 5) AS year_label_short",
+        f"{expr.flag('count = 12')} AS is_complete",
     )

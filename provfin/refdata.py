@@ -147,6 +147,9 @@ EBITDA_RAG = (5, 2)
 SURPLUS_RAG = (0, -2)
 PAY_RAG = (65, 70)
 CIP_RAG = (100, 80)
+CAPITAL_RAG = (75, 90, 110)
+VARIANCE_AMBER_PCT = 2
+AGENCY_CEILING_PCT = "3.5"
 LARGE_INCOME_000S = 1_000_000
 BALANCE_TOLERANCE_000S = 1_000
 WTE_MAX = 50_000

@@ -297,7 +297,19 @@ CTES |= {
         CAST(total AS DECIMAL(14,0)) AS total_000s, trust_type, source_file FROM placed WHERE newest = 1""",
 }
 
+# Monthly returns.
+CTES |= {
+    "monthly": f"""SELECT {CODE.format('(o_custkey // 50)')} AS org_code,
+        {LABEL.format(f"({START.format('o_orderdate')})")} AS financial_year,
+        'M' || lpad(CAST(month(o_orderdate - INTERVAL 3 MONTH) AS VARCHAR), 2, '0') AS period,
+        CASE WHEN o_orderkey % 7 < 3 THEN 'INCOME' WHEN o_orderkey % 7 = 3 THEN 'PAY' WHEN o_orderkey % 7 = 4 THEN 'NON_PAY'
+             WHEN o_orderkey % 7 = 5 THEN 'CAPITAL' ELSE 'CIP' END AS account_type,
+        o_orderkey % 7 = 4 AND o_orderkey % 3 = 0 AS agency, CAST(floor(o_totalprice / 100) AS BIGINT) AS actual,
+        CAST(floor(o_totalprice / 100) AS BIGINT) * (85 + o_orderkey % 31) // 100 AS budget FROM orders""",
+}
+
 NEEDS = {
+    "monthly": [],
     "posted": [], "slots": [], "det": ["posted", "slots"], "tot": ["det"], "wte": ["posted"],
     "fact_all": ["det", "tot", "wte"], "fact": ["fact_all"], "trust": [], "code": [],
     "v1": ["fact", "trust"], "v2": ["fact", "trust", "code"], "v3": ["fact", "trust"],
@@ -514,6 +526,10 @@ def extract_sql() -> dict[str, str]:
             nursing_wte FROM v5""",
             "v5",
         ),
+        "dim_financial_year_extract": f"""SELECT {LABEL.format('y')} AS financial_year,
+            CAST(y AS VARCHAR) || '-04-01' AS start_date, CAST(y + 1 AS VARCHAR) || '-03-31' AS end_date,
+            substr({LABEL.format('y')}, 3, 5) AS year_label_short, CAST(n = 12 AS INT) AS is_complete
+            FROM (SELECT {START.format('o_orderdate')} AS y, count(DISTINCT month(o_orderdate)) AS n FROM orders GROUP BY 1)""",
         "dim_trust_extract": statement("SELECT * EXCLUDE (s) FROM trust", "trust"),
         "ie_summary_extract": statement(f"SELECT {HEAD}, {MONEY_V1} FROM v1", "v1"),
         "expenditure_extract": statement(
@@ -1048,6 +1064,47 @@ def dashboard_sql() -> dict[str, str]:
     }
 
 
+def monthly_sql() -> dict[str, str]:
+    keys = "org_code, financial_year"
+    sides = f"SELECT {keys}, {total('actual')} AS a, {total('budget')} AS b FROM monthly"
+    share = units("(100 * a)", "b", 1)
+    pay = """SELECT org_code, financial_year, CAST(coalesce(sum(actual) FILTER (WHERE NOT agency), 0) AS BIGINT) AS p,
+        CAST(coalesce(sum(actual) FILTER (WHERE agency), 0) AS BIGINT) AS g FROM monthly
+        WHERE account_type = 'PAY' OR agency GROUP BY org_code, financial_year"""
+    agency = units("(100 * g)", "(p + g)", 1)
+    ytd = "OVER (PARTITION BY org_code, financial_year, account_type ORDER BY period ROWS UNBOUNDED PRECEDING)"
+    variance = units("(100 * (a - b))", "abs(b)", 1)
+    good = "CASE WHEN account_type = 'INCOME' THEN 1 ELSE -1 END"
+    return {
+        "kpi_cip": statement(
+            f"""SELECT {keys}, a AS delivered_000s, b AS target_000s, {tenths(share)} AS cip_achievement_pct,
+            {rag(f'({share})', 1000, 800)} AS cip_rag FROM ({sides} WHERE account_type = 'CIP' GROUP BY {keys})""",
+            "monthly",
+        ),
+        "kpi_agency": statement(
+            f"""SELECT {keys}, p AS pay_000s, g AS agency_000s, {tenths(agency)} AS agency_pct,
+            CAST(coalesce(({agency}) >= 35, false) AS INT) AS over_ceiling FROM ({pay})""",
+            "monthly",
+        ),
+        "kpi_capital": statement(
+            f"""SELECT {keys}, a AS actual_000s, b AS plan_000s, {tenths(share)} AS capital_pct,
+            CASE WHEN ({share}) BETWEEN 900 AND 1100 THEN 'Green' WHEN ({share}) >= 750 AND ({share}) < 900 THEN 'Amber'
+                 WHEN ({share}) IS NULL THEN 'Grey' ELSE 'Red' END AS capital_rag
+            FROM ({sides} WHERE account_type = 'CAPITAL' GROUP BY {keys})""",
+            "monthly",
+        ),
+        "kpi_budget_variance": statement(
+            f"""SELECT {keys}, account_type, period, a AS actual_000s, b AS budget_000s, a - b AS variance_000s,
+            {tenths(variance)} AS variance_pct, CASE WHEN (a - b) * {good} >= 0 THEN 'FAV' ELSE 'ADV' END AS direction,
+            {rag(f'(({variance}) * {good})', 0, -20)} AS variance_rag, CAST(sum(a) {ytd} AS BIGINT) AS ytd_actual_000s,
+            CAST(sum(b) {ytd} AS BIGINT) AS ytd_budget_000s, CAST(sum(a - b) {ytd} AS BIGINT) AS ytd_variance_000s
+            FROM (SELECT {keys}, account_type, period, {total('actual')} AS a, {total('budget')} AS b FROM monthly
+                  WHERE account_type IN ('INCOME', 'PAY', 'NON_PAY') GROUP BY ALL)""",
+            "monthly",
+        ),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         **ingest_sql(),
@@ -1058,4 +1115,5 @@ def oracle_sql() -> dict[str, str]:
         **validation_sql(),
         **measure_sql(),
         **dashboard_sql(),
+        **monthly_sql(),
     }

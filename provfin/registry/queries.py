@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from provfin import refdata
 from provfin.operators import ingest, merge
-from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, periods, trend, views
+from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, periods, trend, views
 from provfin.sources import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,12 @@ def _fiscal(s, d):
     return periods.fiscal_period(days, "order_date").withColumn("order_date", F.col("order_date").cast("string"))
 
 
+def _years(s, d):
+    orders = fx.table(s, d, "orders").selectExpr("CAST(o_orderdate AS DATE) AS day")
+    rows = extracts.dim_financial_year_extract(periods.years_of(orders, "day"))
+    return rows.selectExpr(*[f"CAST({c} AS STRING) AS {c}" if c.endswith("_date") else c for c in rows.columns])
+
+
 def _worksheets(s, d):
     return merge.extend_worksheets(refdata.dim_worksheet(s), _lines(s, d))
 
@@ -176,6 +182,7 @@ def queries() -> dict[str, Query]:
         "extract_ie_summary": _extract("ie_summary"),
         "extract_expenditure_breakdown": _extract("expenditure_breakdown"),
         "extract_workforce": _extract("workforce"),
+        "dim_financial_year_extract": _years,
         "dim_trust_extract": lambda s, d: extracts.dim_trust_extract(fx.dim_trust(s, d)),
         "ie_summary_extract": lambda s, d: extracts.income_summary_extract(_v1(s, d)),
         "expenditure_extract": lambda s, d: extracts.expenditure_extract(_v2(s, d)),
@@ -226,6 +233,11 @@ def queries() -> dict[str, Query]:
         "m_rag": lambda s, d: measures.rag(_card(s, d), [*BY_YEAR_SECTOR, "region"]),
         "m_benchmark": lambda s, d: measures.benchmark(_card(s, d), enrich.sector_benchmarks(_card(s, d)), BY_YEAR),
         "m_labels": lambda s, d: measures.labels(_card(s, d), ["region"], SLICE),
+        # monthly returns
+        "kpi_cip": lambda s, d: monthly.cip_achievement(fx.monthly(s, d)),
+        "kpi_agency": lambda s, d: monthly.agency_share(fx.monthly(s, d)),
+        "kpi_capital": lambda s, d: monthly.capital_share(fx.monthly(s, d)),
+        "kpi_budget_variance": lambda s, d: monthly.budget_variance(fx.monthly(s, d)),
         # report pages
         "dash_income_by_sector": lambda s, d: dashboard.income_by_sector(_card(s, d)),
         "dash_deficit_split": lambda s, d: dashboard.deficit_surplus_split(_card(s, d)),

@@ -47,7 +47,7 @@ SLOTS = [
 SCHEMAS = {
     "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
         l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ""",
-    "orders": "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
     "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
     "nation": "n_nationkey INT, n_regionkey INT",
     "region": "r_regionkey INT, r_name STRING",
@@ -266,3 +266,28 @@ def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
         """concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
                   replace(year, '/', '-')) AS source_file""",
     )
+
+
+# --- monthly returns -------------------------------------------------------------------------------
+
+
+def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An actual and a budget per order; fifty customers make an organisation."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        f"{org_code('o_custkey DIV 50')} AS org_code",
+        "CAST(o_orderdate AS DATE) AS day",
+        "o_orderkey",
+        "CAST(floor(o_totalprice / 100) AS BIGINT) AS amount",
+    )
+    kinds = ["INCOME", "INCOME", "INCOME", "PAY", "NON_PAY", "CAPITAL", "CIP"]
+    listed = ", ".join(f"'{k}'" for k in kinds)
+    posted = orders.selectExpr(
+        "org_code",
+        f"{expr.financial_year('day')} AS financial_year",
+        f"{expr.period_label('day')} AS period",
+        f"element_at(array({listed}), CAST(o_orderkey % 7 AS INT) + 1) AS account_type",
+        "CASE WHEN o_orderkey % 7 = 4 AND o_orderkey % 3 = 0 THEN 'AGENCY' ELSE 'GENERAL' END AS subjective_code",
+        """inline(array(struct('ACTUAL' AS data_type, amount AS amount_000s),
+            struct('BUDGET' AS data_type, amount * (85 + o_orderkey % 31) DIV 100 AS amount_000s)))""",
+    )
+    return posted
