@@ -148,16 +148,22 @@ def facts(
         return f"sum(CASE WHEN slot BETWEEN {first} AND {last} THEN {value} END)"
 
     sums = {code: total(first, last) for first, last, _, code in SLOTS}
-    sums |= {
-        "patient": total(0, 8),
-        "other": total(9, 11),
-        "spend": total(12, 23),
-        "pay": total(12, 17),
-        "medical": total(0, 2, "q"),
-        "nursing": total(3, 10, "q"),
-        "wte": "sum(q)",
-    }
-    year = expr.aggregate(posted, keys, sums)
+    sums |= {"medical": total(0, 2, "q"), "nursing": total(3, 10, "q"), "wte": "sum(q)"}
+
+    def together(*sheets: str, codes: tuple[str, ...] = ()) -> str:
+        """Sum of account lines; NULL only if all are."""
+        parts = [code for _, _, ws, code in SLOTS if ws in sheets or code in codes]
+        added = " + ".join(f"coalesce({p}, 0)" for p in parts)
+        return f"CASE WHEN coalesce({', '.join(parts)}) IS NOT NULL THEN {added} END"
+
+    year = expr.select(
+        expr.aggregate(posted, keys, sums),
+        "*",
+        f"{together(WS_PATIENT_INCOME)} AS patient",
+        f"{together(WS_OTHER_INCOME)} AS other",
+        f"{together(WS_EXPENDITURE)} AS spend",
+        f"{together(codes=('EXP0130', 'EXP0300'))} AS pay",
+    )
     unfolded = ", ".join(
         f"struct('{ws}' AS worksheet_name, '{suffix}' AS suffix, '{code}' AS sub_code, {value} AS total)"
         for ws, suffix, code, value in ACCOUNT_LINES
