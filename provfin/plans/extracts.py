@@ -163,3 +163,16 @@ def sector_benchmarks(kpis: DataFrame) -> DataFrame:
         .groupBy("financial_year", "sector", "trust_type")
         .agg(*expr.named(columns))
     )
+
+
+def with_dimensions(extract: DataFrame, dim_trust: DataFrame, dim_year: DataFrame) -> DataFrame:
+    """An extract with the attributes of its organisation and year: the many-to-one links of a report model.
+
+    Every extract row stays, also one whose organisation or year the dimensions do not know.
+    """
+    trust = dim_trust.select("org_code", "organisation_name", "trust_type", "sector", "region", "is_foundation")
+    year = dim_year.select("financial_year", "start_date", "end_date", "year_label_short")
+    given = {c for c in extract.columns if c not in ("org_code", "financial_year")}
+    return (
+        extract.join(trust.drop(*given), "org_code", "left").join(year.drop(*given), "financial_year", "left")
+    )

@@ -530,6 +530,17 @@ def extract_sql() -> dict[str, str]:
             CAST(y AS VARCHAR) || '-04-01' AS start_date, CAST(y + 1 AS VARCHAR) || '-03-31' AS end_date,
             substr({LABEL.format('y')}, 3, 5) AS year_label_short, CAST(n = 12 AS INT) AS is_complete
             FROM (SELECT {START.format('o_orderdate')} AS y, count(DISTINCT month(o_orderdate)) AS n FROM orders GROUP BY 1)""",
+        "extract_with_dimensions": statement(
+            f"""SELECT v5.org_code, financial_year, pay_000s, non_pay_000s, depreciation_amort_000s, drugs_cost_000s,
+            clinical_negligence_000s, clinical_supplies_000s, general_supplies_000s, t.organisation_name, t.trust_type,
+            t.sector, t.region, t.is_foundation, start_date, end_date, year_label_short
+            FROM v5 LEFT JOIN trust t ON t.org_code = v5.org_code LEFT JOIN (
+              SELECT DISTINCT {LABEL.format('y')} AS financial_year, CAST(y AS VARCHAR) || '-04-01' AS start_date,
+              CAST(y + 1 AS VARCHAR) || '-03-31' AS end_date, substr({LABEL.format('y')}, 3, 5) AS year_label_short
+              FROM (SELECT {START.format('o_orderdate')} AS y FROM orders)) USING (financial_year)""",
+            "v5",
+            "trust",
+        ),
         "dim_trust_extract": statement("SELECT * EXCLUDE (s) FROM trust", "trust"),
         "ie_summary_extract": statement(f"SELECT {HEAD}, {MONEY_V1} FROM v1", "v1"),
         "expenditure_extract": statement(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provfin import refdata
+from provfin.functions import expr
 from provfin.operators import ingest, merge
 from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, periods, trend, views
 from provfin.sources import fixture as fx
@@ -134,10 +135,21 @@ def _fiscal(s, d):
     return periods.fiscal_period(days, "order_date").withColumn("order_date", F.col("order_date").cast("string"))
 
 
+def _dates_as_text(rows):
+    return expr.select(rows, *[f"CAST({c} AS STRING) AS {c}" if c.endswith("_date") else c for c in rows.columns])
+
+
+def _dim_year(s, d):
+    return periods.years_of(fx.table(s, d, "orders").selectExpr("CAST(o_orderdate AS DATE) AS day"), "day")
+
+
 def _years(s, d):
-    orders = fx.table(s, d, "orders").selectExpr("CAST(o_orderdate AS DATE) AS day")
-    rows = extracts.dim_financial_year_extract(periods.years_of(orders, "day"))
-    return rows.selectExpr(*[f"CAST({c} AS STRING) AS {c}" if c.endswith("_date") else c for c in rows.columns])
+    return _dates_as_text(extracts.dim_financial_year_extract(_dim_year(s, d)))
+
+
+def _linked(s, d):
+    costs = extracts.card_extract(_card(s, d), "expenditure_breakdown")
+    return _dates_as_text(extracts.with_dimensions(costs, fx.dim_trust(s, d), _dim_year(s, d)))
 
 
 def _worksheets(s, d):
@@ -183,6 +195,7 @@ def queries() -> dict[str, Query]:
         "extract_expenditure_breakdown": _extract("expenditure_breakdown"),
         "extract_workforce": _extract("workforce"),
         "dim_financial_year_extract": _years,
+        "extract_with_dimensions": _linked,
         "dim_trust_extract": lambda s, d: extracts.dim_trust_extract(fx.dim_trust(s, d)),
         "ie_summary_extract": lambda s, d: extracts.income_summary_extract(_v1(s, d)),
         "expenditure_extract": lambda s, d: extracts.expenditure_extract(_v2(s, d)),
