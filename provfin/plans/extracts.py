@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import DecimalType
 
 from provfin.functions import expr
+from provfin.functions.session import materialise
+from provfin.plans import enrich, views
 from provfin.plans.trend import total_m
 from provfin.plans.views import HEAD, TRUST
 from provfin.refdata import WS_EXPENDITURE, WS_OTHER_INCOME, WS_PATIENT_INCOME, WS_SOCI
@@ -176,3 +178,42 @@ def with_dimensions(extract: DataFrame, dim_trust: DataFrame, dim_year: DataFram
     return (
         extract.join(trust.drop(*given), "org_code", "left").join(year.drop(*given), "financial_year", "left")
     )
+
+
+ROW_ORDER = {
+    "dim_trust": ["organisation_name"],
+    "dim_financial_year": ["financial_year"],
+    "income_detail": ["financial_year", "org_code", "sub_code"],
+    "expenditure_detail": ["financial_year", "org_code", "sub_code"],
+    "sector_benchmarks": ["financial_year", "sector"],
+}
+DEFAULT_ORDER = ["financial_year", "org_code"]
+
+
+def report_set(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, dim_year: DataFrame) -> dict[str, DataFrame]:
+    """The datasets of the views, by name."""
+    kpis = materialise(views.kpis(fact, dim_trust, dim_subcode))
+    return {
+        "dim_trust": dim_trust_extract(dim_trust),
+        "dim_financial_year": dim_financial_year_extract(dim_year),
+        "ie_summary": income_summary_extract(views.income_expenditure(fact, dim_trust)),
+        "expenditure_breakdown": expenditure_extract(views.expenditure_breakdown(fact, dim_trust, dim_subcode)),
+        "workforce": workforce_extract(views.workforce(fact, dim_trust)),
+        "kpis": kpi_extract(kpis),
+        "income_detail": income_detail(fact, dim_trust, dim_subcode),
+        "expenditure_detail": expenditure_detail(fact, dim_trust, dim_subcode),
+        "sector_benchmarks": sector_benchmarks(kpis),
+    }
+
+
+def enriched_set(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, dim_year: DataFrame) -> dict[str, DataFrame]:
+    """The datasets of the enriched scorecard, by name. The scorecard is written out once and read by five of them."""
+    card = materialise(enrich.enrich(views.scorecard(fact, dim_trust, dim_subcode)))
+    return {
+        **{name: card_extract(card, name) for name in CARD_EXTRACTS},
+        "sector_benchmarks": enrich.sector_benchmarks(card),
+        "income_detail": income_detail_full(fact, dim_trust, dim_subcode),
+        "expenditure_detail": expenditure_detail_full(fact, dim_trust, dim_subcode),
+        "dim_trust": dim_trust_extract(dim_trust),
+        "dim_financial_year": dim_financial_year_extract(dim_year),
+    }

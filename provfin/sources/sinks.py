@@ -35,10 +35,11 @@ def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def promote_into(path: str, incoming: DataFrame) -> None:
+def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None) -> None:
     """Upserts fact rows into the table at ``path``.
 
-    Only the incoming years' partitions are read and rewritten (their names are the one thing collected).
+    Only the incoming years' partitions are read and rewritten. A caller who knows the years, from the
+    file names say, passes them; otherwise their names are collected, which runs ``incoming`` once more.
     The merged rows are materialised first, because Spark cannot overwrite what it is reading.
     """
     spark = incoming.sparkSession
@@ -46,7 +47,8 @@ def promote_into(path: str, incoming: DataFrame) -> None:
     if existing is None:
         replace_partitions(incoming, path)
         return
-    years = [row[0] for row in incoming.select("financial_year").distinct().collect()]
+    if years is None:
+        years = [row[0] for row in incoming.select("financial_year").distinct().collect()]
     touched = existing.filter(F.col("financial_year").isin(years))
     replace_partitions(materialise(merge_facts(touched, incoming)), path)
 
@@ -58,6 +60,12 @@ def write_extract(df: DataFrame, path: str, order: list[str] | None = None, sing
     out.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 
+def write_extracts(frames: dict[str, DataFrame], folder: str, order: dict[str, list[str]], default: list[str]) -> None:
+    """One folder per dataset, rows in their order."""
+    for name, df in frames.items():
+        write_extract(df, f"{folder}/{name}", order.get(name, default))
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """Check results with the time of the run."""
     stamped = report.withColumn("run_ts", F.current_timestamp())

@@ -9,7 +9,8 @@ from provfin import refdata
 from provfin.functions import expr
 from provfin.operators import ingest, merge
 from provfin.operators.ranking import ntile
-from provfin.plans import audit
+from provfin.plans import audit, extracts
+from provfin.sources import fixture as fx
 from provfin.sources import readers, sinks
 
 LINE = ["OrganisationName", "WorkSheetName", "TableID", "MainCode", "RowNumber", "SubCode", "Total", "source_file"]
@@ -150,6 +151,17 @@ def test_files_to_fact_table(spark, tmp_path):
     assert {int(r.total_000s) for r in spark.read.parquet(table).collect()} == {1200, 8}
 
 
+@pytest.mark.parametrize("build", [extracts.report_set, extracts.enriched_set])
+def test_extract_sets(spark, sf_dir, tmp_path, build):
+    fact, trust = fx.facts(spark, sf_dir), fx.dim_trust(spark, sf_dir)
+    frames = build(fact, trust, refdata.dim_subcode(spark), refdata.dim_financial_year(spark))
+    assert len(frames) == 9
+    sinks.write_extracts(frames, str(tmp_path), extracts.ROW_ORDER, extracts.DEFAULT_ORDER)
+    for name, df in frames.items():
+        stored = spark.read.option("header", True).csv(str(tmp_path / name))
+        assert stored.columns == df.columns and stored.count() == df.count() > 0
+
+
 def test_extract_and_report_files(spark, tmp_path):
     rows = spark.sql("SELECT 'b' AS k, 1 AS v UNION ALL SELECT 'a', 2")
     sinks.write_extract(rows, str(tmp_path / "x"), order=["k"], single_file=True)
