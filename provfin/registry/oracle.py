@@ -266,7 +266,7 @@ CTES |= {
     "clean": f"""SELECT CASE WHEN mix % 3 = 1 THEN upper(name) ELSE name END AS organisation_name,
         CASE WHEN slot <= 8 THEN 'TAC06 Op Inc 1' WHEN slot <= 11 THEN 'TAC07 Op Inc 2'
              WHEN slot <= 22 THEN 'TAC08 Op Exp' ELSE 'TAC08 Extra' END AS worksheet_name,
-        1 AS table_id,
+        CAST(1 AS SMALLINT) AS table_id,
         CASE WHEN slot <= 8 THEN 'A06CY01' WHEN slot <= 11 THEN 'A07CY01' ELSE 'A08CY01' END AS main_code,
         row_num, {_slot_code} AS sub_code,
         CASE WHEN mix % 11 <> 0 AND mix % 13 <> 0 AND mix % 17 = 0 THEN 0 ELSE value END AS total,
@@ -433,7 +433,7 @@ def ingest_sql() -> dict[str, str]:
         ),
         "fiscal_period": f"""SELECT CAST(d AS VARCHAR) AS order_date, n AS order_count,
             {LABEL.format(f"({START.format('d')})")} AS financial_year,
-            month(d - INTERVAL 3 MONTH) AS fiscal_month,
+            CAST(month(d - INTERVAL 3 MONTH) AS INTEGER) AS fiscal_month,
             'M' || lpad(CAST(month(d - INTERVAL 3 MONTH) AS VARCHAR), 2, '0') AS period_label,
             'Q' || CAST(quarter(d - INTERVAL 3 MONTH) AS VARCHAR) AS quarter_label
             FROM (SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM orders GROUP BY 1)""",
