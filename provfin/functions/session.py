@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,19 +34,34 @@ def local_session(cores: str = "8", memory: str = "8g", partitions: int = 8) ->
     return spark
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write a frame to the shared checkpoint folder and read it back, so later steps see the same rows.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where the setting is missing, a temporary folder serves if one process is the whole application; a cluster must name one.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if spark.sparkContext._jsc.sc().isLocal() is False:
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="provfin-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a local session may fall
-    back to a folder of its own.
+def stored(df: DataFrame) -> DataFrame:
+    """Write a frame as Parquet into the shared folder and read it back: lineage ends there, and a lost executor loses nothing.
+
+    The files go when the application ends.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="provfin-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/provfin/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Later steps see the same rows as earlier ones, whatever is lost in between."""
+    return stored(df)

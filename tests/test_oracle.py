@@ -4,8 +4,9 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry
+from provfin.registry import oracle, queries
 
-KEYS = list(entry.queries())
+KEYS = list(queries.queries())
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.queries()) == set(oracle.oracle_sql())
+    assert set(KEYS) <= set(entry.queries()) and set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
