@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provfin.llm import chat, decontaminate, language, orderminhash, packing, simhash, substrings, toxicity
+from provfin.llm import chat, decontaminate, language, licenses, orderminhash, packing, simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
