@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from provfin.llm import chat, decontaminate, language, licenses, orderminhash, packing, simhash, substrings, toxicity
+from provfin.llm import chat, decontaminate, html, language, licenses, orderminhash, packing, simhash, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
