@@ -13,12 +13,17 @@ from provfin.llm import chat, decontaminate, html, language, licenses, orderminh
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; workers that this session starts from now on also look for modules where this package lies."""
+def ready(spark: SparkSession) -> None:
+    """Workers that this session starts from now on also look for modules where this package lies."""
     home = str(Path(__file__).resolve().parents[2])
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if home not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [path, home]))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
