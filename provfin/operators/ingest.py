@@ -14,7 +14,7 @@ from provfin.refdata import FILE_YEAR_PATTERN, LINE_HEADERS, PROVIDER_HEADERS
 def derive_financial_year(file_name: str) -> str:
     """``..._2023-24.csv`` -> ``2023/24``; a name without a year stops the job."""
     year = f"replace(regexp_extract({file_name}, r'{FILE_YEAR_PATTERN}', 0), '-', '/')"
-    return f"coalesce(nullif({year}, ''), raise_error(concat('Cannot extract financial year from: ', {file_name})))"
+    return f"coalesce(nullif({year}, ''), raise_error(concat('no year in the file name ', {file_name})))"
 
 
 def derive_trust_type(file_name: str) -> str:
@@ -26,7 +26,7 @@ def resolve_headers(raw: DataFrame, headers: dict[str, list[str]], optional: tup
     present = {name: [h for h in known if h in raw.columns] for name, known in headers.items()}
     missing = [headers[name][0] for name, found in present.items() if not found and name not in optional]
     if missing:
-        raise ValueError(f"Missing columns: {missing}. Found: {raw.columns}")
+        raise ValueError(f"none of the known headers stands for {missing} among {raw.columns}")
     resolved = [
         f"coalesce({', '.join(f'CAST(`{h}` AS STRING)' for h in found)}) AS {name}"
         for name, found in present.items()
@@ -63,12 +63,12 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_providers(raw: DataFrame, code_length: int = 3) -> DataFrame:
-    """Provider list rows with a well-formed code."""
+def clean_providers(raw: DataFrame, code_length: int = 3, or_longer: bool = False) -> DataFrame:
+    """Provider list rows with a code of the given length, or also with longer ones."""
     rows = resolve_headers(raw, PROVIDER_HEADERS, optional=("region", "sector", "comments"))
     return (
         rows.filter(_given("organisation_name", "org_code"))
-        .filter(f"length(trim(org_code)) = {code_length}")
+        .filter(f"length(trim(org_code)) {'>=' if or_longer else '='} {code_length}")
         .selectExpr(
             "trim(organisation_name) AS organisation_name",
             "trim(org_code) AS org_code",

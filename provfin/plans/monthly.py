@@ -2,6 +2,7 @@
 
 Input rows: org_code, financial_year, period (M01 to M12), account_type (INCOME, PAY, NON_PAY, CAPITAL, CIP),
 subjective_code, data_type (ACTUAL, BUDGET) and amount_000s. Each KPI is one aggregation of them.
+Percentages are rounded for display alone: statuses compare whole numbers, so 99.96 % of a target is not the target.
 """
 
 from __future__ import annotations
@@ -24,14 +25,19 @@ def _side(data_type: str) -> str:
     return _sum(f"data_type = '{data_type}'")
 
 
+def _share_at_least(part: str, whole: str, percent) -> str:
+    """Whether part / whole is at least so many percent, without rounding; the whole is positive."""
+    return f"CAST({part} AS DECIMAL(24,0)) * 100 >= CAST({percent} AS DECIMAL(6,2)) * {whole}"
+
+
 def cip_achievement(rows: DataFrame, rag: tuple = CIP_RAG) -> DataFrame:
     """Savings delivered as % of target."""
     savings = rows.filter("account_type = 'CIP'")
     summed = expr.aggregate(savings, YEAR_KEYS, {"delivered_000s": _side("ACTUAL"), "target_000s": _side("BUDGET")})
     rated = summed.selectExpr("*", f"{expr.kpi('delivered_000s', 'target_000s', 100)} AS achieved")
-    return rated.selectExpr(
-        *summed.columns, f"{expr.double('achieved')} AS cip_achievement_pct", f"{expr.rag('achieved', *rag)} AS cip_rag"
-    )
+    reached = [_share_at_least("delivered_000s", "target_000s", cut) for cut in rag]
+    status = f"CASE WHEN achieved IS NULL THEN 'Grey' WHEN {reached[0]} THEN 'Green' WHEN {reached[1]} THEN 'Amber' ELSE 'Red' END"
+    return rated.selectExpr(*summed.columns, f"{expr.double('achieved')} AS cip_achievement_pct", f"{status} AS cip_rag")
 
 
 def agency_share(rows: DataFrame, ceiling: str = AGENCY_CEILING_PCT) -> DataFrame:
@@ -47,7 +53,7 @@ def agency_share(rows: DataFrame, ceiling: str = AGENCY_CEILING_PCT) -> DataFram
         .selectExpr("*", f"{share} AS share")
         .selectExpr(
             *YEAR_KEYS, "pay_000s", "agency_000s", f"{expr.double('share')} AS agency_pct",
-            f"{expr.flag(f'share >= {ceiling}')} AS over_ceiling",
+            f"{expr.flag('share IS NOT NULL AND ' + _share_at_least('agency_000s', '(pay_000s + agency_000s)', ceiling))} AS over_ceiling",
         )
     )
 
@@ -58,9 +64,10 @@ def capital_share(rows: DataFrame, rag: tuple = CAPITAL_RAG) -> DataFrame:
     spend = rows.filter("account_type = 'CAPITAL'")
     summed = expr.aggregate(spend, YEAR_KEYS, {"actual_000s": _side("ACTUAL"), "plan_000s": _side("BUDGET")})
     rated = summed.selectExpr("*", f"{expr.kpi('actual_000s', 'plan_000s', 100)} AS share")
+    reached = lambda cut: _share_at_least("actual_000s", "plan_000s", cut)
     status = (
-        f"CASE WHEN share IS NULL THEN 'Grey' WHEN share > {over} OR share < {amber} THEN 'Red' "
-        f"WHEN share < {green} THEN 'Amber' ELSE 'Green' END"
+        f"CASE WHEN share IS NULL THEN 'Grey' WHEN CAST(actual_000s AS DECIMAL(24,0)) * 100 > CAST({over} AS DECIMAL(6,2)) * plan_000s "
+        f"OR NOT {reached(amber)} THEN 'Red' WHEN NOT {reached(green)} THEN 'Amber' ELSE 'Green' END"
     )
     return rated.selectExpr(*summed.columns, f"{expr.double('share')} AS capital_pct", f"{status} AS capital_rag")
 
@@ -92,7 +99,8 @@ def budget_variance(rows: DataFrame, amber: int = VARIANCE_AMBER_PCT) -> DataFra
         "variance_000s",
         f"{expr.double('pct')} AS variance_pct",
         "CASE WHEN variance_000s * good >= 0 THEN 'FAV' ELSE 'ADV' END AS direction",
-        f"{expr.rag('pct * good', 0, -amber)} AS variance_rag",
+        f"""CASE WHEN pct IS NULL THEN 'Grey' WHEN variance_000s * good >= 0 THEN 'Green'
+            WHEN variance_000s * good * 100 >= -{amber} * abs(budget_000s) THEN 'Amber' ELSE 'Red' END AS variance_rag""",
         "ytd_actual_000s",
         "ytd_budget_000s",
         "ytd_actual_000s - ytd_budget_000s AS ytd_variance_000s",

@@ -20,7 +20,7 @@ from provfin.refdata import (
     values_sql,
 )
 from provfin.registry.queries import EXPECTED
-from provfin.sources.fixture import BASE, CODE_WIDTH, PRIOR, PRIOR_YEARS, SECTORS, SLOTS, YEAR, YEARS
+from provfin.sources.fixture import BASE, CODE_WIDTH, PRIOR, PRIOR_YEARS, SECTORS, SLOTS, YEAR
 
 # --- rounding ----------------------------------------------------------------------------------------
 
@@ -82,7 +82,7 @@ def share(num: str, den: str) -> str:
 
 # --- tables ------------------------------------------------------------------------------------------
 
-CODE = f"lpad(CAST({{}} AS VARCHAR), {CODE_WIDTH}, '0')"
+CODE = f"lpad(CAST({{0}} AS VARCHAR), CAST(greatest({CODE_WIDTH}, length(CAST({{0}} AS VARCHAR))) AS INT), '0')"
 TYPE = "CASE WHEN {} % 3 = 0 THEN 'NHS_TRUST' ELSE 'FOUNDATION_TRUST' END"
 SECTOR = "(['" + "', '".join(SECTORS) + "'])[CAST({} % 5 AS INT) + 1]"
 LABEL = "CAST({0} AS VARCHAR) || '/' || lpad(CAST(({0} + 1) % 100 AS VARCHAR), 2, '0')"
@@ -108,6 +108,9 @@ _from_tot = [
     ("TAC06 Op Inc 1", "", "INC0350", "pc"),
     ("TAC07 Op Inc 2", "", "INC1360", "oi"),
     ("TAC08 Op Exp", "", "EXP0390", "ex"),
+    ("TAC08 Op Exp", "", "EXP0200", "ex // 50"),
+    ("TAC08 Op Exp", "", "EXP0210", "ex // 80"),
+    ("TAC08 Op Exp", "", "EXP0220", "ex // 120"),
     ("TAC09 Staff", "", "STA0220", "pay + 1000"),
     ("TAC09 Staff", "", "STA0250", "pay"),
 ]
@@ -117,6 +120,10 @@ _from_wte = [
     ("TAC09 Staff", "", "STA0310", "med * 10"),
     ("TAC09 Staff", "", "STA0350", "nur * 10"),
     ("TAC09 Staff", "", "STA0550", "w % 15 + 5"),
+    ("TAC09 Staff", "", "STA0330", "w * 2"),
+    ("TAC09 Staff", "", "STA0340", "w * 3"),
+    ("TAC09 Staff", "", "STA0370", "w"),
+    ("TAC09 Staff", "", "STA0530", "w * (w % 15 + 5)"),
 ]
 _branches = " UNION ALL ".join(
     f"SELECT s, fy0, yt, '{ws}' AS ws, '{sfx}' AS sfx, '{code}' AS sub_code, {v} AS v FROM {source}"
@@ -144,8 +151,7 @@ CTES = {
     "fact": "SELECT * FROM fact_all WHERE main_code NOT LIKE '%PY%'",
     "trust": f"""SELECT {CODE.format('s_suppkey')} AS org_code, s_name AS organisation_name,
         {TYPE.format('s_suppkey')} AS trust_type, {SECTOR.format('s_suppkey')} AS sector, r_name AS region,
-        CAST(s_suppkey % 3 <> 0 AS INT) AS is_foundation, '1994/95' AS first_year_seen, '2001/02' AS last_year_seen,
-        s_suppkey AS s
+        CAST(s_suppkey % 3 <> 0 AS INT) AS is_foundation, s_suppkey AS s
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "code": values_sql(SUBCODES, SUBCODE_COLUMNS),
 }
@@ -254,7 +260,6 @@ CTES |= {
 # Raw extracts, cleaned.
 _raw_name = "'Supplier#' || " + CODE.format("l_suppkey")
 _slot_code = "CASE " + " ".join(f"WHEN slot <= {last} THEN '{code}'" for _, last, _, code in SLOTS) + " END"
-_years = ", ".join(f"'{y}'" for y in YEARS)
 CTES |= {
     "raw": f"""SELECT l_orderkey + l_linenumber AS mix, l_orderkey * 8 + l_linenumber AS row_num,
         (l_partkey * 7 + l_linenumber * 3 + l_orderkey) % 24 AS slot, {_raw_name} AS name,
@@ -273,13 +278,14 @@ CTES |= {
         source_file, 'CY' AS year_type, trust_type, financial_year
         FROM named WHERE current AND (mix % 3 < 2 OR mix % 97 <> 0) AND mix % 89 <> 0
         AND (mix % 11 = 0 OR mix % 13 = 0 OR mix % 17 = 0 OR mix % 83 <> 0)""",
-    "prov": f"""SELECT CASE WHEN s % 19 = 18 AND financial_year = '{YEAR}' THEN organisation_name || ' Group'
+    "years": f"""SELECT DISTINCT l_suppkey AS s, {LABEL.format(f"({START.format('l_shipdate')})")} AS financial_year FROM lineitem""",
+    "prov": f"""SELECT CASE WHEN s % 19 = 18 AND financial_year >= '{YEAR}' THEN organisation_name || ' Group'
         ELSE organisation_name END AS organisation_name, org_code, region,
-        CASE WHEN s % 13 = 12 AND financial_year = '{YEAR}' THEN NULL ELSE sector END AS sector,
+        CASE WHEN s % 13 = 12 AND financial_year >= '{YEAR}' THEN NULL ELSE sector END AS sector,
         CAST(NULL AS VARCHAR) AS comments,
         CASE trust_type WHEN 'NHS_TRUST' THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END
           || replace(financial_year, '/', '-') AS source_file, trust_type, financial_year
-        FROM trust, (SELECT unnest([{_years}]) AS financial_year)
+        FROM trust JOIN years USING (s)
         WHERE s % 17 <> 16 AND s % 46 NOT IN (22, 45)""",
     "built": """SELECT org_code, arg_min(organisation_name, financial_year) AS organisation_name,
         any_value(trust_type) AS trust_type,
@@ -314,7 +320,7 @@ NEEDS = {
     "fact_all": ["det", "tot", "wte"], "fact": ["fact_all"], "trust": [], "code": [],
     "v1": ["fact", "trust"], "v2": ["fact", "trust", "code"], "v3": ["fact", "trust"],
     "joined": ["v1", "v2", "v3"], "v4": ["joined"], "extra": ["fact"], "v5": ["v4", "extra"],
-    "raw": [], "named": ["raw"], "clean": ["named"], "prov": ["trust"], "built": ["prov"],
+    "raw": [], "named": ["raw"], "clean": ["named"], "years": [], "prov": ["trust", "years"], "built": ["prov"],
     "matched": ["clean", "prov"], "placed": ["matched"], "promoted": ["placed"],
 }
 
@@ -541,7 +547,12 @@ def extract_sql() -> dict[str, str]:
             "v5",
             "trust",
         ),
-        "dim_trust_extract": statement("SELECT * EXCLUDE (s) FROM trust", "trust"),
+        "dim_trust_extract": statement(
+            """SELECT trust.* EXCLUDE (s), first_year_seen, last_year_seen FROM trust LEFT JOIN (SELECT s,
+            min(financial_year) AS first_year_seen, max(financial_year) AS last_year_seen FROM years GROUP BY s) USING (s)""",
+            "trust",
+            "years",
+        ),
         "ie_summary_extract": statement(f"SELECT {HEAD}, {MONEY_V1} FROM v1", "v1"),
         "expenditure_extract": statement(
             f"""SELECT {HEAD}, pay_000s, non_pay_000s, depreciation_amort_000s, drugs_cost_000s, staff_cost_000s,
@@ -1089,25 +1100,27 @@ def monthly_sql() -> dict[str, str]:
     return {
         "kpi_cip": statement(
             f"""SELECT {keys}, a AS delivered_000s, b AS target_000s, {tenths(share)} AS cip_achievement_pct,
-            {rag(f'({share})', 1000, 800)} AS cip_rag FROM ({sides} WHERE account_type = 'CIP' GROUP BY {keys})""",
+            CASE WHEN a IS NULL OR coalesce(b, 0) = 0 THEN 'Grey' WHEN 100 * a >= 100 * b THEN 'Green'
+                 WHEN 100 * a >= 80 * b THEN 'Amber' ELSE 'Red' END AS cip_rag FROM ({sides} WHERE account_type = 'CIP' GROUP BY {keys})""",
             "monthly",
         ),
         "kpi_agency": statement(
             f"""SELECT {keys}, p AS pay_000s, g AS agency_000s, {tenths(agency)} AS agency_pct,
-            CAST(coalesce(({agency}) >= 35, false) AS INT) AS over_ceiling FROM ({pay})""",
+            CAST(p + g > 0 AND 1000 * g >= 35 * (p + g) AS INT) AS over_ceiling FROM ({pay})""",
             "monthly",
         ),
         "kpi_capital": statement(
             f"""SELECT {keys}, a AS actual_000s, b AS plan_000s, {tenths(share)} AS capital_pct,
-            CASE WHEN ({share}) BETWEEN 900 AND 1100 THEN 'Green' WHEN ({share}) >= 750 AND ({share}) < 900 THEN 'Amber'
-                 WHEN ({share}) IS NULL THEN 'Grey' ELSE 'Red' END AS capital_rag
+            CASE WHEN a IS NULL OR coalesce(b, 0) = 0 THEN 'Grey' WHEN 100 * a > 110 * b OR 100 * a < 75 * b THEN 'Red'
+                 WHEN 100 * a < 90 * b THEN 'Amber' ELSE 'Green' END AS capital_rag
             FROM ({sides} WHERE account_type = 'CAPITAL' GROUP BY {keys})""",
             "monthly",
         ),
         "kpi_budget_variance": statement(
             f"""SELECT {keys}, account_type, period, a AS actual_000s, b AS budget_000s, a - b AS variance_000s,
             {tenths(variance)} AS variance_pct, CASE WHEN (a - b) * {good} >= 0 THEN 'FAV' ELSE 'ADV' END AS direction,
-            {rag(f'(({variance}) * {good})', 0, -20)} AS variance_rag, CAST(sum(a) {ytd} AS BIGINT) AS ytd_actual_000s,
+            CASE WHEN b = 0 THEN 'Grey' WHEN (a - b) * {good} >= 0 THEN 'Green'
+                 WHEN 100 * (a - b) * {good} >= -2 * abs(b) THEN 'Amber' ELSE 'Red' END AS variance_rag, CAST(sum(a) {ytd} AS BIGINT) AS ytd_actual_000s,
             CAST(sum(b) {ytd} AS BIGINT) AS ytd_budget_000s, CAST(sum(a - b) {ytd} AS BIGINT) AS ytd_variance_000s
             FROM (SELECT {keys}, account_type, period, {total('actual')} AS a, {total('budget')} AS b FROM monthly
                   WHERE account_type IN ('INCOME', 'PAY', 'NON_PAY') GROUP BY ALL)""",

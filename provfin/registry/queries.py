@@ -63,7 +63,7 @@ def _lines(s, d):
 
 
 def _providers(s, d):
-    return ingest.clean_providers(fx.raw_providers(s, d), code_length=fx.CODE_WIDTH)
+    return ingest.clean_providers(fx.raw_providers(s, d), code_length=fx.CODE_WIDTH, or_longer=True)
 
 
 def _promoted(s, d):
@@ -89,9 +89,9 @@ def _derive_type(s, d):
 
 
 def _dim_trust_build(s, d):
-    """A first load of the two earlier years, then an update with the latest."""
+    """A first load of the earlier years, then an update with the later ones."""
     providers = _providers(s, d)
-    latest, earlier = f"financial_year = '{YEAR}'", f"financial_year <> '{YEAR}'"
+    latest, earlier = f"financial_year >= '{YEAR}'", f"financial_year < '{YEAR}'"
     return merge.build_dim_trust(providers.filter(latest), merge.build_dim_trust(providers.filter(earlier)))
 
 
@@ -196,7 +196,7 @@ def queries() -> dict[str, Query]:
         "extract_workforce": _extract("workforce"),
         "dim_financial_year_extract": _years,
         "extract_with_dimensions": _linked,
-        "dim_trust_extract": lambda s, d: extracts.dim_trust_extract(fx.dim_trust(s, d)),
+        "dim_trust_extract": lambda s, d: extracts.dim_trust_extract(fx.dim_trust(s, d, seen=True)),
         "ie_summary_extract": lambda s, d: extracts.income_summary_extract(_v1(s, d)),
         "expenditure_extract": lambda s, d: extracts.expenditure_extract(_v2(s, d)),
         "workforce_extract": lambda s, d: extracts.workforce_extract(_v3(s, d)),
@@ -245,7 +245,7 @@ def queries() -> dict[str, Query]:
         "m_yoy": lambda s, d: measures.yoy(_card(s, d), ["trust_type"], prior_year=fx.PRIOR_YEARS),
         "m_rag": lambda s, d: measures.rag(_card(s, d), [*BY_YEAR_SECTOR, "region"]),
         "m_benchmark": lambda s, d: measures.benchmark(_card(s, d), enrich.sector_benchmarks(_card(s, d)), BY_YEAR),
-        "m_labels": lambda s, d: measures.labels(_card(s, d), ["region"], SLICE),
+        "m_labels": lambda s, d: measures.labels(_card(s, d, year), ["region"], SLICE),
         # monthly returns
         "kpi_cip": lambda s, d: monthly.cip_achievement(fx.monthly(s, d)),
         "kpi_agency": lambda s, d: monthly.agency_share(fx.monthly(s, d)),

@@ -5,19 +5,19 @@ the ship date. ``facts`` reads ``lineitem`` once and shuffles once: postings are
 organisation and year on integer keys (partial sums before the shuffle, so one busy supplier costs one
 row per task and key), and the account lines are then unfolded from that one row in the same stage.
 
-Organisation codes are nine digits wide: as the supplier names, they never run out.
+Organisation codes have nine digits, or as many as the supplier's number needs: no number is ever cut.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from provfin.functions import expr
 from provfin.refdata import WS_EXPENDITURE, WS_OTHER_INCOME, WS_PATIENT_INCOME, WS_SOCI, WS_STAFF
 
 CODE_WIDTH = 9
 YEAR, PRIOR, BASE = "2000/01", "1999/00", "1998/99"
-YEARS = [BASE, PRIOR, YEAR]
 PRIOR_YEARS = {"2000/01": "1999/00", "1999/00": "1998/99", "1998/99": "1997/98"}
 
 SECTORS = ["Acute", "Mental Health", "Community", "Ambulance", "Specialist"]
@@ -59,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def org_code(suppkey: str) -> str:
-    return f"lpad(CAST({suppkey} AS STRING), {CODE_WIDTH}, '0')"
+    return f"lpad(CAST({suppkey} AS STRING), greatest({CODE_WIDTH}, length(CAST({suppkey} AS STRING))), '0')"
 
 
 def trust_type(suppkey: str) -> str:
@@ -110,6 +110,9 @@ ACCOUNT_LINES = [
     (WS_PATIENT_INCOME, "", "INC0350", "patient"),
     (WS_OTHER_INCOME, "", "INC1360", "other"),
     (WS_EXPENDITURE, "", "EXP0390", "spend"),
+    (WS_EXPENDITURE, "", "EXP0200", "spend DIV 50"),
+    (WS_EXPENDITURE, "", "EXP0210", "spend DIV 80"),
+    (WS_EXPENDITURE, "", "EXP0220", "spend DIV 120"),
     (WS_STAFF, "", "STA0220", "pay + 1000"),
     (WS_STAFF, "", "STA0250", "pay"),
     (WS_STAFF, "", "STA0410", _staffed("wte * 10")),
@@ -117,6 +120,10 @@ ACCOUNT_LINES = [
     (WS_STAFF, "", "STA0310", _staffed("medical * 10")),
     (WS_STAFF, "", "STA0350", _staffed("nursing * 10")),
     (WS_STAFF, "", "STA0550", _staffed("wte % 15 + 5")),
+    (WS_STAFF, "", "STA0330", _staffed("wte * 2")),
+    (WS_STAFF, "", "STA0340", _staffed("wte * 3")),
+    (WS_STAFF, "", "STA0370", _staffed("wte")),
+    (WS_STAFF, "", "STA0530", _staffed("wte * (wte % 15 + 5)")),
 ]
 
 
@@ -196,19 +203,31 @@ def sector(suppkey: str) -> str:
     return expr.lookup(f"{suppkey} % 5", dict(enumerate(SECTORS)))
 
 
-def dim_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _suppliers(spark, sf_dir).selectExpr(
+def dim_trust(spark: SparkSession, sf_dir: str, seen: bool = False) -> DataFrame:
+    """Organisations; with ``seen`` also the first and last year that has postings of them."""
+    trusts = _suppliers(spark, sf_dir)
+    columns = []
+    if seen:
+        years = _posted_years(spark, sf_dir).groupBy("l_suppkey").agg(F.min("start_year").alias("low"), F.max("start_year").alias("high"))
+        trusts = trusts.join(years, trusts.s_suppkey == years.l_suppkey, "left")
+        columns = [f"{expr.year_label('low')} AS first_year_seen", f"{expr.year_label('high')} AS last_year_seen"]
+    return trusts.selectExpr(
         f"{org_code('s_suppkey')} AS org_code",
         "s_name AS organisation_name",
         f"{trust_type('s_suppkey')} AS trust_type",
         f"{sector('s_suppkey')} AS sector",
         "r_name AS region",
         f"{expr.flag('s_suppkey % 3 <> 0')} AS is_foundation",
-        "'1994/95' AS first_year_seen",
-        "'2001/02' AS last_year_seen",
+        *columns,
     )
 
 
+def _posted_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The years in which each supplier has postings."""
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.selectExpr("l_suppkey", f"{expr.fiscal_year_start(SHIP_DATE)} AS start_year").distinct()
+
+
 # --- raw extracts, as published: drifting names, spaces, text totals -------------------------------
 
 
@@ -254,23 +273,25 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The provider list of three yearly files, under the published headers.
+    """The provider lists of all yearly files, under the published headers: an organisation is listed in years with postings.
 
-    Every 17th supplier is never listed, every 13th loses its sector in the last file, every 19th is
-    renamed, and some have a code of the wrong length or none.
+    Every 17th supplier is never listed; from 2000/01 on every 13th has no sector and every 19th a new name; some
+    have a code of the wrong length or none.
     """
-    years = ", ".join(f"'{y}'" for y in YEARS)
-    listed = _suppliers(spark, sf_dir).filter("s_suppkey % 17 <> 16")
-    return listed.selectExpr("*", f"explode(array({years})) AS year").selectExpr(
-        f"""CASE WHEN s_suppkey % 19 = 18 AND year = '{YEAR}' THEN concat(s_name, ' Group')
+    years = _posted_years(spark, sf_dir).filter("l_suppkey % 17 <> 16")
+    suppliers = _suppliers(spark, sf_dir)
+    listed = years.join(suppliers, years.l_suppkey == suppliers.s_suppkey)
+    late = f"start_year >= {YEAR[:4]}"
+    return listed.selectExpr(
+        f"""CASE WHEN s_suppkey % 19 = 18 AND {late} THEN concat(s_name, ' Group')
             ELSE concat(' ', s_name) END AS `Full name of Provider`""",
         f"""CASE WHEN s_suppkey % 46 = 22 THEN '7Q'
             WHEN s_suppkey % 46 <> 45 THEN concat({org_code("s_suppkey")}, ' ') END AS `NHS code`""",
         "r_name AS Region",
-        f"CASE WHEN NOT (s_suppkey % 13 = 12 AND year = '{YEAR}') THEN {sector('s_suppkey')} END AS Sector",
+        f"CASE WHEN NOT (s_suppkey % 13 = 12 AND {late}) THEN {sector('s_suppkey')} END AS Sector",
         "CAST(NULL AS STRING) AS `Comments `",
-        """concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
-                  replace(year, '/', '-')) AS source_file""",
+        f"""concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
+                  replace({expr.year_label('start_year')}, '/', '-')) AS source_file""",
     )
 
 
