@@ -71,40 +71,44 @@ def extend_worksheets(dim_worksheet: DataFrame, lines: DataFrame) -> DataFrame:
     return dim_worksheet.unionByName(new)
 
 
-def _winner(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Last values and first attributes per key, with the order kept for a further round."""
-    return rows.groupBy(*keys).agg(F.max("last").alias("last"), F.min("first").alias("first"))
+# A row number and a total in one number that orders as the pair does; rows without a number come first.
+_PLACE = "CAST(coalesce(row_num, -9223372036854775807) AS DECIMAL(19,0)) * 1000000000000000 + (total + 100000000000000)"
+_TOTAL_OF = "CAST(pmod({0}, CAST(1000000000000000 AS DECIMAL(38,0))) - 100000000000000 AS DECIMAL(14,0))"
 
 
-def promote_lines(lines: DataFrame, providers: DataFrame) -> DataFrame:
+def promote_lines(lines: DataFrame, providers: DataFrame, batch: str = "0") -> DataFrame:
     """Clean lines to fact rows, one per fact key; the last line of a key wins.
 
-    Lines are reduced to one row per name and code before they meet the provider list, so the join sees
-    no hot names. Names match without regard to case. A second round settles names that share a code.
+    Raw lines are first reduced by key, file and worksheet with numbers alone, which Spark adds up in hash tables before the
+    shuffle; names and codes are compared only among what is left. Names match without regard to case, and the rows meet the
+    provider list after the reduction, so the join sees no hot names. ``batch`` (SQL text over the lines) numbers loads that
+    follow one another: with it one scan promotes them all, and the result is what merging them in turn would leave.
     """
     match = ["financial_year", "trust_type", "name_key"]
-    staged = lines.selectExpr(
-        "financial_year",
-        "trust_type",
-        "lower(organisation_name) AS name_key",
-        "main_code",
-        "sub_code",
-        "struct(source_file, row_num, total) AS last",
-        "struct(source_file, row_num, total, worksheet_name, table_id) AS first",
-    )
+    reduced = (
+        lines.selectExpr(
+            f"{batch} AS batch", "financial_year", "trust_type", "lower(organisation_name) AS name_key", "main_code", "sub_code",
+            "source_file", "worksheet_name", "table_id", f"CAST({_PLACE} AS DECIMAL(38,0)) AS place",
+        )
+        .groupBy("batch", *match, "main_code", "sub_code", "source_file", "worksheet_name", "table_id")
+        .agg(F.max("place").alias("last"), F.min("place").alias("first"))
+    )
     codes = providers.selectExpr(
         "financial_year", "trust_type", "lower(organisation_name) AS name_key", "org_code"
     ).distinct()
-    joined = _winner(staged, [*match, "main_code", "sub_code"]).join(codes, match)
-    coded = joined.selectExpr(*FACT_KEY, "last", "struct(first.*, trust_type) AS first")
-    return _winner(coded, FACT_KEY).selectExpr(
+    columns = {
+        "last": "max(struct(batch, source_file, last))",
+        "first": "min(struct(batch, source_file, first, worksheet_name, table_id, trust_type))",
+    }
+    coded = reduced.join(codes, match).groupBy(*FACT_KEY).agg(*named(columns))
+    return coded.selectExpr(
         "org_code",
         "financial_year",
         "first.worksheet_name",
         "first.table_id",
         "main_code",
         "sub_code",
-        "CAST(last.total AS DECIMAL(14,0)) AS total_000s",
+        f"{_TOTAL_OF.format('last.last')} AS total_000s",
         "first.trust_type",
         "last.source_file",
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from provfin.functions import expr
 from provfin.functions.expr import named
+from provfin.operators.ingest import inspected_lines
 from provfin.operators.pivot import Line, pivot_lines
 from provfin.plans.trend import BILLION, MILLION, in_year, total_bn, total_m
 from provfin.plans.views import (
@@ -211,32 +212,43 @@ def has_critical_failure(report: DataFrame) -> bool:
     return not report.filter((F.col("severity") == "CRITICAL") & ~F.col("passed")).isEmpty()
 
 
-def preload_audit(lines: DataFrame, providers: DataFrame) -> DataFrame:
-    """Gate before a load, per source file: nulls are CRITICAL, duplicates and unlisted names warn.
+def preload_audit(raw_lines: DataFrame, providers: DataFrame) -> DataFrame:
+    """Gate before a load, per source file, on the lines as published: what cleaning would drop or change is counted.
 
-    Lines are grouped by (file, organisation, main code, sub code) first, so a hot organisation shrinks
-    to its distinct codes before anything is compared.
+    Missing values and totals that do not fit are CRITICAL; unreadable totals, duplicates and unlisted names among the lines that
+    cleaning keeps warn. Lines are grouped by (file, organisation, main code, sub code) first, so a hot organisation shrinks to
+    its distinct codes before anything is compared.
     """
-    required = ["organisation_name", "sub_code", "total", "financial_year"]
     file = ["source_file", "financial_year", "trust_type"]
-    counts = {"n": "count(*)"} | {f"null_{c}": f"count_if({c} IS NULL)" for c in required}
-    sums = {f"null_{c}": f"sum(null_{c})" for c in required}
+    kept = "organisation_name IS NOT NULL AND sub_code IS NOT NULL AND NOT no_total AND NOT too_large"
+    faults = {
+        "no_name": "organisation_name IS NULL", "no_code": "sub_code IS NULL", "no_total": "no_total",
+        "no_year": "financial_year IS NULL", "unreadable": "unreadable", "too_large": "too_large",
+    }
+    counts = {"n": f"count_if({kept})"} | {f"{k}_n": f"count_if({v})" for k, v in faults.items()}
+    sums = {f"{k}_n": f"sum({k}_n)" for k in faults}
     listed = providers.selectExpr(
         "financial_year", "trust_type", "lower(organisation_name) AS name_key", "1 AS listed"
     ).distinct()
     names = (
-        lines.groupBy(*file, "organisation_name", "main_code", "sub_code")
+        inspected_lines(raw_lines)
+        .groupBy(*file, "organisation_name", "main_code", "sub_code")
         .agg(*named(counts))
         .selectExpr("*", "lower(organisation_name) AS name_key")
         .groupBy(*file, "name_key")
-        .agg(*named({"dupes": "sum(n - 1)"} | sums))
+        .agg(*named({"n": "sum(n)", "dupes": "sum(greatest(n - 1, 0))"} | sums))
         .join(listed, ["financial_year", "trust_type", "name_key"], "left")
     )
     files = names.groupBy("source_file").agg(
-        *named({"dupes": "sum(dupes)", "unlisted": "count_if(listed IS NULL)"} | sums)
+        *named({"dupes": "sum(dupes)", "unlisted": "count_if(n > 0 AND listed IS NULL)"} | sums)
     )
-    gates = [(f"nulls in {c}", "CRITICAL", f"null_{c}") for c in required]
-    gates += [
+    gates = [
+        ("nulls in organisation_name", "CRITICAL", "no_name_n"),
+        ("nulls in sub_code", "CRITICAL", "no_code_n"),
+        ("nulls in total", "CRITICAL", "no_total_n"),
+        ("nulls in financial_year", "CRITICAL", "no_year_n"),
+        ("totals that do not fit", "CRITICAL", "too_large_n"),
+        ("unreadable totals", "WARNING", "unreadable_n"),
         ("duplicate (org, main_code, sub_code) rows", "WARNING", "dupes"),
         ("organisation names not in provider list", "WARNING", "unlisted"),
     ]

@@ -277,7 +277,7 @@ CTES |= {
         CASE WHEN mix % 11 <> 0 AND mix % 13 <> 0 AND mix % 17 = 0 THEN 0 ELSE value END AS total,
         source_file, 'CY' AS year_type, trust_type, financial_year
         FROM named WHERE current AND (mix % 3 < 2 OR mix % 97 <> 0) AND mix % 89 <> 0
-        AND (mix % 11 = 0 OR mix % 13 = 0 OR mix % 17 = 0 OR mix % 83 <> 0)""",
+        AND (mix % 11 = 0 OR mix % 13 = 0 OR mix % 17 = 0 OR (mix % 83 <> 0 AND mix % 79 <> 0))""",
     "years": f"""SELECT DISTINCT l_suppkey AS s, {LABEL.format(f"({START.format('l_shipdate')})")} AS financial_year FROM lineitem""",
     "prov": f"""SELECT CASE WHEN s % 19 = 18 AND financial_year >= '{YEAR}' THEN organisation_name || ' Group'
         ELSE organisation_name END AS organisation_name, org_code, region,
@@ -395,10 +395,18 @@ def _unpivot(parts: dict[str, str], source: str, name: str, value: str) -> str:
 def ingest_sql() -> dict[str, str]:
     files = "FROM named GROUP BY source_file"
     shown = ", ".join(f"'{ws}'" for ws, *_ in WORKSHEETS)
-    nulls = " UNION ALL ".join(
-        f"SELECT DISTINCT source_file, 'nulls in {c}' AS check_name, 'CRITICAL' AS severity, CAST(0 AS BIGINT) AS failures,"
-        " true AS passed FROM clean"
-        for c in ("organisation_name", "sub_code", "total", "financial_year")
+    plain = "mix % 11 <> 0 AND mix % 13 <> 0 AND mix % 17"
+    faults = " UNION ALL ".join(
+        f"SELECT source_file, '{name}' AS check_name, '{severity}' AS severity, count(*) FILTER (WHERE {fault}) AS failures,"
+        f" count(*) FILTER (WHERE {fault}) = 0 AS passed FROM named WHERE current GROUP BY source_file"
+        for name, severity, fault in (
+            ("nulls in organisation_name", "CRITICAL", "mix % 3 = 2 AND mix % 97 = 0"),
+            ("nulls in sub_code", "CRITICAL", "mix % 89 = 0"),
+            ("nulls in total", "CRITICAL", f"{plain} <> 0 AND mix % 79 <> 0 AND mix % 83 = 0"),
+            ("nulls in financial_year", "CRITICAL", "financial_year IS NULL"),
+            ("totals that do not fit", "CRITICAL", f"{plain} <> 0 AND mix % 79 = 0"),
+            ("unreadable totals", "WARNING", f"{plain} = 0"),
+        )
     )
     return {
         "derive_financial_year": statement(
@@ -418,7 +426,7 @@ def ingest_sql() -> dict[str, str]:
         ),
         "fact_promote": statement("SELECT * FROM promoted", "promoted"),
         "preload_audit": statement(
-            f"""{nulls} UNION ALL
+            f"""{faults} UNION ALL
             SELECT source_file, 'duplicate (org, main_code, sub_code) rows', 'WARNING', CAST(n AS BIGINT), n = 0
             FROM (SELECT source_file, count(*) - count(DISTINCT (organisation_name, main_code, sub_code)) AS n
                   FROM clean GROUP BY source_file)
@@ -428,6 +436,7 @@ def ingest_sql() -> dict[str, str]:
                          FILTER (WHERE p.organisation_name IS NULL) AS n
                   FROM clean c LEFT JOIN prov p ON lower(c.organisation_name) = lower(p.organisation_name)
                    AND c.financial_year = p.financial_year AND c.trust_type = p.trust_type GROUP BY c.source_file)""",
+            "named",
             "clean",
             "prov",
         ),

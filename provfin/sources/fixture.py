@@ -239,7 +239,7 @@ def _by_slot(values: list[str]) -> str:
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One published account line per shipped line, under the published headers, all text.
 
-    Names differ in case and spacing, and some names, codes and totals are missing or unreadable.
+    Names differ in case and spacing, and some names, codes and totals are missing, unreadable or too large.
     """
     by_slot = [(ws, code) for first, last, ws, code in SLOTS for _ in range(first, last + 1)]
     codes = [code for _, code in by_slot]
@@ -263,7 +263,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "RowNumber": "CAST(row_number AS STRING)",
         "SubCode": f"CASE WHEN mix % 89 <> 0 THEN {_by_slot([' ' + c for c in codes])} END",
         "Total": """CASE WHEN mix % 11 = 0 THEN format_number(value, 0) WHEN mix % 13 = 0 THEN concat(value, '.9')
-            WHEN mix % 17 = 0 THEN 'n/a' WHEN mix % 83 <> 0 THEN CAST(value AS STRING) END""",
+            WHEN mix % 17 = 0 THEN 'n/a' WHEN mix % 79 = 0 THEN concat(value, '00000000000000') WHEN mix % 83 <> 0 THEN CAST(value AS STRING) END""",
         "source_file": """concat(CASE WHEN l_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
             start_year, '-', lpad((start_year + 1) % 100, 2, '0'))""",
     }

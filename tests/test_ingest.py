@@ -55,7 +55,7 @@ def test_file_names(spark):
     names = spark.createDataFrame([("TAC_NHS_Foundation_trusts_2021-22.csv",), (FILE,)], "f string")
     rows = names.selectExpr(ingest.derive_financial_year("f") + " AS y", ingest.derive_trust_type("f") + " AS t").collect()
     assert [tuple(r) for r in rows] == [("2021/22", "FOUNDATION_TRUST"), ("2023/24", "NHS_TRUST")]
-    with pytest.raises(PySparkException, match="Cannot extract financial year"):
+    with pytest.raises(PySparkException, match="no year in the file name"):
         spark.createDataFrame([("nothing.csv",)], "f string").selectExpr(ingest.derive_financial_year("f")).collect()
 
 
@@ -114,13 +114,44 @@ def test_unseen_worksheet(spark):
     assert [r.schedule_title for r in rows if r.worksheet_name == "TAC99 New"] == ["TAC99 New"]
 
 
-def test_preload_gate(spark):
-    clean = ingest.clean_lines(lines(spark, [line(row="1"), line(row="2"), line(name="Nobody")]))
+def test_preload_gate_counts_what_cleaning_drops(spark):
+    rows = [line(row="1"), line(row="2"), line(name="Nobody"), line(name=" "), line(name=None), line(code="nan"), line(total=None),
+            line(total="n/a"), line(total="1e20"), line(total="-100,000,000,000,000")]
     listed = ingest.clean_providers(providers(spark, [("org a", "RAA", None, FILE)]))
-    failures = {r.check_name: r.failures for r in audit.preload_audit(clean, listed).collect()}
-    assert failures["duplicate (org, main_code, sub_code) rows"] == 1
-    assert failures["organisation names not in provider list"] == 1
-    assert failures["nulls in total"] == 0
+    raw = lines(spark, rows)
+    failures = {r.check_name: (r.failures, r.passed) for r in audit.preload_audit(raw, listed).collect()}
+    assert failures == {
+        "nulls in organisation_name": (2, False), "nulls in sub_code": (1, False), "nulls in total": (1, False),
+        "nulls in financial_year": (0, True), "totals that do not fit": (2, False), "unreadable totals": (1, False),
+        "duplicate (org, main_code, sub_code) rows": (2, False), "organisation names not in provider list": (1, False),
+    }
+    assert sorted(r.total for r in ingest.clean_lines(raw).collect()) == sorted([0, *[int(x.total) for x in ingest.clean_lines(lines(spark, rows[:3])).collect()]])
+
+
+def test_long_codes_are_kept_whole(spark):
+    codes = spark.sql(f"SELECT {fx.org_code('id')} AS c FROM VALUES (7), (999999999), (1000000000), (1000000001) AS t(id)")
+    assert [r.c for r in codes.collect()] == ["000000007", "999999999", "1000000000", "1000000001"]
+    rows = [("A", "1000000001", None, FILE), ("B", "00000001", None, FILE), ("C", "000000001", None, FILE)]
+    kept = ingest.clean_providers(providers(spark, rows), code_length=9, or_longer=True)
+    assert sorted(r.org_code for r in kept.collect()) == ["000000001", "1000000001"]
+
+
+def test_raw_lines_are_hashed_not_sorted_before_the_first_shuffle(spark, sf_dir):
+    plan = merge.promote_lines(ingest.clean_lines(fx.raw_lines(spark, sf_dir)), ingest.clean_providers(fx.raw_providers(spark, sf_dir), 9, True))
+    text = plan._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = next(i for i, x in enumerate(text) if "partial_max(place" in x)
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    below = [x for x in text[at:] if depth(x) >= depth(text[at])]
+    assert "HashAggregate" in text[at] and not any("Sort" in x for x in below[:4])
+
+
+def test_batches_in_one_scan_equal_merging_in_turn(spark):
+    rows = [line(row=str(i), total=str(i * 7 % 40), code=f"c{i % 5}", sheet=f"TAC{i % 3}") for i in range(60)]
+    clean, listed = ingest.clean_lines(lines(spark, rows)), ingest.clean_providers(providers(spark, [("Org A", "RAA", None, FILE)]))
+    first = "row_num % 4 < 2"
+    turn = merge.merge_facts(merge.promote_lines(clean.filter(first), listed), merge.promote_lines(clean.filter(f"NOT {first}"), listed))
+    once = merge.promote_lines(clean, listed, batch=f"CASE WHEN {first} THEN 0 ELSE 1 END")
+    assert sorted(map(str, turn.collect())) == sorted(map(str, once.select(*turn.columns).collect()))
 
 
 def test_files_to_fact_table(spark, tmp_path):
