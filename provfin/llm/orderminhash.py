@@ -17,7 +17,6 @@ KMER, SLOTS, TUPLE, PLACE = 2, 64, 2, 24
 #: Rows of a range of ids whose neighbours are found together, and most ranges.
 RANGE_ROWS, MOST_RANGES = 500, 1 << 16
 _LOW = (1 << PLACE) - 1
-_NONE = "...."
 
 
 def _let(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -33,72 +32,84 @@ def _slot(x: Column) -> Column:
     return F.shiftrightunsigned(x, 58)
 
 
+def _packed(h: Column, place: Column) -> Column:
+    return h.bitwiseAND(F.lit(~_LOW)).bitwiseOR(place.cast("long").bitwiseAND(F.lit(_LOW)))
+
+
 def _numbered(kmers: Column, x: Column, i: Column) -> Column:
     """How many equal k-mers stand before place ``i`` of the sorted array, by steps that halve."""
-    same = lambda n: F.coalesce(_above(F.get(kmers, i - n)) == _above(x), F.lit(False))
     steps = F.array(*(F.lit(1 << b) for b in range(PLACE - 1, -1, -1)))
-    counted = F.aggregate(steps, F.lit(0), lambda n, d: F.when((i >= n + d) & same(n + d), n + d).otherwise(n))
-    return F.when((i > 0) & same(F.lit(1)), counted).otherwise(F.lit(0))
+    same = lambda n: F.coalesce(_above(F.get(kmers, i - n)) == _above(x), F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda n, d: F.when((i >= n + d) & same(n + d), n + d).otherwise(n))
 
 
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds a fingerprint column: four hex digits for each slot, dots where a slot has no k-mer.
+def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds a signature column: for each filled slot, in the order of signed hashes, the slot's number times 65536 and 16 bits of its tuple's hash.
 
-    Null and blank texts have dots only. Words end at ASCII white space; the last k-mers of a text are shorter.
+    Null and blank texts fill no slot. Words end at ASCII white space; the last k-mers of a text are shorter. A k-mer's first
+    occurrence is its own hash, later ones hash it with their number.
     """
     kept = df.columns
     plain = F.translate(F.coalesce(F.col(text), F.lit("")), "\t\n\x0b\x0c\r", " " * 5)
-    df = _let(df, "_words", F.transform(F.array_remove(F.split(plain, " "), ""), lambda w: F.xxhash64(w)))
+    df = df.select(*kept, F.array_remove(F.split(plain, " "), "").alias("_words"))
     words = F.col("_words")
-    kmer = lambda x, i: F.xxhash64(x, *(F.get(words, i + k) for k in range(1, KMER)))
-    packed = lambda h, place: h.bitwiseAND(F.lit(~_LOW)).bitwiseOR(place.cast("long").bitwiseAND(F.lit(_LOW)))
-    df = _let(df, "_kmers", F.sort_array(F.transform(words, lambda x, i: packed(kmer(x, i), i))))
+    kmer = lambda x, i: _packed(F.xxhash64(x, *(F.get(words, i + k) for k in range(1, KMER))), i)
+    df = _let(df, "_hashes", F.transform(words, kmer))
+    df = df.select(*kept, F.sort_array("_hashes").alias("_kmers"))
     kmers = F.col("_kmers")
-    pair = lambda x, i: F.xxhash64(_above(x), _numbered(kmers, x, i))
-    df = _let(df, "_pairs", F.sort_array(F.transform(kmers, lambda x, i: packed(pair(x, i), x))))
-    pairs = F.col("_pairs")
-    first = lambda x, i: (i < TUPLE) | (_slot(F.get(pairs, i - TUPLE)) != _slot(x))
-    df = _let(df, "_least", F.filter(pairs, first))
+    again = lambda x, i: _packed(F.xxhash64(_above(x), _numbered(kmers, x, i)), x)
+    df = _let(df, "_pairs", F.transform(kmers, lambda x, i: F.when(_above(F.get(kmers, i - 1)) == _above(x), again(x, i)).otherwise(x)))
+    df = df.select(*kept, F.sort_array("_pairs").alias("_sorted"))
+    pairs = F.col("_sorted")
+    df = _let(df, "_least", F.filter(pairs, lambda x, i: (i < TUPLE) | (_slot(F.get(pairs, i - TUPLE)) != _slot(x))))
     least = F.col("_least")
-    df = _let(df, "_slots", F.transform(least, _slot))
 
-    def digits(b: Column) -> Column:
-        chosen = F.filter(least, lambda x: _slot(x) == b)
-        in_order = F.array_sort(F.transform(chosen, lambda x: F.struct(x.bitwiseAND(F.lit(_LOW)).alias("place"), _above(x).alias("pair"))))
-        code = F.xxhash64(F.transform(in_order, lambda s: s["pair"]))
-        return F.when(F.array_contains(F.col("_slots"), b), F.lower(F.lpad(F.hex(code.bitwiseAND(F.lit(0xFFFF))), 4, "0"))).otherwise(_NONE)
+    def tuple_of(x: Column, i: Column) -> Column:
+        """The slot's two k-mers in text order, at the first of them; null at the second."""
+        other = F.get(least, i + 1)
+        place = lambda v: v.bitwiseAND(F.lit(_LOW))
+        both = F.when(place(other) < place(x), F.xxhash64(_above(other), _above(x))).otherwise(F.xxhash64(_above(x), _above(other)))
+        code = F.when(_slot(other) == _slot(x), both).otherwise(F.xxhash64(_above(x)))
+        made = F.shiftleft(_slot(x), 16).bitwiseOR(code.bitwiseAND(F.lit(0xFFFF)))
+        return F.when((i > 0) & (_slot(F.get(least, i - 1)) == _slot(x)), F.lit(None)).otherwise(made).cast("int")
 
-    made = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), digits), "")
-    return df.select(*kept, made.alias(name))
+    return _let(df, name, F.array_compact(F.transform(least, tuple_of))).select(*kept, name)
+
+
+def spelled(signature: str) -> Column:
+    """A signature as text: for each filled slot two hex digits of its number and four of its hash."""
+    return F.array_join(F.transform(F.col(signature), lambda x: F.lower(F.lpad(F.hex(x), 6, "0"))), "")
 
 
 def likeness(a: str, b: str) -> Column:
-    """Share of equal slots among those that either fingerprint fills; 1 for two that fill none."""
-    at = F.sequence(F.lit(0), F.lit(SLOTS - 1))
-    part = lambda c, i: F.substring(F.col(c), i * 4 + 1, F.lit(4))
-    filled = F.filter(at, lambda i: (part(a, i) != _NONE) | (part(b, i) != _NONE))
-    equal = F.filter(filled, lambda i: part(a, i) == part(b, i))
-    return F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(F.size(equal) / F.greatest(F.size(filled), F.lit(1)))
+    """Share of equal slots among those that either signature fills; 1 for two that fill none."""
+    slots = lambda c: F.transform(F.col(c), lambda x: F.shiftright(x, 16))
+    filled = F.size(F.array_union(slots(a), slots(b)))
+    return F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.greatest(filled, F.lit(1)))
 
 
-def _ranges(ids: DataFrame) -> list[int]:
+def ranges(docs: DataFrame) -> list[int]:
     """Largest id of every range, the largest of all last; ids themselves, a bounded number of them."""
-    rows = ids.count()
-    if not rows:
-        return [0]
+    ids = docs.select(_id().alias("id"))
+    rows, top = ids.agg(F.count(F.lit(1)), F.max("id")).first()
     parts = min(max(rows // RANGE_ROWS, 1), MOST_RANGES)
-    found = ids.agg(F.percentile_approx("id", [i / parts for i in range(1, parts + 1)], 10 * parts)).first()[0] if parts > 1 else []
-    return sorted({*found, ids.agg(F.max("id")).first()[0]})
+    if parts == 1:
+        return [top or 0]
+    found = ids.agg(F.percentile_approx("id", [i / parts for i in range(1, parts + 1)], 10 * parts)).first()[0]
+    return sorted({*found, top})
+
+
+def _id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long"))
 
 
-def with_next(docs: DataFrame, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, carried: list[str], tops: list[int]) -> DataFrame:
     """Adds ``next_`` columns of the document with the next smaller doc_id; the smallest is followed by the largest.
 
-    Ids are cut into ranges at known ids, and the largest document of a range also visits the range above as its last row, so that
+    Ids are cut into ranges at known ids (``ranges`` of the same documents), and the largest document of a range also visits the range above as its last row, so that
     each row finds its neighbour in its own range after one shuffle. Null ids come last, rows of equal id in the order of texts.
     """
-    docs = docs.withColumn("_id", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)).cast("long")))
-    tops = _ranges(docs.select(F.col("_id").alias("id")))
+    docs = docs.withColumn("_id", _id())
     size = max(int(len(tops) ** 0.5), 1)
     every = F.array(*(F.lit(x).cast("long") for x in tops[size - 1 :: size])) if len(tops) >= size else F.array().cast("array<long>")
     below = lambda xs: F.size(F.filter(xs, lambda x: x < F.col("_id")))
@@ -121,14 +132,14 @@ def report(docs: DataFrame) -> DataFrame:
     document follows itself; null texts are empty; repeated rows follow one another; no documents give no row.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    docs = with_next(with_fingerprint(docs, "text", "fingerprint"), ["text", "fingerprint"])
+    tops = ranges(docs)  # from the ids alone, before texts are read
+    docs = with_next(with_signature(docs, "text", "signature"), ["text", "signature"], tops)
     docs = docs.withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.expr("CAST(n_chars div 2 AS INT)")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
     docs = _let(docs, "edited", edited).drop("text", "next_text")
-    docs = with_fingerprint(docs, "edited", "edited_fingerprint")
+    docs = with_signature(docs.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_signature")
     return docs.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
-        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "next_fingerprint").alias("near_next"),
+        "doc_id", "n_chars", "edited_sha256", spelled("signature").alias("fingerprint"), spelled("edited_signature").alias("edited_fingerprint"),
+        likeness("signature", "edited_signature").alias("near_edited"), likeness("signature", "next_signature").alias("near_next"),
     )

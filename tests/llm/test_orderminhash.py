@@ -24,23 +24,23 @@ class Int(int):
 def fingerprint(text):
     for c in "\t\n\x0b\x0c\r":
         text = text.replace(c, " ")
-    words = [chained(w) for w in text.split(" ") if w]
+    words = [w for w in text.split(" ") if w]
     numbered, pairs = {}, []
     for i, w in enumerate(words):
         kmer = chained(w, words[i + 1] if i + 1 < len(words) else None) >> 24
-        numbered[kmer] = numbered.get(kmer, -1) + 1
-        pairs.append((chained(kmer, Int(numbered[kmer])), i))
-    out = []
-    for slot in range(64):
-        mine = sorted(((h >> 24 << 24) | i, i, h >> 24) for h, i in pairs if (h & (2**64 - 1)) >> 58 == slot)[:2]
-        out.append(f"{chained(*[h for _, _, h in sorted(mine, key=lambda x: x[1])]) & 0xFFFF:04x}" if mine else "....")
-    return "".join(out)
+        n = numbered[kmer] = numbered.get(kmer, -1) + 1
+        pairs.append((chained(kmer, Int(n)) >> 24 if n else kmer, i))
+    out = ""
+    for slot in [*range(32, 64), *range(32)]:
+        mine = sorted(((h << 24) | i, i, h) for h, i in pairs if (h & (2**40 - 1)) >> 34 == slot)[:2]
+        if mine:
+            out += f"{slot:02x}{chained(*[h for _, _, h in sorted(mine, key=lambda x: x[1])]) & 0xFFFF:04x}"
+    return out
 
 
 def likeness(a, b):
-    parts = [(a[i : i + 4], b[i : i + 4]) for i in range(0, 256, 4)]
-    filled = [p for p in parts if p != ("....", "....")]
-    return sum(x == y for x, y in filled) / len(filled) if filled else 1.0
+    a, b = ({x[i : i + 2]: x[i : i + 6] for i in range(0, len(x), 6)} for x in (a, b))
+    return sum(a[k] == b.get(k) for k in a) / len(a.keys() | b.keys()) if a or b else 1.0
 
 
 def expected(rows):
@@ -69,7 +69,7 @@ def test_equal_texts_order_and_counts(spark):
     swapped = words[150:] + words[:150]
     texts = {1: words, 2: words, 3: swapped, 4: rng.sample(words, 300), 5: words + words[:200], 6: words[:290] + ["new"] + words[290:]}
     frame = spark.createDataFrame([(k, " ".join(v)) for k, v in texts.items()], "doc_id long, text string")
-    made = {r.doc_id: r.f for r in orderminhash.with_fingerprint(frame, "text", "f").collect()}
+    made = {r.doc_id: r.f for r in orderminhash.with_signature(frame, "text", "s").select("doc_id", orderminhash.spelled("s").alias("f")).collect()}
     assert made[1] == made[2]
     near = {k: likeness(made[1], v) for k, v in made.items()}
     assert near[6] > 0.85 and near[4] < 0.1 and near[5] < near[6] and near[4] < near[3] < near[6]
@@ -88,5 +88,6 @@ def test_plan_has_no_python(odd_docs):
 
 def test_long_text_with_repeats(spark):
     text = "same words here " * 20000
-    row = orderminhash.with_fingerprint(spark.createDataFrame([(1, text)], "doc_id long, text string"), "text", "f").first()
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = orderminhash.with_signature(frame, "text", "s").select(orderminhash.spelled("s").alias("f")).first()
     assert row.f == fingerprint(text)
