@@ -109,7 +109,11 @@ def rag_below(value: str, green_below, amber_below) -> str:
 
 
 def literal(value) -> str:
-    return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+    """A value as SQL text; a quote is joined in by its code, which holds under either way of escaping."""
+    if not isinstance(value, str):
+        return str(value)
+    parts = [f"'{part}'" if "\\" not in part else "concat(" + ", chr(92), ".join(f"'{p}'" for p in part.split("\\")) + ")" for part in value.split("'")]
+    return parts[0] if len(parts) == 1 else "concat(" + ", chr(39), ".join(parts) + ")"
 
 
 def lookup(key: str, table: dict, default: str = "NULL") -> str:

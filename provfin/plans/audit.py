@@ -30,21 +30,36 @@ FACT_KEY = ["org_code", "financial_year", "main_code", "sub_code"]
 
 
 def _check(name: str, severity: str, passed: str, detail: str) -> str:
-    title = name.replace("'", "\\'")
     return (
-        f"struct('{title}' AS check_name, '{severity}' AS severity, coalesce({passed}, false) AS passed, "
+        f"struct({expr.literal(name)} AS check_name, '{severity}' AS severity, coalesce({passed}, false) AS passed, "
         f"{detail} AS detail)"
     )
 
 
-def _rows(metrics: DataFrame, *checks: str) -> DataFrame:
-    return metrics.selectExpr(f"inline(array({', '.join(checks)}))")
+#: A check: the metric it needs, its name, and the row it becomes.
+Check = tuple[str, str, str]
+
+
+def _rows(spark: SparkSession, together: Callable[[], DataFrame], alone: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
+    """All checks from one aggregation; if that cannot be planned, each from its own metric, so a failing one loses only itself."""
+    try:
+        return together().selectExpr(f"inline(array({', '.join(row for *_, row in checks)}))")
+    except AnalysisException:
+        pass
+    out = None
+    for metric, name, row in checks:
+        one = _guarded(spark, name, lambda m=metric, r=row: alone(m).selectExpr(f"inline(array({r}))"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _named_check(metric: str, name: str, severity: str, passed: str, detail: str) -> Check:
+    return metric, name, _check(name, severity, passed, detail)
 
 
 def _text(value: str, *rest: str) -> str:
     """Text of a value between fixed texts: SQL first, then literals (``£`` style prefixes go in SQL)."""
-    tail = "".join(rest).replace("'", "\\'")
-    return f"concat({value}, '{tail}')"
+    return f"concat({value}, {expr.literal(''.join(rest))})"
 
 
 def _key_checks(fact: DataFrame, dim_trust: DataFrame, expected: dict) -> DataFrame:
@@ -53,21 +68,36 @@ def _key_checks(fact: DataFrame, dim_trust: DataFrame, expected: dict) -> DataFr
     Lines are counted by fact key, the counts by organisation, and only those meet the dimension.
     """
     years = expected["years"]
-    per_year = {f"year{i}": f"count_if(financial_year = '{y}')" for i, y in enumerate(years)}
-    keys = fact.groupBy(*FACT_KEY).agg(F.count(F.lit(1)).alias("n"))
-    orgs = expr.aggregate(keys, ["org_code"], {"lines": "sum(n)", "repeated": "count_if(n > 1)"} | per_year)
-    known = dim_trust.selectExpr("org_code", "1 AS known")
-    columns = {
-        "rows": "coalesce(sum(lines), 0)",
-        "dupes": "coalesce(sum(repeated), 0)",
-        "blanks": "coalesce(sum(CASE WHEN org_code IS NULL OR trim(org_code) = '' THEN lines END), 0)",
-        "orphans": "count_if(known IS NULL AND org_code IS NOT NULL)",
-    }
-    columns |= {year: f"coalesce(sum({year}), 0)" for year in per_year}
-    metrics = orgs.join(known, "org_code", "left").agg(*named(columns))
+    per_year = {f"year{i}": f"count_if(financial_year = {expr.literal(y)})" for i, y in enumerate(years)}
+    blank = "org_code IS NULL OR trim(org_code) = ''"
+    orphan = "count_if(known IS NULL AND org_code IS NOT NULL) AS orphans"
+
+    def known() -> DataFrame:
+        return dim_trust.selectExpr("org_code", "1 AS known")
+
+    def together() -> DataFrame:
+        keys = fact.groupBy(*FACT_KEY).agg(F.count(F.lit(1)).alias("n"))
+        orgs = expr.aggregate(keys, ["org_code"], {"lines": "sum(n)", "repeated": "count_if(n > 1)"} | per_year)
+        columns = {
+            "rows": "coalesce(sum(lines), 0)",
+            "dupes": "coalesce(sum(repeated), 0)",
+            "blanks": f"coalesce(sum(CASE WHEN {blank} THEN lines END), 0)",
+        } | {year: f"coalesce(sum({year}), 0)" for year in per_year}
+        return orgs.join(known(), "org_code", "left").agg(*named(columns), F.expr(orphan))
+
+    def alone(metric: str) -> DataFrame:
+        if metric == "dupes":
+            keys = fact.groupBy(*FACT_KEY).agg(F.count(F.lit(1)).alias("n"))
+            return keys.selectExpr("count_if(n > 1) AS dupes")
+        if metric == "orphans":
+            return fact.select("org_code").distinct().join(known(), "org_code", "left").selectExpr(orphan)
+        sql = {"rows": "count(*)", "blanks": f"count_if({blank})"} | per_year
+        return fact.selectExpr(f"{sql[metric]} AS {metric}")
+
     minimum = expected["fact_row_min"]
     coverage = [
-        _check(
+        _named_check(
+            f"year{i}",
             f"year coverage: {y}",
             "CRITICAL",
             f"year{i} > 0",
@@ -75,54 +105,60 @@ def _key_checks(fact: DataFrame, dim_trust: DataFrame, expected: dict) -> DataFr
         )
         for i, y in enumerate(years)
     ]
-    return _rows(
-        metrics,
-        _check(
+    checks = [
+        _named_check(
+            "rows",
             "fct_tac row count",
             "CRITICAL",
             f"rows >= {minimum}",
             _text("format_number(rows, 0)", f" rows (expected ≥ {minimum:,})"),
         ),
         *coverage,
-        _check(
-            "no null org_codes in fct_tac", "CRITICAL", "blanks = 0", _text("blanks", " rows with null/empty org_code")
+        _named_check(
+            "blanks", "no null org_codes in fct_tac", "CRITICAL", "blanks = 0", _text("blanks", " rows with null/empty org_code")
         ),
-        _check(
+        _named_check(
+            "dupes",
             "no duplicate fact keys",
             "CRITICAL",
             "dupes = 0",
             _text("dupes", " duplicate (org_code, year, main_code, sub_code) combinations"),
         ),
-        _check(
+        _named_check(
+            "orphans",
             "no orphan org_codes in fct_tac",
             "CRITICAL",
             "orphans = 0",
             _text("orphans", " org_codes in fct_tac not in dim_trust"),
         ),
-    )
+    ]
+    return _rows(fact.sparkSession, together, alone, checks)
 
 
 def _trust_count(dim_trust: DataFrame, expected: dict) -> DataFrame:
     minimum = expected["trust_count_min"]
-    return _rows(
-        dim_trust.agg(F.count(F.lit(1)).alias("n")),
-        _check("dim_trust row count", "CRITICAL", f"n >= {minimum}", _text("n", f" trusts (expected ≥ {minimum})")),
-    )
+    count = lambda *_: dim_trust.agg(F.count(F.lit(1)).alias("n"))
+    detail = _text("n", f" trusts (expected ≥ {minimum})")
+    return _rows(dim_trust.sparkSession, count, count, [_named_check("n", "dim_trust row count", "CRITICAL", f"n >= {minimum}", detail)])
 
 
 def _view_checks(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict) -> DataFrame:
     """The six rules on the views, from one organisation-year pivot and one global aggregation."""
-    columns = [*INCOME_LINES, *EXPENDITURE_CATEGORIES, Line("total_wte", "STA0410", WS_STAFF)]
-    rows = with_trust(pivot_lines(fact, columns, dim_subcode), dim_trust)
-    rows = rows.selectExpr(
-        "*", f"{TOTAL_INCOME} AS income", f"{TOTAL_EXPENDITURE} AS expenditure", f"{EBITDA} AS ebitda"
-    ).selectExpr(
-        "*",
-        f"{expr.kpi('ebitda', 'income', 100)} AS margin",
-        f"{expr.kpi('pay_000s', 'income', 100)} AS pay_pct",
-        f"financial_year = '{expected['year']}' AS now",
-        f"financial_year = '{expected['year']}' AND income > 0 AS earning",
-    )
+    year, sector = expected["year"], expected["pay_sector"].lower()
+    now = f"financial_year = {expr.literal(year)}"
+
+    def years_of(trusts: DataFrame) -> DataFrame:
+        columns = [*INCOME_LINES, *EXPENDITURE_CATEGORIES, Line("total_wte", "STA0410", WS_STAFF)]
+        rows = with_trust(pivot_lines(fact, columns, dim_subcode), trusts)
+        return rows.selectExpr(
+            "*", f"{TOTAL_INCOME} AS income", f"{TOTAL_EXPENDITURE} AS expenditure", f"{EBITDA} AS ebitda"
+        ).selectExpr(
+            "*",
+            f"{expr.kpi('ebitda', 'income', 100)} AS margin",
+            f"{expr.kpi('pay_000s', 'income', 100)} AS pay_pct",
+            f"{now} AS now",
+            f"{now} AND income > 0 AS earning",
+        )
 
     def average(condition: str, column: str) -> str:
         return f"CAST(coalesce(round(avg(CASE WHEN {condition} THEN {column} END), 1), 0) AS {expr.PCT})"
@@ -131,53 +167,67 @@ def _view_checks(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame,
         "income": "coalesce(sum(CASE WHEN now THEN income END), 0)",
         "deficits": "count_if(earning AND operating_surplus_000s < 0)",
         "margin": average("earning", "margin"),
-        "pay_pct": average(f"earning AND sector = '{expected['pay_sector']}'", "pay_pct"),
+        "pay_pct": average(f"earning AND sector = {expr.literal(expected['pay_sector'])}", "pay_pct"),
         "unbalanced": f"count_if(abs(income - expenditure - operating_surplus_000s) > {BALANCE_TOLERANCE_000S})",
         "implausible": f"count_if(total_wte <= 0 OR total_wte > {WTE_MAX})",
     }
-    year, sector = expected["year"], expected["pay_sector"].lower()
+
+    def alone(metric: str) -> DataFrame:
+        trusts = dim_trust
+        if metric != "pay_pct":  # the only one that asks for an attribute
+            for column in ("organisation_name", "sector", "region", "trust_type"):
+                if column not in trusts.columns:
+                    trusts = trusts.withColumn(column, F.lit(None).cast("string"))
+        return years_of(trusts).agg(*named({metric: metrics[metric]}))
+
     (i_lo, i_hi), (d_lo, d_hi) = expected["income_bn"], expected["deficit_trusts"]
     (e_lo, e_hi), (p_lo, p_hi) = expected["avg_ebitda_pct"], expected["avg_pay_pct"]
     income_bn = f"concat('£', CAST(round(income / {BILLION}BD, 1) AS {expr.PCT}))"
-    return _rows(
-        rows.agg(*named(metrics)),
-        _check(
+    checks = [
+        _named_check(
+            "income",
             f"total income {year} in expected range",
             "WARNING",
             f"income BETWEEN {i_lo * BILLION} AND {i_hi * BILLION}",
             _text(income_bn, f"bn (expected £{i_lo}–{i_hi}bn)"),
         ),
-        _check(
+        _named_check(
+            "deficits",
             f"deficit trust count {year}",
             "WARNING",
             f"deficits BETWEEN {d_lo} AND {d_hi}",
             _text("deficits", f" deficit trusts (expected {d_lo}–{d_hi})"),
         ),
-        _check(
+        _named_check(
+            "margin",
             f"avg EBITDA margin {year}",
             "WARNING",
             f"margin BETWEEN {e_lo} AND {e_hi}",
             _text("margin", f"% (expected {e_lo}–{e_hi}%)"),
         ),
-        _check(
+        _named_check(
+            "pay_pct",
             f"avg pay % {sector} trusts {year}",
             "WARNING",
             f"pay_pct BETWEEN {p_lo} AND {p_hi}",
             _text("pay_pct", f"% (NHS benchmark {p_lo}–{p_hi}%)"),
         ),
-        _check(
+        _named_check(
+            "unbalanced",
             "income - expenditure = operating surplus",
             "WARNING",
             "unbalanced = 0",
             _text("unbalanced", " trust-years where I&E doesn't balance (tolerance £1m)"),
         ),
-        _check(
+        _named_check(
+            "implausible",
             f"WTE values plausible (0 < WTE ≤ {WTE_MAX:,})",
             "WARNING",
             "implausible = 0",
             _text("implausible", " trust-years with implausible WTE"),
         ),
-    )
+    ]
+    return _rows(fact.sparkSession, lambda: years_of(dim_trust).agg(*named(metrics)), alone, checks)
 
 
 REPORT_SCHEMA = "check_name string, severity string, passed boolean, detail string"
@@ -194,17 +244,9 @@ def _guarded(spark: SparkSession, name: str, build: Callable[[], DataFrame]) ->
 
 def audit_report(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict = EXPECTED) -> DataFrame:
     """One row per check: name, severity, passed, detail."""
-    spark = fact.sparkSession
-    parts = [
-        ("check_fact_keys", lambda: _key_checks(fact, dim_trust, expected)),
-        ("check_trust_count", lambda: _trust_count(dim_trust, expected)),
-        ("check_views", lambda: _view_checks(fact, dim_trust, dim_subcode, expected)),
-    ]
-    frames = [_guarded(spark, name, build) for name, build in parts]
-    report = frames[0]
-    for frame in frames[1:]:
-        report = report.unionByName(frame)
-    return report
+    report = _key_checks(fact, dim_trust, expected)
+    report = report.unionByName(_trust_count(dim_trust, expected))
+    return report.unionByName(_view_checks(fact, dim_trust, dim_subcode, expected))
 
 
 def has_critical_failure(report: DataFrame) -> bool:

@@ -162,14 +162,14 @@ def negligence_sector(card: DataFrame) -> DataFrame:
 def ebitda_movers(card: DataFrame, year: str, prior: str, limit: int = 30) -> DataFrame:
     """Change in margin between two years, most deteriorated first.
 
-    Both years of an organisation are read in one pass and paired by aggregation, instead of joining
-    the scorecard to itself.
+    Both years of an organisation are read in one pass and paired by aggregation, instead of joining the scorecard to itself.
+    Its attributes are those of the organisation dimension in either year, so they are grouping keys: no text is aggregated.
     """
 
     def value(column: str, y: str) -> str:
         return f"max(CASE WHEN financial_year = '{y}' THEN {column} END)"
 
-    columns = {c: value(c, year) for c in ("organisation_name", "sector", "region", "total_income_000s", "is_deficit")}
+    columns = {c: value(c, year) for c in ("total_income_000s", "is_deficit")}
     columns |= {
         "before": value("ebitda_margin_pct", prior),
         "after": value("ebitda_margin_pct", year),
@@ -177,7 +177,7 @@ def ebitda_movers(card: DataFrame, year: str, prior: str, limit: int = 30) -> Da
     }
     return (
         card.filter(F.col("financial_year").isin(year, prior) & (F.col("total_income_000s") > 0))
-        .groupBy("org_code")
+        .groupBy("org_code", "organisation_name", "sector", "region")
         .agg(*named(columns))
         .filter("years = 2")
         .selectExpr("*", "after - before AS change")

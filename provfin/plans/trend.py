@@ -149,8 +149,8 @@ def pay_trend(card: DataFrame) -> DataFrame:
 
 
 def mean_share(num: str, den: str, digits: int) -> str:
-    """Mean over organisations of num as a percentage of den."""
-    return f"round(avg({expr.divide(num, den, 100)}), {digits})"
+    """Mean over organisations of num as a percentage of den; decimal, so it does not depend on the order of partitions."""
+    return expr.mean(f"CAST({expr.quotient(num, den, 100)} AS DECIMAL(28,10))", digits)
 
 
 def drugs_cost(card: DataFrame, sectors: tuple[str, ...] = ("Acute", "Specialist")) -> DataFrame:

@@ -7,6 +7,8 @@ scorecard is composed view by view with joins, where Spark makes one pass. Perce
 
 from __future__ import annotations
 
+import re
+
 from provfin.plans.benchmark import SIZE_BANDS
 from provfin.refdata import (
     PAY_AMBER_THRESHOLD,
@@ -68,6 +70,11 @@ def avg_even(column_t: str) -> str:
     return f"CAST({units_even(f'sum({column_t})', f'(10 * count({column_t}))', 1)} AS DOUBLE) / 10"
 
 
+def mean_of(ten_digits: str, digits: int) -> str:
+    """Average of values in units of 10^-10."""
+    return number(f"sum({ten_digits})", f"(10000000000 * count({ten_digits}))", digits)
+
+
 def wpct(num: str, den: str, digits: int = 1) -> str:
     return number(f"(100 * sum({num}))", f"sum({den})", digits)
 
@@ -303,6 +310,17 @@ CTES |= {
         CAST(total AS DECIMAL(14,0)) AS total_000s, trust_type, source_file FROM placed WHERE newest = 1""",
 }
 
+# Views over facts that came through files: postings of organisations whose name is in that year's provider list.
+_from_files = {n: f"{n}_files" for n in ("fact", "v1", "v2", "v3", "joined", "v4", "extra", "v5")} | {"trust": "built"}
+CTES |= {
+    "fact_files": """SELECT f.* FROM fact f JOIN trust t USING (org_code) JOIN prov p ON p.org_code = f.org_code
+        AND p.financial_year = f.financial_year AND lower(p.organisation_name) = lower(t.organisation_name)""",
+}
+CTES |= {
+    f"{name}_files": re.sub(r"\b(fact|v[1-5]|joined|extra|trust)\b", lambda m: _from_files[m[1]], CTES[name])
+    for name in ("v1", "v2", "v3", "joined", "v4", "extra", "v5")
+}
+
 # Monthly returns.
 CTES |= {
     "monthly": f"""SELECT {CODE.format('(o_custkey // 50)')} AS org_code,
@@ -315,6 +333,9 @@ CTES |= {
 }
 
 NEEDS = {
+    "fact_files": ["fact", "trust", "prov"], "v1_files": ["fact_files", "built"], "v2_files": ["fact_files", "built", "code"],
+    "v3_files": ["fact_files", "built"], "joined_files": ["v1_files", "v2_files", "v3_files"], "v4_files": ["joined_files"],
+    "extra_files": ["fact_files"], "v5_files": ["v4_files", "extra_files"],
     "monthly": [],
     "posted": [], "slots": [], "det": ["posted", "slots"], "tot": ["det"], "wte": ["posted"],
     "fact_all": ["det", "tot", "wte"], "fact": ["fact_all"], "trust": [], "code": [],
@@ -475,6 +496,10 @@ def view_sql() -> dict[str, str]:
             f"SELECT * EXCLUDE (ebitda_t, pay_t, cost_t, net_t), {KPI_NUMBERS} FROM v5",
             "v5",
         ),
+        "scorecard_from_files": statement(
+            f"SELECT * EXCLUDE (ebitda_t, pay_t, cost_t, net_t), {KPI_NUMBERS} FROM v5_files",
+            "v5_files",
+        ),
         "normalise_sectors": statement(
             f"""SELECT org_code, given AS given_sector, CASE given {aliases} ELSE given END AS sector FROM (
             SELECT org_code, CASE (s // 5) % 4 WHEN 0 THEN sector WHEN 1 THEN upper(replace(sector, ' ', '_'))
@@ -596,7 +621,7 @@ def trend_sql() -> dict[str, str]:
     def income(year: str) -> str:
         return f"sum(total_income_000s) FILTER (WHERE financial_year = '{year}')"
 
-    ratio = share("drugs_cost_000s", "total_income_000s")
+    ratio = units("(100 * drugs_cost_000s)", "total_income_000s", 10)
     bodies = {
         "national_trend": f"""SELECT financial_year, {bn('total_income_000s')} AS total_income_bn,
             {bn('total_expenditure_000s')} AS total_expenditure_bn, {m('operating_surplus_000s')} AS op_surplus_m,
@@ -640,7 +665,7 @@ def trend_sql() -> dict[str, str]:
             {bn('total_income_000s')} AS total_income_bn, {wpct('pay_000s', 'total_income_000s')} AS sector_pay_pct
             FROM v5 GROUP BY financial_year, sector""",
         "drugs_cost": f"""SELECT financial_year, sector, {m('drugs_cost_000s')} AS total_drugs_m,
-            {wpct('drugs_cost_000s', 'total_income_000s')} AS drugs_pct_income, round(avg({ratio}), 1) AS avg_drugs_pct
+            {wpct('drugs_cost_000s', 'total_income_000s')} AS drugs_pct_income, {mean_of(ratio, 1)} AS avg_drugs_pct
             FROM v5 WHERE sector IN ('Acute', 'Specialist') AND drugs_cost_000s IS NOT NULL GROUP BY ALL""",
         "negligence_national": f"""SELECT financial_year, {m('clinical_negligence_000s')} AS total_neg_m,
             {wpct('clinical_negligence_000s', 'total_income_000s')} AS neg_pct_income,
@@ -660,7 +685,7 @@ def benchmark_sql() -> dict[str, str]:
     limit = f"(CASE sector {limits} ELSE 650 END)"
     both = "(coalesce(rd_income_000s, 0) + coalesce(education_training_income_000s, 0))"
     org = "org_code, organisation_name, sector, region"
-    ratio = share("clinical_negligence_000s", "total_income_000s")
+    ratio = units("(100 * clinical_negligence_000s)", "total_income_000s", 10)
     bodies = {
         "size_bands": f"""SELECT q AS income_quartile, CASE q {bands} END AS size_band, count(*) AS trust_count,
             {number('min(total_income_000s)', '1000', 0)} AS min_income_m,
@@ -703,7 +728,7 @@ def benchmark_sql() -> dict[str, str]:
         "negligence_sector": f"""SELECT financial_year, sector, count(DISTINCT org_code) AS trusts_reporting,
             {m('clinical_negligence_000s')} AS total_neg_m,
             {wpct('clinical_negligence_000s', 'total_income_000s', 2)} AS neg_pct_income,
-            round(avg({ratio}), 2) AS avg_neg_pct_per_trust
+            {mean_of(ratio, 2)} AS avg_neg_pct_per_trust
             FROM v5 WHERE clinical_negligence_000s IS NOT NULL AND sector IS NOT NULL GROUP BY ALL""",
         "ebitda_movers": f"""SELECT a.org_code, a.organisation_name, a.sector, a.region,
             {number('a.total_income_000s', '1000', 0)} AS income_m, {tenths('b.ebitda_t')} AS ebitda_prior_pct,
@@ -1139,7 +1164,7 @@ def monthly_sql() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         **ingest_sql(),
         **view_sql(),
         **extract_sql(),
@@ -1150,3 +1175,7 @@ def oracle_sql() -> dict[str, str]:
         **dashboard_sql(),
         **monthly_sql(),
     }
+    trend = trend_sql()["national_trend"]
+    body = trend[trend.rindex("SELECT financial_year") :]
+    found["national_trend_from_files"] = statement(body.replace("FROM v5", "FROM v5_files"), "v5_files")
+    return found

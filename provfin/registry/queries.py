@@ -72,6 +72,13 @@ def _promoted(s, d):
     return merge.promote_lines(_lines(s, d), _providers(s, d), batch="CASE WHEN row_num % 8 <= 3 THEN 0 ELSE 1 END")
 
 
+def _card_from_files(s, d):
+    """Account files and provider lists to the scorecard: clean, promote, build the organisations, derive."""
+    providers = _providers(s, d)
+    fact = merge.promote_lines(ingest.clean_lines(fx.raw_accounts(s, d)), providers)
+    return views.scorecard(fact, merge.build_dim_trust(providers), refdata.dim_subcode(s))
+
+
 def _files(s, d):
     return fx.raw_lines(s, d).groupBy("source_file").agg(F.count(F.lit(1)).alias("line_count"))
 
@@ -177,6 +184,8 @@ def queries() -> dict[str, Query]:
         "workforce": lambda s, d: _v3(s, d),
         "kpis": lambda s, d: extracts.with_plain_numbers(_v4(s, d)),
         "scorecard": lambda s, d: extracts.with_plain_numbers(_card(s, d)),
+        "scorecard_from_files": lambda s, d: extracts.with_plain_numbers(_card_from_files(s, d)),
+        "national_trend_from_files": lambda s, d: trend.national_trend(_card_from_files(s, d)),
         # enrichment
         "normalise_sectors": _normalised,
         "trust_flags": _flags,

@@ -272,6 +272,22 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.selectExpr(f"inline(array(struct({row})))")
 
 
+def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The yearly account lines as files hold them, of all worksheets: published headers, all text, prior years too."""
+    lines = facts(spark, sf_dir, include_prior=True)
+    return lines.selectExpr(
+        "concat(' SUPPLIER#', org_code, ' ') AS OrganisationName",
+        "worksheet_name AS WorkSheetName",
+        "CAST(table_id AS STRING) AS TableID",
+        "main_code AS MainCode",
+        "'1' AS RowNumber",
+        "concat(sub_code, ' ') AS SubCode",
+        "format_number(total_000s, 0) AS Total",
+        """concat(CASE trust_type WHEN 'NHS_TRUST' THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
+            replace(financial_year, '/', '-')) AS source_file""",
+    )
+
+
 def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The provider lists of all yearly files, under the published headers: an organisation is listed in years with postings.
 

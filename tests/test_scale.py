@@ -70,6 +70,20 @@ def returns(spark, rows):
     )
 
 
+def test_statuses_follow_unrounded_numbers(spark):
+    cip = lambda a, b: monthly.cip_achievement(returns(spark, [month("CIP", "ACTUAL", a), month("CIP", "BUDGET", b)])).first()
+    assert [(cip(a, 10000).cip_achievement_pct, cip(a, 10000).cip_rag) for a in (10000, 9996, 8000, 7996)] == [
+        (100.0, "Green"), (100.0, "Amber"), (80.0, "Amber"), (80.0, "Red")]
+    agency = lambda g: monthly.agency_share(returns(spark, [month("PAY", "ACTUAL", 10000 - g), month("NON_PAY", "ACTUAL", g, code="AGENCY")])).first()
+    assert [(agency(g).agency_pct, agency(g).over_ceiling) for g in (350, 345, 349)] == [(3.5, 1), (3.5, 0), (3.5, 0)]
+    capital = lambda a: monthly.capital_share(returns(spark, [month("CAPITAL", "ACTUAL", a), month("CAPITAL", "BUDGET", 10000)])).first()
+    assert [capital(a).capital_rag for a in (8996, 9000, 11000, 11004, 7500, 7496)] == ["Amber", "Green", "Green", "Red", "Amber", "Red"]
+    variance = lambda kind, a: monthly.budget_variance(returns(spark, [month(kind, "ACTUAL", a), month(kind, "BUDGET", 10000)])).first()
+    assert [(variance("INCOME", a).direction, variance("INCOME", a).variance_rag) for a in (10000, 9998, 9800, 9796)] == [
+        ("FAV", "Green"), ("ADV", "Amber"), ("ADV", "Amber"), ("ADV", "Red")]
+    assert variance("PAY", 10002).variance_rag == "Amber" and variance("PAY", 10204).variance_rag == "Red"
+
+
 def month(kind, side, amount, period="M01", code="GENERAL"):
     return ("A", "2023/24", period, kind, code, side, amount)
 

@@ -232,8 +232,21 @@ def test_audit_reports_failures(spark):
     assert not failed["income - expenditure = operating surplus"]
     report = audit.audit_report(bad, t, c, rules)
     assert audit.has_critical_failure(report)
-    broken = audit.audit_report(good.drop("sub_code"), t, c, rules)
-    assert "Exception" in one(broken, check_name="check_views").detail
+    names = {r.check_name for r in audit.audit_report(good, t, c, rules).collect()}
+    for column in good.columns:
+        broken = {r.check_name: r for r in audit.audit_report(good.drop(column), t, c, rules).collect()}
+        assert set(broken) == names, column
+        lost = {n for n, r in broken.items() if r.detail.startswith("Exception")}
+        keyed, yearly = {"no duplicate fact keys"}, {n for n in names if n.startswith("year coverage")}
+        orgs = {"no null org_codes in fct_tac", "no orphan org_codes in fct_tac"}
+        views = {n for n in names if n not in {*keyed, *yearly, *orgs, "fct_tac row count", "dim_trust row count"}}
+        wanted = {
+            "org_code": keyed | orgs | views, "financial_year": keyed | yearly | views, "sub_code": keyed | views,
+            "main_code": keyed, "worksheet_name": views, "total_000s": views,
+        }
+        assert lost == wanted.get(column, set()), column
+    broken = audit.audit_report(good, t.drop("sector"), c, rules).filter("detail LIKE 'Exception%'").collect()
+    assert [r.check_name for r in broken] == [n for n in names if n.startswith("avg pay %")]
 
 
 @pytest.mark.parametrize("off, passed", [(1000, True), (1001, False)])
