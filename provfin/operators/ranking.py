@@ -21,28 +21,26 @@ def top_ranked(df: DataFrame, order: Column, tiebreak: str, n: int, name: str) -
 def positions(df: DataFrame, by: list[str], order: list[str], position: str, total: str) -> DataFrame:
     """Exact 1-based row position and row count within ``by``, for groups of any size.
 
-    Rows are range-partitioned on (by, order), so even one huge group or one repeated value is spread over
-    all partitions. Rows are numbered inside each partition, and the partitions' sizes (one row per
-    partition and group) say how many rows come before it. The partitioned rows are written out once:
-    both readers must see the same partition boundaries, also after an executor is lost.
+    Rows are range-partitioned and sorted on (by, order), so even one huge group or one repeated value is spread over all
+    partitions. A row's number carries its partition and its place in it; each partition's share of a group (one small row)
+    says how many rows come before. The numbered rows are written out once: both readers must see the same numbers, also
+    after an executor is lost. They are not shuffled again.
     """
-    ranged = materialise(
-        df.repartitionByRange(*by, *order).withColumn("_part", F.spark_partition_id())
-    )
-    sizes = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_size"))
+    ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    ranged = materialise(ranged.withColumn("_row", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("_part", F.shiftright("_row", 33))
+    shares = ranged.groupBy(*by, "_part").agg(F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first"))
     group = Window.partitionBy(*by)
-    before = sizes.select(
+    before = shares.select(
         *by,
         "_part",
-        (F.sum("_size").over(group.orderBy("_part")) - F.col("_size")).alias("_before"),
+        (F.sum("_size").over(group.orderBy("_part")) - F.col("_size") - F.col("_first")).alias("_before"),
         F.sum("_size").over(group).alias(total),
     )
-    inside = Window.partitionBy(*by, "_part").orderBy(*order)
-    numbered = ranged.withColumn("_inside", F.row_number().over(inside))
     return (
-        numbered.join(before, [*by, "_part"])
-        .withColumn(position, F.col("_before") + F.col("_inside"))
-        .drop("_part", "_before", "_inside")
+        ranged.join(before, [*by, "_part"])
+        .withColumn(position, F.col("_before") + F.col("_row") + 1)
+        .drop("_part", "_before", "_row")
     )
 
 

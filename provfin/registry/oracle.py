@@ -321,6 +321,20 @@ CTES |= {
     for name in ("v1", "v2", "v3", "joined", "v4", "extra", "v5")
 }
 
+# Facts with every fault the audit looks for.
+_org = "CAST(org_code AS BIGINT)"
+CTES |= {
+    "fact_dirty": f"""SELECT CASE WHEN {_org} % 50 = 7 THEN 'X' || org_code WHEN {_org} % 60 = 9 THEN ' ' WHEN {_org} % 70 = 11 THEN NULL
+          ELSE org_code END AS org_code, financial_year, worksheet_name, main_code, sub_code,
+        CASE WHEN sub_code = 'SCI0140A' AND {_org} % 8 = 1 THEN total + 5000 WHEN sub_code = 'STA0410' AND {_org} % 9 = 2
+          THEN total * 1000 ELSE total END AS total, trust_type
+        FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE sub_code = 'INC0350' AND {_org} % 10 = 0)""",
+}
+CTES |= {
+    f"{name}_dirty": re.sub(r"\b(fact|v[1-5]|joined|extra)\b", r"\1_dirty", CTES[name])
+    for name in ("v1", "v2", "v3", "joined", "v4", "extra", "v5")
+}
+
 # Monthly returns.
 CTES |= {
     "monthly": f"""SELECT {CODE.format('(o_custkey // 50)')} AS org_code,
@@ -333,6 +347,9 @@ CTES |= {
 }
 
 NEEDS = {
+    "fact_dirty": ["fact"], "v1_dirty": ["fact_dirty", "trust"], "v2_dirty": ["fact_dirty", "trust", "code"],
+    "v3_dirty": ["fact_dirty", "trust"], "joined_dirty": ["v1_dirty", "v2_dirty", "v3_dirty"], "v4_dirty": ["joined_dirty"],
+    "extra_dirty": ["fact_dirty"], "v5_dirty": ["v4_dirty", "extra_dirty"],
     "fact_files": ["fact", "trust", "prov"], "v1_files": ["fact_files", "built"], "v2_files": ["fact_files", "built", "code"],
     "v3_files": ["fact_files", "built"], "joined_files": ["v1_files", "v2_files", "v3_files"], "v4_files": ["joined_files"],
     "extra_files": ["fact_files"], "v5_files": ["v4_files", "extra_files"],
@@ -831,10 +848,12 @@ def validation_sql() -> dict[str, str]:
             "fact",
         ),
         "audit_report": _audit_sql(),
+        "audit_report_dirty": _audit_sql("_dirty"),
     }
 
 
-def _audit_sql() -> str:
+def _audit_sql(kind: str = "") -> str:
+    """The audit of the facts, or of the dirtied ones (kind ``_dirty``)."""
     e = EXPECTED
     year, sector = e["year"], e["pay_sector"]
     (i_lo, i_hi), (d_lo, d_hi) = e["income_bn"], e["deficit_trusts"]
@@ -942,7 +961,7 @@ def _audit_sql() -> str:
             "SELECT count(*) AS n FROM v3 WHERE total_wte <= 0 OR total_wte > 50000",
         ),
     ]
-    return statement(" UNION ALL ".join(parts), "v5")
+    return statement(re.sub(r"\bFROM (fact|v[1-5])\b", rf"FROM \1{kind}", " UNION ALL ".join(parts)), f"v5{kind}")
 
 
 def measure_sql() -> dict[str, str]:

@@ -242,6 +242,7 @@ def queries() -> dict[str, Query]:
         "val_q8": lambda s, d: audit.pay_and_drugs_by_year(_v2(s, d)),
         "val_q9": lambda s, d: audit.workforce_by_year(_v3(s, d)),
         "val_q10": lambda s, d: audit.key_uniqueness(_fact(s, d)),
+        "audit_report_dirty": lambda s, d: audit.audit_report(fx.dirty_facts(s, d), *_dims(s, d), EXPECTED),
         "audit_report": lambda s, d: audit.audit_report(_fact(s, d), *_dims(s, d), EXPECTED),
         # measures
         "m_core": lambda s, d: measures.core(_card(s, d), BY_YEAR_SECTOR),

@@ -192,6 +192,20 @@ def facts(
     )
 
 
+def dirty_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts with every fault an audit looks for: repeated keys, unknown, blank and missing codes, imbalances, absurd staff."""
+    number = "CAST(org_code AS BIGINT)"
+    clean = facts(spark, sf_dir)
+    twice = clean.filter(f"sub_code = 'INC0350' AND {number} % 10 = 0")
+    changed = {
+        "org_code": f"""CASE WHEN {number} % 50 = 7 THEN concat('X', org_code) WHEN {number} % 60 = 9 THEN ' '
+            WHEN {number} % 70 = 11 THEN NULL ELSE org_code END""",
+        "total_000s": f"""CAST(CASE WHEN sub_code = 'SCI0140A' AND {number} % 8 = 1 THEN total_000s + 5000
+            WHEN sub_code = 'STA0410' AND {number} % 9 = 2 THEN total_000s * 1000 ELSE total_000s END AS DECIMAL(14,0))""",
+    }
+    return clean.unionByName(twice).selectExpr(*[f"{changed.get(c, c)} AS {c}" for c in clean.columns])
+
+
 def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, nation, region = (table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).join(

@@ -38,9 +38,9 @@ def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
 def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None) -> None:
     """Upserts fact rows into the table at ``path``.
 
-    Only the incoming years' partitions are read and rewritten. A caller who knows the years, from the
-    file names say, passes them; otherwise their names are collected, which runs ``incoming`` once more.
-    The merged rows are materialised first, because Spark cannot overwrite what it is reading.
+    Only the incoming years' partitions are read and rewritten. A caller who knows the years, from the file names say,
+    passes them; otherwise ``incoming`` is written to the shared folder first and its years are read from there, so the
+    load runs once. The merged rows are materialised too, because Spark cannot overwrite what it is reading.
     """
     spark = incoming.sparkSession
     existing = _read_table(spark, path)
@@ -48,6 +48,7 @@ def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None)
         replace_partitions(incoming, path)
         return
     if years is None:
+        incoming = materialise(incoming)
         years = [row[0] for row in incoming.select("financial_year").distinct().collect()]
     touched = existing.filter(F.col("financial_year").isin(years))
     replace_partitions(materialise(merge_facts(touched, incoming)), path)

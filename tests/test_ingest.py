@@ -184,7 +184,7 @@ def test_files_to_fact_table(spark, tmp_path):
 
 @pytest.mark.parametrize("build", [extracts.report_set, extracts.enriched_set])
 def test_extract_sets(spark, sf_dir, tmp_path, build):
-    fact, trust = fx.facts(spark, sf_dir), fx.dim_trust(spark, sf_dir)
+    fact, trust = fx.facts(spark, sf_dir), fx.dim_trust(spark, sf_dir, seen=True)
     frames = build(fact, trust, refdata.dim_subcode(spark), refdata.dim_financial_year(spark))
     assert len(frames) == 9
     sinks.write_extracts(frames, str(tmp_path), extracts.ROW_ORDER, extracts.DEFAULT_ORDER)
