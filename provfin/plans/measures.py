@@ -174,30 +174,38 @@ def rag(card: DataFrame, by: list[str], filters=None, ebitda=EBITDA_RAG, surplus
     )
 
 
-def benchmark(card: DataFrame, sector_benchmarks: DataFrame, by: list[str], filters=None) -> DataFrame:
+def benchmark(card: DataFrame, by: list[str], filters=None) -> DataFrame:
     """Mean over sectors of their benchmark margin, and the distance of the weighted margin from it.
 
-    ``by`` are axes both frames have. Both sides are already reduced to the axes and are met by grouping,
-    which also pairs missing axis values.
+    ``by`` are axes of year and sector. The scorecard is reduced once to years and sectors, and both levels are rolled up from
+    that. Filters on the year or sector hold for both sides, other filters for the own margin alone.
     """
-    shared = {c: v for c, v in (filters or {}).items() if c in ("financial_year", "sector")}
-    tenths = "CAST(round(avg_ebitda_margin_pct * 10) AS BIGINT)"
-    sectors = (
-        select_context(sector_benchmarks, shared)
-        .groupBy(*by, "sector")
-        .agg(*named({"tenths": expr.divide(f"sum({tenths})", f"count({tenths})")}))
-        .groupBy(*by)
-        .agg(*named({"level": f"{expr.divide('sum(tenths)', 'count(tenths)')} / 10D"}))
+    filters = filters or {}
+    shared = {c: v for c, v in filters.items() if c in ("financial_year", "sector")}
+    chosen = F.lit(True)
+    for column, values in filters.items():
+        if column not in shared:
+            chosen = chosen & F.coalesce(F.col(column).isin(*values), F.lit(False))
+    margin = "CASE WHEN financial_year IS NOT NULL AND sector IS NOT NULL THEN bround(avg(ebitda_margin_pct), 1) END"
+    base = {
+        "ebitda": "sum(CASE WHEN chosen THEN ebitda_000s END)",
+        "income": "sum(CASE WHEN chosen THEN total_income_000s END)",
+        "own": "count_if(chosen)",
+        "tenths": f"CAST(({margin}) * 10 AS BIGINT)",
+    }
+    years = select_context(card, shared).withColumn("chosen", chosen).groupBy("financial_year", "sector").agg(*named(base))
+    sums = {c: f"sum({c})" for c in ("ebitda", "income", "own")}
+    sectors = years.groupBy(*dict.fromkeys([*by, "sector"])).agg(
+        *named(sums | {"sector_tenths": expr.divide("sum(tenths)", "count(tenths)")})
     )
-    own = _project(totals(card, by, filters), by, {"margin": _percent("ebitda", "income"), "own": "1"})
-    met = (
-        own.unionByName(sectors, allowMissingColumns=True)
-        .groupBy(*by)
-        .agg(*named({c: f"max({c})" for c in ("margin", "level", "own")}))
-        .filter("own = 1")
+    met = sectors.groupBy(*by).agg(
+        *named(sums | {"level": f"{expr.divide('sum(sector_tenths)', 'count(sector_tenths)')} / 10D"})
     )
-    columns = {"sector_benchmark_ebitda_pct": "level", "ebitda_vs_benchmark_pp": "margin - level"}
-    return _project(met, by, columns)
+    columns = {
+        "sector_benchmark_ebitda_pct": "level",
+        "ebitda_vs_benchmark_pp": f"{_percent('ebitda', 'income')} - level",
+    }
+    return _project(met.filter("own > 0"), by, columns)
 
 
 def labels(card: DataFrame, by: list[str], filters=None) -> DataFrame:

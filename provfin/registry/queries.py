@@ -250,7 +250,7 @@ def queries() -> dict[str, Query]:
         "m_workforce": lambda s, d: measures.workforce(_card(s, d), BY_YEAR_SECTOR),
         "m_yoy": lambda s, d: measures.yoy(_card(s, d), ["trust_type"], prior_year=fx.PRIOR_YEARS),
         "m_rag": lambda s, d: measures.rag(_card(s, d), [*BY_YEAR_SECTOR, "region"]),
-        "m_benchmark": lambda s, d: measures.benchmark(_card(s, d), enrich.sector_benchmarks(_card(s, d)), BY_YEAR),
+        "m_benchmark": lambda s, d: measures.benchmark(_card(s, d), BY_YEAR),
         "m_labels": lambda s, d: measures.labels(_card(s, d, year), ["region"], SLICE),
         # monthly returns
         "kpi_cip": lambda s, d: monthly.cip_achievement(fx.monthly(s, d)),

@@ -203,7 +203,7 @@ def test_empty_selection(spark):
 
 def test_benchmark_without_axes(spark):
     card = card_of(spark, accounts("AAA", "2023/24", 1000, 20))
-    row = measures.benchmark(card, enrich.sector_benchmarks(card), []).first()
+    row = measures.benchmark(card, []).first()
     assert row.sector_benchmark_ebitda_pct == 2.0 and abs(row.ebitda_vs_benchmark_pp) < 1e-9
 
 
