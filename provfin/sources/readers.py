@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from provfin.operators.ingest import resolve_headers
 from provfin.refdata import FILE_EXCLUDE, FILE_GLOB, LINE_HEADERS, PROVIDER_HEADERS
@@ -18,24 +20,39 @@ def discover(spark: SparkSession, folder: str) -> list[str]:
     return [row.path for row in wanted.collect()]
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    """One extract as text columns under its own header row."""
-    if path.lower().endswith(".parquet"):
-        data = spark.read.parquet(path)
-    else:
-        data = spark.read.option("header", True).csv(path)
-    return data.select("*", F.col("_metadata.file_name").alias("source_file"))
+def _header(spark: SparkSession, path: str) -> str:
+    """First line of a text file, wherever it lies; no job is run for it."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(where)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
 
 
-def _read_all(spark: SparkSession, paths: list[str], headers: dict, optional: tuple[str, ...] = ()) -> DataFrame:
-    """All extracts, whose headers differ by year, as one frame under canonical published headers.
+def _groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    """One frame for each header that the files have, however many files share it. Columns are text by declaration, not inferred."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    columnar = [p for p in paths if p.lower().endswith(".parquet")]
+    for path in paths:
+        if path not in columnar:
+            by_header.setdefault(tuple(next(csv.reader([_header(spark, path)]), [])), []).append(path)
+    frames = []
+    for header, files in by_header.items():
+        schema = StructType([StructField(name, StringType()) for name in header])
+        frames.append(spark.read.schema(schema).option("header", True).csv(files))
+    if columnar:
+        frames.append(spark.read.option("mergeSchema", True).parquet(*columnar))
+    return [f.select("*", F.col("_metadata.file_name").alias("source_file")) for f in frames]
+
 
-    There is one extract per year and trust type, so the union has a handful of branches and each is split
-    into tasks by size.
-    """
+def _read_all(spark: SparkSession, paths: list[str], headers: dict, optional: tuple[str, ...] = ()) -> DataFrame:
+    """All extracts, whose headers differ by year, as one frame under canonical published headers: a branch for each header."""
     if not paths:
         raise ValueError("No extracts found")
-    frames = [resolve_headers(_read(spark, p), headers, optional) for p in paths]
+    frames = [resolve_headers(frame, headers, optional) for frame in _groups(spark, paths)]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     published = {name: known[0] for name, known in headers.items() if name in merged.columns}
     return merged.withColumnsRenamed(published)

@@ -182,6 +182,26 @@ def test_files_to_fact_table(spark, tmp_path):
     assert {int(r.total_000s) for r in spark.read.parquet(table).collect()} == {1200, 8}
 
 
+def test_many_files_are_one_read_for_each_header(spark, tmp_path):
+    heads = ["Organisation Name,WorkSheetName,TableID,MainCode,RowNumber,SubCode,Value number",
+             "OrganisationName,WorkSheetName,TableID,MainCode,RowNumber,SubCode,Total"]
+    for i in range(200):
+        name = f"TAC_NHS_trusts_{2000 + i % 20}-{(i + 1) % 20:02d}_{i}.csv"
+        (tmp_path / name).write_text(f'{heads[i % 2]}\nOrg {i},TAC08 Op Exp,1,A08CY01,1,EXP0130,"{i},000"\n')
+    paths = readers.discover(spark, str(tmp_path))
+    read = readers.read_lines(spark, paths)
+    assert read._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2
+    assert {r.organisation_name: r.total for r in ingest.clean_lines(read).collect()} == {f"Org {i}": i * 1000 for i in range(200)}
+
+
+def test_parquet_copies_read_alike(spark, tmp_path):
+    lines(spark, [line(total="7")]).drop("source_file").coalesce(1).write.parquet(str(tmp_path / "x"))
+    part = next(p for p in os.listdir(tmp_path / "x") if p.endswith(".parquet"))
+    os.rename(tmp_path / "x" / part, tmp_path / "TAC_NHS_trusts_2023-24.parquet")
+    clean = ingest.clean_lines(readers.read_lines(spark, [str(tmp_path / "TAC_NHS_trusts_2023-24.parquet")])).first()
+    assert (clean.total, clean.financial_year) == (7, "2023/24")
+
+
 @pytest.mark.parametrize("build", [extracts.report_set, extracts.enriched_set])
 def test_extract_sets(spark, sf_dir, tmp_path, build):
     fact, trust = fx.facts(spark, sf_dir), fx.dim_trust(spark, sf_dir, seen=True)
