@@ -117,13 +117,14 @@ def promote_lines(lines: DataFrame, providers: DataFrame, batch: str = "0") -> D
 def merge_facts(existing: DataFrame, *batches: DataFrame) -> DataFrame:
     """Upsert of batches in order: a known key gets the new total and file and keeps the rest.
 
-    Merging a batch twice changes nothing.
+    Merging a batch twice changes nothing. Where all sides have ``load_ts``, a key keeps the time it was first loaded.
     """
-    rows = existing.selectExpr(*FACT_COLUMNS, "0 AS batch")
+    stamp = ["load_ts"] if all("load_ts" in side.columns for side in (existing, *batches)) else []
+    rows = existing.selectExpr(*FACT_COLUMNS, *stamp, "0 AS batch")
     for number, batch in enumerate(batches, start=1):
-        rows = rows.unionByName(batch.selectExpr(*FACT_COLUMNS, f"{number} AS batch"))
+        rows = rows.unionByName(batch.selectExpr(*FACT_COLUMNS, *stamp, f"{number} AS batch"))
     columns = {
-        "kept": "min_by(struct(worksheet_name, table_id, trust_type), batch)",
+        "kept": f"min_by(struct({', '.join(['worksheet_name', 'table_id', 'trust_type', *stamp])}), batch)",
         "new": "max_by(struct(total_000s, source_file), batch)",
     }
     return (
@@ -139,5 +140,6 @@ def merge_facts(existing: DataFrame, *batches: DataFrame) -> DataFrame:
             "new.total_000s",
             "kept.trust_type",
             "new.source_file",
+            *[f"kept.{c}" for c in stamp],
         )
     )

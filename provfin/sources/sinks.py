@@ -36,13 +36,14 @@ def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None) -> None:
-    """Upserts fact rows into the table at ``path``.
+    """Upserts fact rows into the table at ``path``; ``load_ts`` says when a key was first loaded.
 
     Only the incoming years' partitions are read and rewritten. A caller who knows the years, from the file names say,
     passes them; otherwise ``incoming`` is written to the shared folder first and its years are read from there, so the
     load runs once. The merged rows are materialised too, because Spark cannot overwrite what it is reading.
     """
     spark = incoming.sparkSession
+    incoming = incoming.withColumn("load_ts", F.current_timestamp())
     existing = _read_table(spark, path)
     if existing is None:
         replace_partitions(incoming, path)

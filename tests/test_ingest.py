@@ -177,9 +177,12 @@ def test_files_to_fact_table(spark, tmp_path):
     stored = spark.read.parquet(table)
     assert {(r.financial_year, int(r.total_000s)) for r in stored.collect()} == {("2022/23", 1200), ("2023/24", 7)}
     assert stored.count() == 2
+    times = {r.load_ts for r in stored.collect()}
+    assert len(times) == 1 and None not in times
     one_year = batch.filter("financial_year = '2023/24'").withColumn("total_000s", (batch.total_000s + 1).cast("decimal(14,0)"))
     sinks.promote_into(table, one_year)
     assert {int(r.total_000s) for r in spark.read.parquet(table).collect()} == {1200, 8}
+    assert {r.load_ts for r in spark.read.parquet(table).collect()} == times
 
 
 def test_many_files_are_one_read_for_each_header(spark, tmp_path):
