@@ -10,8 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text handled at once by one task; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+#: Bytes of text handled at once by one task, just under a power of two as tables of powers are; a longer text is a slice of its own.
+SLICE_BYTES = (1 << 19) - (1 << 12)
 
 #: Multipliers of the two rolling hashes, odd so that they can be inverted modulo 2**64.
 BASES = (0x9E3779B97F4A7C17, 0xD6E8FEB86659FD93)
@@ -44,6 +44,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             end = min(max(end, at + 1), batch.num_rows)
             yield batch.slice(at, end - at)
             at = end
+    pa.default_memory_pool().release_unused()  # the worker may wait for its next task for long
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ word windows of whole slices, looks it up, and compares the bytes of each hit wi
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +45,7 @@ class Items:
 
 
 def scan(data: np.ndarray, offsets: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[set]]:
-    """Starts, ends and owners of the words, which are hit, and the items found in each text."""
-    data = columns.LOWER[data]
+    """Of lowered texts: starts and ends of the words, each text's first word, which words are hit, and the items found in each text."""
     starts, ends, first = columns.words(data, offsets, columns.ALNUM)
     hashes = columns.word_hashes(data, starts, ends)
     rolled = columns.Rolling(hashes)
@@ -102,61 +101,57 @@ def _runs(flags: np.ndarray, first: np.ndarray) -> list[bytes]:
     return out
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, str, str]:
-    """The documents with two more columns, and the names of these: runs of hit words (packed), item ids as sorted strings.
+def find(docs: DataFrame, benchmark: DataFrame, finish: Callable, shape) -> DataFrame:
+    """What ``finish`` makes of slices of the documents (a batch with their columns, bytes of lowered text, offsets, first words,
+    packed runs of hit words, and item ids as sorted strings of each text), under the schema ``shape``.
 
     Null texts and items have no words and hit nothing; items of fewer words than a window are one window; repeated items are
-    one. The added names differ from those of the documents.
+    one. One pass does for a benchmark that fits a block; findings of earlier blocks travel in two columns of new names.
     """
-    spark = docs.sparkSession
-    hits, names = columns.fresh(docs.columns, "hits", "hit_items")
-    out = docs.select("*", F.lit(b"").alias(hits), F.array().cast("array<string>").alias(names))
-    for block in _blocks(benchmark):
-        out = _find_block(out, spark.sparkContext.broadcast(block), hits, names)
-    return out, hits, names
+    context = docs.sparkSession.sparkContext
+    hits, named = columns.fresh(docs.columns, "hits", "hit_items")
+    out, blocks = docs.select("*", F.lit(b"").alias(hits), F.array().cast("array<string>").alias(named)), _blocks(benchmark)
+    block = next(blocks, Items([]))
+    for following in blocks:
+        out = out.mapInArrow(_pass(context.broadcast(block), hits, named, None), out.schema)
+        block = following
+    return out.mapInArrow(_pass(context.broadcast(block), hits, named, finish), shape)
 
 
-def _find_block(docs: DataFrame, block, hits: str, names: str) -> DataFrame:
+def _pass(block, hits: str, named: str, finish: Callable | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = block.value
         for batch in columns.slices(batches, "text"):
-            _, _, first, flags, found = scan(*columns.flat(batch.column("text")), items)
+            data, offsets = columns.flat(batch.column("text"))
+            data = columns.LOWER[data]
+            starts, _, first, flags, found = scan(data, offsets, items)
             for i, packed in enumerate(batch.column(hits).to_pylist()):
                 for a, b in np.frombuffer(packed, "<i8").reshape(-1, 2):
                     flags[first[i] + a : first[i] + b] = True
-            ids = [sorted({*map(str, new), *old}) for new, old in zip(found, batch.column(names).to_pylist())]
-            added = {hits: pa.array(_runs(flags, first), pa.binary()), names: pa.array(ids, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([added.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
+            ids = [sorted({*map(str, new), *old}) for new, old in zip(found, batch.column(named).to_pylist())]
+            runs = _runs(flags, first)
+            if finish:
+                own = batch.select([c for c in batch.schema.names if c not in (hits, named)])
+                yield finish(own, data, offsets, starts, first, runs, ids)
+            else:
+                added = {hits: pa.array(runs, pa.binary()), named: pa.array(ids, pa.list_(pa.string()))}
+                yield pa.RecordBatch.from_arrays([added.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return run
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated (a twentieth of its words or more are hit)."""
     shape = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in columns.slices(batches, "text"):
-            _, _, first = columns.words(*_lowered(batch), columns.ALNUM)
-            words = np.diff(first)
-            hit = np.array([_length(x) for x in batch.column(hits).to_pylist()], np.int64)
-            items = batch.column(named).to_pylist()
-            digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
-            arrays = [batch.column("doc_id"), words, hit, np.array([len(x) for x in items], np.int64), digest, (hit > 0) & (20 * hit >= words)]
-            names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-            yield pa.RecordBatch.from_arrays([a if isinstance(a, pa.Array) else pa.array(a) for a in arrays], names)
-
-    found, hits, named = find(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), benchmark)
-    return found.mapInArrow(run, shape)
-
-
-def _lowered(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = columns.flat(batch.column("text"))
-    return columns.LOWER[data], offsets
-
+    def finish(batch, data, offsets, starts, first, runs, ids) -> pa.RecordBatch:
+        words, hit = np.diff(first), _lengths(runs)
+        digest = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in ids]
+        count = np.array([len(x) for x in ids], np.int64)
+        arrays = [batch.column("doc_id"), *map(pa.array, (words, hit, count, digest, (hit > 0) & (20 * hit >= words)))]
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-def _length(packed: bytes) -> int:
-    return int(np.diff(np.frombuffer(packed, "<i8").reshape(-1, 2), axis=1).sum())
+    return find(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), benchmark, finish, shape)
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, whole: bool = True) -> DataFrame:
@@ -165,22 +160,19 @@ def remove(docs: DataFrame, benchmark: DataFrame, whole: bool = True) -> DataFra
     With ``whole``, contaminated documents go and the others stay as they are; without, every hit word goes with what stands
     between it and the next word, in all documents, and ``n_chars``, if there, is counted anew for changed texts.
     """
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in columns.slices(batches, "text"):
-            data, offsets = columns.flat(batch.column("text"))
-            starts, _, first = columns.words(columns.LOWER[data], offsets, columns.ALNUM)
-            packed = batch.column(hits).to_pylist()
-            if whole:
-                hit = np.array([_length(x) for x in packed], np.int64)
-                keep = ~((hit > 0) & (20 * hit >= np.diff(first)))
-                yield batch.select(names).filter(pa.array(keep))
-                continue
-            yield cut_words(batch.select(names), data, offsets, starts, first, packed)
-
-    found, hits, _ = find(docs, benchmark)
-    return found.mapInArrow(run, docs.schema)
+    def finish(batch, data, offsets, starts, first, runs, ids) -> pa.RecordBatch:
+        if whole:
+            hit = _lengths(runs)
+            return batch.filter(pa.array(~((hit > 0) & (20 * hit >= np.diff(first)))))
+        return cut_words(batch, columns.flat(batch.column("text"))[0], offsets, starts, first, runs)
+
+    return find(docs, benchmark, finish, docs.schema)
+
+
+def _lengths(runs: list[bytes]) -> np.ndarray:
+    """Words in the packed runs of each text."""
+    return np.array([int(np.diff(np.frombuffer(x, "<i8").reshape(-1, 2), axis=1).sum()) for x in runs], np.int64)
 
 
 def cut_words(batch: pa.RecordBatch, data, offsets, starts, first, packed: list[bytes | None]) -> pa.RecordBatch:

@@ -13,8 +13,14 @@ from provfin.llm import chat, decontaminate, html, language, licenses, orderminh
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Rows of an Arrow batch, as texts are long: Spark's own 10,000 would be some 100 MB in a worker.
+BATCH_ROWS = 1000
+
+
 def ready(spark: SparkSession) -> None:
-    """Workers that this session starts from now on also look for modules where this package lies."""
+    """Small Arrow batches; and workers that this session starts from now on also look for modules where this package lies."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     home = str(Path(__file__).resolve().parents[2])
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if home not in path.split(os.pathsep):

@@ -30,7 +30,7 @@ WINDOW, GRAM = 35, 8
 #: Cells of a sketch row: these many times the anchors expected, between the bounds; at the upper bound (128 MB for both rows)
 #: the sketch fills up, and the exact pass gets more runs but misses none.
 CELLS_PER_ANCHOR, LEAST_BITS, MOST_BITS = 6, 20, 29
-BLOCK_BITS, ROWS, PENDING = 20, 2, 1 << 20
+BLOCK_BITS, ROWS, PENDING, TOLD = 20, 2, 1 << 19, 1 << 17
 
 
 def runs(data: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> dict[str, np.ndarray]:
@@ -151,7 +151,7 @@ def repeated_runs(docs: DataFrame, bits: int, window: int = WINDOW, gram: int =
             new = np.zeros(len(pick), bool)
             _, once = np.unique(equal, return_index=True)
             new[[i for i, w in zip(once.tolist(), equal[once].tolist()) if w not in told]] = True
-            if len(told) > PENDING:
+            if len(told) > TOLD:
                 told.clear()
             told.update(equal[new].tolist())
             total = np.concatenate([[0], np.cumsum(np.where(new, count, 0))])

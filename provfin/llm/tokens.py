@@ -16,9 +16,9 @@ import numpy as np
 
 from provfin.llm import columns
 
-#: Pieces a worker remembers (some 60 MB); when full it starts anew. The table that finds them has 2 ** TABLE_BITS places.
-REMEMBERED = 1_000_000
-TABLE_BITS = 21
+#: Pieces a worker remembers (some 30 MB); when full it starts anew. The table that finds them has 2 ** TABLE_BITS places.
+REMEMBERED = 500_000
+TABLE_BITS = 20
 #: The endings that the pattern splits off after an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 _SPACE, _LETTER, _NUMBER, _OTHER = 0, 1, 2, 3
