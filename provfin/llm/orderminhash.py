@@ -1,8 +1,13 @@
 """Order MinHash fingerprints, in DataFrame functions alone.
 
-A text's words give k-mers; equal k-mers of a text are numbered, so that each pair of k-mer and number occurs once. Hashes of the
-pairs fall into slots, each slot selects its smallest ones, puts them into text order again and hashes the tuple. Two texts agree
-in a slot if they have the selected k-mers in the same order, which falls with their edit distance rather than with their sets.
+A text's words give k-mers; equal k-mers of a text are numbered, so that each pair of k-mer and number occurs once. Each slot
+selects its two smallest pairs, puts them into text order again and hashes the tuple. Two texts agree in a slot if they have the
+selected k-mers in the same order, which falls with their edit distance rather than with their sets.
+
+With ``own_orders`` every slot ranks all pairs of a text by an order of its own, as SuperMinHash does it: a pair visits the 64 slots
+in a random sequence of its own, one a round, and a slot ranks by the round of the visit and then by a hash of pair and round. A
+text needs only the rounds until every slot has been visited twice, about 768 visits, so long texts stop after the first. Without
+``own_orders`` there is that first round alone (bins of one permutation): short texts then fill few slots, most with one k-mer.
 
 Arrays of 64-bit numbers hold the upper 40 bits of a hash and 24 bits of the position, so that plain sorting groups and orders them.
 """
@@ -17,6 +22,8 @@ KMER, SLOTS, TUPLE, PLACE = 2, 64, 2, 24
 #: Rows of a range of ids whose neighbours are found together, and most ranges.
 RANGE_ROWS, MOST_RANGES = 500, 1 << 16
 _LOW = (1 << PLACE) - 1
+#: Visits of slots after which nearly every text has two in each slot, and bits of a visit's hash.
+VISITS, RANK = 768, 28
 
 
 def _let(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -43,7 +50,39 @@ def _numbered(kmers: Column, x: Column, i: Column) -> Column:
     return F.aggregate(steps, F.lit(0), lambda n, d: F.when((i >= n + d) & same(n + d), n + d).otherwise(n))
 
 
-def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
+def _visit(x: Column, r: Column) -> Column:
+    """A pair's visit in round ``r``: slot, round, hash and position; over all rounds a pair visits each slot once."""
+    bits = lambda at, n: F.shiftright(x, PLACE + at).bitwiseAND(F.lit(n))
+    r = r.cast("long")
+    turned = (r * bits(0, 62).bitwiseOR(F.lit(1)) + bits(6, 63)).bitwiseAND(F.lit(63))
+    turned = turned.bitwiseXOR(F.shiftright(turned, 3))
+    slot = (turned * bits(12, 62).bitwiseOR(F.lit(1)) + bits(18, 63)).bitwiseAND(F.lit(63))
+    rank = F.xxhash64(_above(x), r).bitwiseAND(F.lit((1 << RANK) - 1))
+    high = F.shiftleft(slot, 58).bitwiseOR(F.shiftleft(r, PLACE + RANK))
+    return high.bitwiseOR(F.shiftleft(rank, PLACE)).bitwiseOR(x.bitwiseAND(F.lit(_LOW)))
+
+
+def _least(visits: Column) -> Column:
+    """The smallest two of each slot of a sorted array."""
+    return F.filter(visits, lambda x, i: (i < TUPLE) | (_slot(F.get(visits, i - TUPLE)) != _slot(x)))
+
+
+def _least_of_own_orders(df: DataFrame, kept: list[str]) -> DataFrame:
+    """Adds ``_least`` from ``_pairs``: each slot's two smallest of all pairs, by as many rounds as the text needs."""
+    pairs, n, none = F.col("_pairs"), F.size("_pairs"), F.array().cast("array<long>")
+    first = F.greatest(F.ceil(F.lit(VISITS) / F.greatest(n, F.lit(1))), F.lit(1)).cast("int")
+    df = df.select(*kept, "_pairs", none.alias("_least"))
+    for rounds in (first, 2 * first, F.lit(SLOTS)):
+        steps = F.sequence(F.lit(0), F.least(rounds, F.lit(SLOTS)) - 1)
+        visits = F.flatten(F.transform(steps, lambda r: F.transform(pairs, lambda x: _visit(x, r))))
+        whole = F.size("_least") == SLOTS * F.least(n, F.lit(TUPLE))  # by fewer rounds
+        df = _let(df, "_visits", F.when(whole, none).otherwise(F.sort_array(visits)))
+        df = _let(df, "_found", F.when(whole, F.col("_least")).otherwise(_least(F.col("_visits"))))
+        df = df.select(*kept, "_pairs", F.col("_found").alias("_least"))
+    return df.select(*kept, "_least")
+
+
+def with_signature(df: DataFrame, text: str, name: str, own_orders: bool = False) -> DataFrame:
     """Adds a signature column: for each filled slot, in the order of signed hashes, the slot's number times 65536 and 16 bits of its tuple's hash.
 
     Null and blank texts fill no slot. Words end at ASCII white space; the last k-mers of a text are shorter. A k-mer's first
@@ -59,9 +98,11 @@ def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
     kmers = F.col("_kmers")
     again = lambda x, i: _packed(F.xxhash64(_above(x), _numbered(kmers, x, i)), x)
     df = _let(df, "_pairs", F.transform(kmers, lambda x, i: F.when(_above(F.get(kmers, i - 1)) == _above(x), again(x, i)).otherwise(x)))
-    df = df.select(*kept, F.sort_array("_pairs").alias("_sorted"))
-    pairs = F.col("_sorted")
-    df = _let(df, "_least", F.filter(pairs, lambda x, i: (i < TUPLE) | (_slot(F.get(pairs, i - TUPLE)) != _slot(x))))
+    if own_orders:
+        df = _least_of_own_orders(df, kept)
+    else:
+        df = df.select(*kept, F.sort_array("_pairs").alias("_sorted"))
+        df = _let(df, "_least", _least(F.col("_sorted")))
     least = F.col("_least")
 
     def tuple_of(x: Column, i: Column) -> Column:
@@ -125,7 +166,7 @@ def with_next(docs: DataFrame, carried: list[str], tops: list[int]) -> DataFrame
     return with_lead.where("_at.guest = 0").drop("_id", "_block", "_part", "_top", "_at")
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, own_orders: bool = False) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next document's. A single
@@ -133,12 +174,12 @@ def report(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     tops = ranges(docs)  # from the ids alone, before texts are read
-    docs = with_next(with_signature(docs, "text", "signature"), ["text", "signature"], tops)
+    docs = with_next(with_signature(docs, "text", "signature", own_orders), ["text", "signature"], tops)
     docs = docs.withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.expr("CAST(n_chars div 2 AS INT)")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
     docs = _let(docs, "edited", edited).drop("text", "next_text")
-    docs = with_signature(docs.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_signature")
+    docs = with_signature(docs.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_signature", own_orders)
     return docs.select(
         "doc_id", "n_chars", "edited_sha256", spelled("signature").alias("fingerprint"), spelled("edited_signature").alias("edited_fingerprint"),
         likeness("signature", "edited_signature").alias("near_edited"), likeness("signature", "next_signature").alias("near_next"),

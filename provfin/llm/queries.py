@@ -69,7 +69,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orderminhash.report(table(spark, sf_dir, "documents"))
+    return orderminhash.report(table(spark, sf_dir, "documents"), own_orders=True)
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
