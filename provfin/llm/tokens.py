@@ -3,12 +3,14 @@
 The ids are those that the tokenizers library gives with ``add_special_tokens=False`` (tests hold the two against each
 other). Texts are split by the vocabulary's pattern ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``
 over code points. A distinct piece is merged once, by tiktoken's merger over the merge order in the tokenizers file, as that is
-ten times quicker for single pieces. Strings of special tokens are ordinary text.
+ten times quicker for single pieces. With ``added``, texts are first split at the file's added tokens, which get their own ids, as
+the library does it unless ``encode_special_tokens`` is set; without, their strings are ordinary text.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from itertools import chain
 
@@ -88,11 +90,17 @@ def piece_starts(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts; one per worker."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            whole = json.load(file)
+        model = whole["model"]
+        tokens = whole.get("added_tokens") or [] if added else []
+        if any(t.get(flag) for t in tokens for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take white space or whole words only are not supported")
+        self.added = {t["content"].encode(): t["id"] for t in tokens if t["content"]}
+        self.find_added = re.compile(b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         byte = {letter: code for code, letter in enumerate(_byte_letters())}
         ranks = {bytes(map(byte.__getitem__, x)): i for x, i in model["vocab"].items() if all(c in byte for c in x)}
         self.merge = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
@@ -137,8 +145,34 @@ class Encoder:
             self.table_key[place[where]], self.table_slot[place[where]] = distinct, fresh
         return slot
 
+    def _added_spans(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int]]:
+        """Start, end and id of every added token; none reaches over the end of a text."""
+        whole, out, at = data.tobytes(), [], 0
+        while m := self.find_added.search(whole, at):
+            if m.end() <= offsets[np.searchsorted(offsets, m.start(), side="right")]:
+                out.append((m.start(), m.end(), self.added[m[0]]))
+                at = m.end()
+            else:
+                at = m.start() + 1
+        return out
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text begins (one entry more than texts)."""
+        spans = self._added_spans(data, offsets) if self.find_added is not None else []
+        if not spans:
+            return self._encode(data, offsets)
+        begin, end, ids = (np.array(x, np.int64) for x in zip(*spans))
+        inside = np.zeros(len(data), bool)
+        inside[np.concatenate([np.arange(a, b) for a, b, _ in spans])] = True
+        gone = np.concatenate([[0], np.cumsum(inside)])  # bytes of added tokens before each byte
+        texts, places = offsets - gone[offsets], begin - gone[begin]
+        bounds = np.sort(np.concatenate([texts, places]))
+        plain, at = self._encode(data[~inside], bounds)
+        before = lambda x: at[np.searchsorted(bounds, x)]
+        return np.insert(plain, before(places), ids.astype(np.uint32)), before(texts) + np.searchsorted(begin, offsets)
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         whole = data.tobytes().decode("utf-8")
@@ -161,7 +195,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file; it lives as long as the worker."""
+    """The worker's encoder for a vocabulary file, with its added tokens; it lives as long as the worker."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, added=True)
     return _ENCODERS[path]

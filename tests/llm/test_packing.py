@@ -92,3 +92,15 @@ def test_likely_neighbours_share_sequences(spark):
         of[r.sequence_id].append(r.doc_id % 6)
     together = [max(map(x.count, x)) / len(x) for x in of.values() if len(x) > 2]
     assert np.mean(together) > 0.6
+
+
+def test_added_tokens_are_those_of_the_unaltered_tokenizer(spark):
+    end, rng = "<|endoftext|>", random.Random(2)
+    texts = ["a<|endoftext|>b", end, end * 3, f"a  {end}  b's", "<|endof", "text|>", f"é{end}", "", f"<|{end}|>", f"x {end}\n"]
+    texts += ["".join(rng.choice([end, "<|endof", "text|>", " ", "ab", "日", "'s", "\n"]) for _ in range(rng.randint(0, 9))) for _ in range(500)]
+    plain = Tokenizer.from_file(PATH)
+    ids, at = tokens.encoder(PATH).encode(*columns.flat(pa.array(texts)))
+    for i, known in enumerate(plain.encode_batch(texts, add_special_tokens=False)):
+        assert ids[at[i] : at[i + 1]].tolist() == known.ids, texts[i]
+    docs = list(enumerate(texts))
+    pieces_are_whole(packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH, 8).collect(), docs, plain, 8)
