@@ -38,7 +38,7 @@ def benchmark_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences, packed along the curve."""
+    """Pieces of training sequences with their ids, packed along the curve."""
     ready(spark)
     return packing.pack(docs, tokenizer_path())
 

@@ -20,7 +20,7 @@ from provfin.llm import columns
 
 #: Dimensions of the curve, bits of each, and slots of the hashed vector before projection.
 DIMENSIONS, BITS, SLOTS = 4, 12, 4096
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
 def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -110,9 +110,12 @@ def _cut(
     return out
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)], names)
+def _batch(rows: list[tuple], run: np.ndarray) -> pa.RecordBatch:
+    """Pieces, which stand in ``run`` one after another, with their ids."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
+    ends = np.cumsum([0, *(r[2] for r in rows)])
+    ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(run[: ends[-1]].astype(np.int32)))
+    return pa.RecordBatch.from_arrays([*(pa.array(list(c), pa.int64()) for c in zip(*rows)), ids], names)
 
 
 def pack_rows(batches: Iterator[pa.RecordBatch], path: str, length: int, partition: int) -> Iterator[pa.RecordBatch]:
@@ -133,7 +136,7 @@ def pack_rows(batches: Iterator[pa.RecordBatch], path: str, length: int, partiti
         full = len(run) // length
         if full:
             if rows := _cut(run, docs, np.arange(1, full + 1) * length, sequence):
-                yield _batch(rows)
+                yield _batch(rows, run)
             sequence += full
         cut = full * length
         keep = max(int(np.searchsorted([d[3] for d in docs], cut, side="right")) - 1, 0)
@@ -141,13 +144,13 @@ def pack_rows(batches: Iterator[pa.RecordBatch], path: str, length: int, partiti
         open_docs = [(d, n, s + max(cut - w, 0), max(w - cut, 0)) for d, n, s, w in docs[keep:]] if len(rest) else []
     if len(rest):
         sizes = [1 << b for b in range(length.bit_length(), -1, -1) if len(rest) >> b & 1]
-        yield _batch(_cut(rest, open_docs, np.cumsum(sizes), sequence))
+        yield _batch(_cut(rest, open_docs, np.cumsum(sizes), sequence), rest)
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = 1024, parts_per_task: int = 8) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
-    Ranges of (place on the curve, doc_id) are bounded by a sample of places, as a range sort does it, so copies of one text
+    A sequence is its pieces' ids in the order of offsets; ids_crc32 is that of the piece's ids as little-endian 32-bit numbers. Ranges of (place on the curve, doc_id) are bounded by a sample of places, as a range sort does it, so copies of one text
     spread over as many ranges as they need; every range is sorted and its documents are packed one after another.
     Null texts are empty (one id, 0); null ids stay null; repeated rows are packed each; an empty table gives no row. Extra
     columns do not matter. A text of any length is cut over as many sequences as it fills.

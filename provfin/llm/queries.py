@@ -49,7 +49,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

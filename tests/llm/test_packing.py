@@ -104,3 +104,12 @@ def test_added_tokens_are_those_of_the_unaltered_tokenizer(spark):
         assert ids[at[i] : at[i + 1]].tolist() == known.ids, texts[i]
     docs = list(enumerate(texts))
     pieces_are_whole(packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH, 8).collect(), docs, plain, 8)
+
+
+@pytest.mark.parametrize("length", [8, 1024])
+def test_pieces_have_their_ids(odd_docs, model, length):
+    rows = packing.pack(odd_docs, PATH, length).collect()
+    whole = {(r.doc_id, tuple([*model.encode(r.text or "", add_special_tokens=False).ids, 0])) for r in odd_docs.collect()}
+    for r in rows:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+        assert any(d == r.doc_id and list(x[r.start : r.start + r.length]) == r.ids for d, x in whole)
