@@ -50,6 +50,8 @@ _MARK = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _PARTS = re.compile(r"[^a-z]+")
+#: Characters that stand for some three letters: ideographs, kana, Hangul.
+_WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 
 
@@ -144,17 +146,39 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def first_pass(block: Block) -> bool | None:
-    """Whether a block that no element rules out is main text; None where it is too short to tell."""
+def _stop_share(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+
+
+def covered(found: list[Block]) -> bool:
+    """Whether a page is in one of the languages of the stop words: some unlinked block that is not short has many."""
+    return any(len(b.text) >= SHORT and b.linked <= MOST_LINKED * len(b.text) and _stop_share(b.text) >= STOP_HIGH for b in found)
+
+
+def _other_script(text: str) -> bool:
+    """Whether most letters are not Latin."""
+    letters = [c for c in text if c.isalpha()]
+    return 2 * sum(c > "\u024f" and not "\u1e00" <= c <= "\u1eff" for c in letters) > len(letters)
+
+
+def first_pass(block: Block, known: bool = True) -> bool | None:
+    """Whether a block that no element rules out is main text; None where it is too short to tell.
+
+    Stop words tell only in the languages they cover: on other pages (not ``known``) and in other scripts length and links decide.
+    """
     size = len(block.text)
     if block.linked > MOST_LINKED * size:
         return None if block.inside and block.linked < 0.9 * size else False
     if block.inside:
         return True
-    words = block.text.lower().split()
-    stop = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+    stop = _stop_share(block.text)
+    if not block.text.isascii():
+        size += 2 * len(_WIDE.findall(block.text))
     if size < SHORT:
         return None
+    if not known or stop < STOP_LOW and _other_script(block.text):
+        return True
     if stop >= STOP_HIGH:
         return True
     if stop >= STOP_LOW:
@@ -184,7 +208,8 @@ def second_pass(labels: list[bool | None]) -> list[bool]:
 def main_text(page: str) -> str:
     """The main text of a page: its blocks joined by line feeds."""
     found = [b for b in blocks(page) if b.inside is not False]
-    labels = second_pass([first_pass(b) for b in found])
+    known = covered(found)
+    labels = second_pass([first_pass(b, known) for b in found])
     return "\n".join(b.text for b, keep in zip(found, labels) if keep)
 
 

@@ -60,3 +60,24 @@ def test_every_row_is_extracted(spark):
     long = ("of the and " * 20000).strip()
     assert found == sorted([(1, "u", "", 0), (2, None, "", 0), (0, "v", "é", 1), (2, None, "", 0), (3, "w", long, len(long))], key=str)
     assert html.extract(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Дом стоял у реки, и каждое утро люди выходили к воде, чтобы посмотреть на лодки. " * 4,
+        "Talo seisoi joen rannalla, ja joka aamu ihmiset tulivat katsomaan veneitä, joita vesi kantoi kohti merta. " * 3,
+        "Dom stał nad rzeką i każdego ranka ludzie wychodzili nad wodę, by popatrzeć na łodzie płynące z prądem. " * 3,
+        "河边有一座房子，每天早晨人们都到水边看船，孩子们在树下唱歌，老人坐在门口晒太阳。" * 6,
+        "川のそばに家があり、毎朝人々は船を見に来て、子どもたちは木の下で歌いました。" * 6,
+    ],
+)
+def test_languages_without_stop_words_keep_their_text(text):
+    links = "<div><a href=1>one two three</a> <a href=2>four five six</a></div>"
+    page = f"<html><body>{links}<div>{text}</div><div>{text[:90]}</div>{links}</body></html>"
+    assert html.main_text(page) == f"{text.strip()}\n{text[:90].strip()}"
+
+
+def test_other_scripts_on_a_page_with_english():
+    text = "Дом стоял у реки, и каждое утро люди выходили к воде, чтобы посмотреть на лодки. " * 4
+    assert html.main_text(f"<div>{text}</div><div>{ARTICLE}</div>") == f"{text.strip()}\n{ARTICLE}"
