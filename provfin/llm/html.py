@@ -48,11 +48,13 @@ _MARK = re.compile(
     r"|[^<]+|<",
     re.DOTALL | re.IGNORECASE,
 )
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _PARTS = re.compile(r"[^a-z]+")
 #: Characters that stand for some three letters: ideographs, kana, Hangul.
 _WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
+#: Names that inside an article rule out only blocks without a heading; header rules out nothing there.
+SOFT_NAMES = frozenset("legal links notice notices share sharing tags".split())
 
 
 @dataclass
@@ -63,39 +65,62 @@ class Block:
     linked: int
     inside: bool | None
     heading: bool = False
+    paragraph: bool = False
 
 
-def _says(tag: str, rest: str, outer: bool | None) -> bool | None:
+class Soft:
+    """What an element with one of SOFT_NAMES says inside an article: text if there is a heading in it."""
+
+    def __init__(self, outer: Soft | None):
+        self.outer, self.heads = outer, False
+
+
+def _says(tag: str, rest: str, outer: bool | None | Soft) -> bool | None | Soft:
     """What an element says of its blocks, after what the elements around it say."""
     if outer is False or tag in NEVER:
         return False
-    if tag == "header":
-        return outer  # an article's own header has its title
+    soft = False
     if rest:
-        if _HIDDEN.search(rest):
-            return False
-        for m in _NAMES.finditer(rest):
-            words = _PARTS.split((m[1] or m[2] or m[3] or "").lower())
-            if not NOT_TEXT_NAMES.isdisjoint(words) and tag not in ("body", "html") and not (outer is None and tag in TEXT and "comment" not in words):
+        names: list[str] = []
+        for m in _ATTRIBUTE.finditer(rest):
+            name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and _NOT_SHOWN.search(value):
+                return outer if tag == "header" else False
+            if name in ("class", "id", "role"):
+                names += _PARTS.split(value.lower())
+        ruled = NOT_TEXT_NAMES.intersection(names) if tag not in ("header", "body", "html") else ()
+        if ruled and not (outer is None and tag in TEXT and "comment" not in names):
+            if outer is None:
+                return False
+            ruled = ruled - {"header"}
+            if ruled - SOFT_NAMES:
                 return False
-    return True if tag in TEXT else outer
+            soft = bool(ruled)
+    if tag == "header":
+        return outer  # an article's own header has its title
+    if soft:
+        return Soft(outer if isinstance(outer, Soft) else None)
+    return True if tag in TEXT and outer is None else outer
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order; blocks without text are left out."""
     out: list[Block] = []
-    open_: list[tuple[str, bool | None]] = []  # elements around, with what they say
+    open_: list[tuple[str, bool | None | Soft]] = []  # elements around, with what they say
     text: list[str] = []
-    linked, links, says, heading, breaks = 0, 0, None, False, 0
+    linked, links, says, heading, paragraph, breaks = 0, 0, None, False, False, 0
 
     def close() -> None:
-        nonlocal linked, heading, breaks
+        nonlocal linked, heading, paragraph, breaks
         if text:
             whole = " ".join(references.unescape("".join(text)).split())
             if whole:
-                out.append(Block(whole, min(linked, len(whole)), says, heading))
+                out.append(Block(whole, min(linked, len(whole)), says, heading, paragraph))
+                soft = says if heading and isinstance(says, Soft) else None
+                while soft is not None:
+                    soft.heads, soft = True, soft.outer
             text.clear()
-        linked, heading, breaks = 0, False, 0
+        linked, heading, paragraph, breaks = 0, False, False, 0
 
     for m in _MARK.finditer(page):
         tag = m[3]
@@ -141,8 +166,12 @@ def blocks(page: str) -> list[Block]:
                 outer = open_[-1][1] if open_ else None
                 says = _says(tag, rest, outer)
                 open_.append((tag, says))
-                heading = tag[0] == "h" and tag[1:].isdigit()
+                heading, paragraph = tag[0] == "h" and tag[1:].isdigit(), tag == "p"
     close()
+    for block in out:
+        soft = block.inside
+        while isinstance(soft, Soft):
+            block.inside, soft = soft.heads, soft.outer if soft.heads else None
     return out
 
 
@@ -169,6 +198,8 @@ def first_pass(block: Block, known: bool = True) -> bool | None:
     """
     size = len(block.text)
     if block.linked > MOST_LINKED * size:
+        if block.inside and (block.heading or block.paragraph):
+            return True  # an article's heading or paragraph may be one link
         return None if block.inside and block.linked < 0.9 * size else False
     if block.inside:
         return True

@@ -81,3 +81,20 @@ def test_languages_without_stop_words_keep_their_text(text):
 def test_other_scripts_on_a_page_with_english():
     text = "Дом стоял у реки, и каждое утро люди выходили к воде, чтобы посмотреть на лодки. " * 4
     assert html.main_text(f"<div>{text}</div><div>{ARTICLE}</div>") == f"{text.strip()}\n{ARTICLE}"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<article class='content overflow-hidden'><p>one</p></article>", "one"),
+        ("<article style='overflow:hidden'><p>one</p></article>", "one"),
+        ("<article aria-hidden='false' data-x='hidden' id='not-hidden'><p>one</p></article>", "one"),
+        ("<article><p style='color:red; display : none'>no</p><p aria-hidden=true>no</p><p hidden=''>no</p><p>one</p></article>", "one"),
+        ("<article><div class='article-header'><h1>Title</h1><p>By A</p></div><p>one</p></article>", "Title\nBy A\none"),
+        ("<article><div class='entry-header tags'><div class='share'><h1>Title</h1></div></div><p>one</p><div class='share'>tell all</div></article>", "Title\none"),
+        ("<article><h2><a href=x>Linked title</a></h2><p><a href=y>Linked words</a></p><ul><li><a href=z>list</a></ul><p>one</p></article>", "Linked title\nLinked words\none"),
+        ("<article><p>one</p><div class='related'><h3>More</h3><p>other</p></div></article>", "one"),
+    ],
+)
+def test_text_of_articles_stays(page, text):
+    assert html.main_text(page) == text
