@@ -36,4 +36,16 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n_kept, 0) AS n_removed, sha
 FROM d LEFT JOIN kept USING (doc_id)
 """
 
-SQL = {"op1_substring_dedup": SUBSTRINGS, "op5_decontamination": DECONTAMINATION}
+LINES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS p FROM d),
+k AS (SELECT r, doc_id, line, p, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS key FROM l),
+shared AS (SELECT key, min(doc_id) AS first_id FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS text
+         FROM k LEFT JOIN shared USING (key) WHERE first_id IS NULL OR first_id = doc_id GROUP BY r)
+SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+SQL = {"op1_substring_dedup": SUBSTRINGS, "op5_decontamination": DECONTAMINATION, "op11_line_dedup": LINES}
