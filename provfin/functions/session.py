@@ -48,17 +48,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def working_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_folder(spark)}/provfin/{uuid.uuid4().hex}"
+    files, where = hadoop_path(spark, path)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return path
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write a frame as Parquet into the shared folder and read it back: lineage ends there, and a lost executor loses nothing.
 
     The files go when the application ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/provfin/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
+    path = working_folder(spark)
+    df.write.mode("append").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

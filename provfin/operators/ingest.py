@@ -7,6 +7,7 @@ from each row's ``source_file``, so one job cleans any number of files.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from provfin.refdata import FILE_YEAR_PATTERN, LINE_HEADERS, PROVIDER_HEADERS
 
@@ -14,6 +15,8 @@ from provfin.refdata import FILE_YEAR_PATTERN, LINE_HEADERS, PROVIDER_HEADERS
 # A total as a number, NULL if it cannot be read; and the first number that no longer fits the fact table.
 READ_TOTAL = "try_cast(replace(total, ',', '') AS DOUBLE)"
 TOTAL_BELOW = "1e14D"
+# The column of a reader that holds rows it could not cut into columns.
+CORRUPT = "_corrupt_record"
 
 
 def derive_financial_year(file_name: str) -> str:
@@ -26,8 +29,10 @@ def derive_trust_type(file_name: str) -> str:
     return f"CASE WHEN contains(lower({file_name}), 'foundation') THEN 'FOUNDATION_TRUST' ELSE 'NHS_TRUST' END"
 
 
-def resolve_headers(raw: DataFrame, headers: dict[str, list[str]], optional: tuple[str, ...] = ()) -> DataFrame:
-    """Text columns under their own names, whichever of the known headers the files used."""
+def resolve_headers(
+    raw: DataFrame, headers: dict[str, list[str]], optional: tuple[str, ...] = (), kept: tuple[str, ...] = ()
+) -> DataFrame:
+    """Text columns under their own names, whichever of the known headers the files used; ``kept`` are further columns (SQL text)."""
     present = {name: [h for h in known if h in raw.columns] for name, known in headers.items()}
     missing = [headers[name][0] for name, found in present.items() if not found and name not in optional]
     if missing:
@@ -37,7 +42,7 @@ def resolve_headers(raw: DataFrame, headers: dict[str, list[str]], optional: tup
         for name, found in present.items()
         if found
     ]
-    return raw.selectExpr(*resolved, "source_file")
+    return raw.selectExpr(*resolved, "source_file", *kept)
 
 
 def _given(*names: str) -> str:
@@ -48,11 +53,11 @@ def _given(*names: str) -> str:
 def clean_lines(raw: DataFrame) -> DataFrame:
     """Current-year account lines. Totals may hold separators; unreadable ones are 0, fractions are cut.
 
-    Lines whose total has more than fourteen digits are set aside (``audit.preload_audit`` counts them), so one of them does not
-    stop a load.
+    Lines whose total has more than fourteen digits are set aside (``rejected_lines`` has them), so one of them does not
+    stop a load; rows that a reader could not cut into columns are too.
     """
     return (
-        resolve_headers(raw, LINE_HEADERS)
+        resolve_headers(raw.filter(f"{CORRUPT} IS NULL") if CORRUPT in raw.columns else raw, LINE_HEADERS)
         .filter("main_code IS NULL OR NOT contains(main_code, 'PY')")
         .filter(_given("organisation_name", "sub_code", "total"))
         .filter(f"coalesce(abs({READ_TOTAL}), 0D) < {TOTAL_BELOW}")
@@ -72,6 +77,43 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     )
 
 
+# Reasons for which a line is not kept, and the condition over text columns under their own names.
+REFUSALS = {
+    "malformed row": f"{CORRUPT} IS NOT NULL",
+    "prior year": "contains(main_code, 'PY')",
+    "no organisation": f"NOT coalesce({_given('organisation_name')}, false)",
+    "no sub-code": f"NOT coalesce({_given('sub_code')}, false)",
+    "no total": f"NOT coalesce({_given('total')}, false)",
+    "total does not fit": f"abs({READ_TOTAL}) >= {TOTAL_BELOW}",
+}
+
+
+def flagged_lines(raw: DataFrame) -> DataFrame:
+    """Every published line as it was read, with ``reasons``: why ``clean_lines`` drops it, empty for the lines that it keeps."""
+    corrupt = CORRUPT if CORRUPT in raw.columns else f"CAST(NULL AS STRING) AS {CORRUPT}"
+    listed = ", ".join(f"CASE WHEN {condition} THEN '{reason}' END" for reason, condition in REFUSALS.items())
+    return resolve_headers(raw, LINE_HEADERS, kept=(corrupt,)).selectExpr("*", f"array_compact(array({listed})) AS reasons")
+
+
+def rejected_lines(raw: DataFrame) -> DataFrame:
+    """The lines that ``clean_lines`` drops, as published but for the blanks around names and codes, with the reasons in one text."""
+    return (
+        flagged_lines(raw)
+        .filter("size(reasons) > 0")
+        .selectExpr(
+            "source_file", "trim(organisation_name) AS organisation_name", "trim(main_code) AS main_code", "trim(row_num) AS row_num",
+            "trim(sub_code) AS sub_code", "total", f"{CORRUPT} AS malformed_row", "array_join(reasons, ', ') AS reasons",
+        )
+    )
+
+
+def line_counts(raw: DataFrame) -> DataFrame:
+    """Per file the lines read, kept and refused, and refused for each reason; a line may have several."""
+    reasons = [f"count_if(array_contains(reasons, '{r}')) AS {r.replace(' ', '_').replace('-', '_')}" for r in REFUSALS]
+    counts = ["count(*) AS read", "count_if(size(reasons) = 0) AS kept", "count_if(size(reasons) > 0) AS refused", *reasons]
+    return flagged_lines(raw).groupBy("source_file").agg(*map(F.expr, counts))
+
+
 def inspected_lines(raw: DataFrame) -> DataFrame:
     """Current-year lines before anything is dropped: what is missing is NULL, and what cleaning would do to the total is flagged."""
     present = lambda name: f"CASE WHEN {_given(name)} THEN trim({name}) END AS {name}"

@@ -310,6 +310,12 @@ CTES |= {
         CAST(total AS DECIMAL(14,0)) AS total_000s, trust_type, source_file FROM placed WHERE newest = 1""",
 }
 
+# One load of published files, which come in four parts by row number.
+CTES |= {
+    "placed_files": CTES["placed"].replace("batch DESC, source_file DESC", "row_num % 4 DESC").replace("batch, source_file", "row_num % 4"),
+    "promoted_files": CTES["promoted"].replace("source_file FROM placed", "source_file || '_p' || row_num % 4 || '.csv' AS source_file FROM placed_files"),
+}
+
 # Views over facts that came through files: postings of organisations whose name is in that year's provider list.
 _from_files = {n: f"{n}_files" for n in ("fact", "v1", "v2", "v3", "joined", "v4", "extra", "v5")} | {"trust": "built"}
 CTES |= {
@@ -353,7 +359,7 @@ NEEDS = {
     "fact_files": ["fact", "trust", "prov"], "v1_files": ["fact_files", "built"], "v2_files": ["fact_files", "built", "code"],
     "v3_files": ["fact_files", "built"], "joined_files": ["v1_files", "v2_files", "v3_files"], "v4_files": ["joined_files"],
     "extra_files": ["fact_files"], "v5_files": ["v4_files", "extra_files"],
-    "monthly": [],
+    "placed_files": ["matched"], "promoted_files": ["placed_files"], "monthly": [],
     "posted": [], "slots": [], "det": ["posted", "slots"], "tot": ["det"], "wte": ["posted"],
     "fact_all": ["det", "tot", "wte"], "fact": ["fact_all"], "trust": [], "code": [],
     "v1": ["fact", "trust"], "v2": ["fact", "trust", "code"], "v3": ["fact", "trust"],
@@ -446,7 +452,34 @@ def ingest_sql() -> dict[str, str]:
             ("unreadable totals", "WARNING", f"{plain} = 0"),
         )
     )
+    refusals = {
+        "prior year": "NOT current",
+        "no organisation": "mix % 3 = 2 AND mix % 97 = 0",
+        "no sub-code": "mix % 89 = 0",
+        "no total": f"{plain} <> 0 AND mix % 79 <> 0 AND mix % 83 = 0",
+        "total does not fit": f"{plain} <> 0 AND mix % 79 = 0",
+    }
+    refused = " OR ".join(f"({fault})" for fault in refusals.values())
+    clean_name = "CASE WHEN mix % 3 = 1 THEN upper(name) ELSE name END"
     return {
+        "fact_from_stream": statement("SELECT * FROM promoted_files", "promoted_files"),
+        "stg_rejects": statement(
+            f"""SELECT source_file, CASE WHEN NOT ({refusals['no organisation']}) THEN {clean_name} END AS organisation_name,
+            'A' || CASE WHEN slot <= 8 THEN '06' WHEN slot <= 11 THEN '07' ELSE '08' END || CASE WHEN current THEN 'CY01' ELSE 'PY01' END
+              AS main_code, CAST(row_num AS VARCHAR) AS row_num, CASE WHEN mix % 89 <> 0 THEN {_slot_code} END AS sub_code,
+            CASE WHEN mix % 11 = 0 THEN format('{{:,}}', value) WHEN mix % 13 = 0 THEN value || '.9' WHEN mix % 17 = 0 THEN 'n/a'
+                 WHEN mix % 79 = 0 THEN value || '00000000000000' WHEN mix % 83 <> 0 THEN CAST(value AS VARCHAR) END AS total,
+            concat_ws(', ', {', '.join(f"CASE WHEN {fault} THEN '{name}' END" for name, fault in refusals.items())}) AS reasons
+            FROM named WHERE {refused}""",
+            "named",
+        ),
+        "stg_line_counts": statement(
+            f"""SELECT source_file, count(*) AS read, count(*) FILTER (WHERE NOT ({refused})) AS kept,
+            count(*) FILTER (WHERE {refused}) AS refused,
+            {', '.join(f"count(*) FILTER (WHERE {fault}) AS {name.replace(' ', '_').replace('-', '_')}" for name, fault in refusals.items())}
+            FROM named GROUP BY source_file""",
+            "named",
+        ),
         "derive_financial_year": statement(
             f"SELECT source_file, count(*) AS line_count, min(financial_year) AS financial_year {files}", "named"
         ),
@@ -1196,5 +1229,6 @@ def oracle_sql() -> dict[str, str]:
     }
     trend = trend_sql()["national_trend"]
     body = trend[trend.rindex("SELECT financial_year") :]
+    found["scorecard_refresh"] = found["scorecard"]
     found["national_trend_from_files"] = statement(body.replace("FROM v5", "FROM v5_files"), "v5_files")
     return found

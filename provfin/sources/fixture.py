@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provfin.functions import expr
+from provfin.functions.session import hadoop_path, working_folder
 from provfin.refdata import WS_EXPENDITURE, WS_OTHER_INCOME, WS_PATIENT_INCOME, WS_SOCI, WS_STAFF
 
 CODE_WIDTH = 9
@@ -286,6 +287,21 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.selectExpr(f"inline(array(struct({row})))")
 
 
+def publish(lines: DataFrame, folder: str, parts: int = 4) -> None:
+    """Raw lines as CSV files named after their ``source_file``, each in ``parts`` files of its own (``..._p0.csv``), by row number."""
+    spark = lines.sparkSession
+    files, home = hadoop_path(spark, folder)
+    files.mkdirs(home)
+    draft = f"{working_folder(spark)}/draft"
+    part = f"concat(source_file, '_p', CAST(RowNumber AS BIGINT) % {parts}, '.csv')"
+    plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    named = lines.withColumn("source_file", F.expr(part)).repartition("source_file")
+    named.write.options(**plain).partitionBy("source_file").csv(draft)
+    for found in files.globStatus(hadoop_path(spark, f"{draft}/source_file=*/part-*")[1]):
+        name = found.getPath().getParent().getName().removeprefix("source_file=")
+        files.rename(found.getPath(), hadoop_path(spark, f"{folder}/{name}")[1])
+
+
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The yearly account lines as files hold them, of all worksheets: published headers, all text, prior years too."""
     lines = facts(spark, sf_dir, include_prior=True)

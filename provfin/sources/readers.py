@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from provfin.operators.ingest import resolve_headers
+from provfin.operators.ingest import CORRUPT, resolve_headers
 from provfin.refdata import FILE_EXCLUDE, FILE_GLOB, LINE_HEADERS, PROVIDER_HEADERS
 
 
@@ -41,8 +41,8 @@ def _groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
             by_header.setdefault(tuple(next(csv.reader([_header(spark, path)]), [])), []).append(path)
     frames = []
     for header, files in by_header.items():
-        schema = StructType([StructField(name, StringType()) for name in header])
-        frames.append(spark.read.schema(schema).option("header", True).csv(files))
+        schema = StructType([StructField(name, StringType()) for name in (*header, CORRUPT)])
+        frames.append(spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", CORRUPT).csv(files))
     if columnar:
         frames.append(spark.read.option("mergeSchema", True).parquet(*columnar))
     return [f.select("*", F.col("_metadata.file_name").alias("source_file")) for f in frames]
@@ -52,14 +52,16 @@ def _read_all(spark: SparkSession, paths: list[str], headers: dict, optional: tu
     """All extracts, whose headers differ by year, as one frame under canonical published headers: a branch for each header."""
     if not paths:
         raise ValueError("No extracts found")
-    frames = [resolve_headers(frame, headers, optional) for frame in _groups(spark, paths)]
+    frames = [
+        resolve_headers(frame, headers, optional, kept=tuple(c for c in (CORRUPT,) if c in frame.columns)) for frame in _groups(spark, paths)
+    ]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     published = {name: known[0] for name, known in headers.items() if name in merged.columns}
     return merged.withColumnsRenamed(published)
 
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Account lines for ``operators.ingest.clean_lines``."""
+    """Account lines for ``operators.ingest.clean_lines``; CSV rows that do not fit their header are told in a column of their own."""
     return _read_all(spark, paths, LINE_HEADERS)
 
 

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from provfin.functions.session import materialise
+from provfin.operators.ingest import REFUSALS, flagged_lines
 from provfin.operators.merge import merge_facts
 
 PARTITIONS = ["financial_year", "trust_type"]
@@ -26,7 +27,8 @@ def replace_partitions(df: DataFrame, path: str) -> None:
     )
 
 
-def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, None if nothing has been written there."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
@@ -44,7 +46,7 @@ def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None)
     """
     spark = incoming.sparkSession
     incoming = incoming.withColumn("load_ts", F.current_timestamp())
-    existing = _read_table(spark, path)
+    existing = read_table(spark, path)
     if existing is None:
         replace_partitions(incoming, path)
         return
@@ -55,6 +57,19 @@ def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None)
     replace_partitions(materialise(merge_facts(touched, incoming)), path)
 
 
+def stage_lines(raw: DataFrame, path: str) -> dict[str, int]:
+    """Writes published lines below ``path``, kept ones (``refused=false``) apart from refused ones with their reasons.
+
+    One scan does both and counts on the way what it reads, refuses, and refuses for which reason; the counts are returned.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("read"), F.count_if("refused").alias("refused")]
+    counts += [F.count_if(F.array_contains("reasons", reason)).alias(reason) for reason in REFUSALS]
+    lines = flagged_lines(raw).withColumn("refused", F.expr("size(reasons) > 0"))
+    lines.observe(seen, *counts).write.mode("overwrite").partitionBy("refused").parquet(path)
+    return seen.get
+
+
 def write_extract(df: DataFrame, path: str, order: list[str] | None = None, single_file: bool = False) -> None:
     """CSV with a header. A row order holds across files by name; ``single_file`` is for small extracts."""
     ordered = df.orderBy(*order) if order else df
