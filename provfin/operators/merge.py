@@ -59,6 +59,37 @@ def build_dim_trust(providers: DataFrame, existing: DataFrame | None = None) ->
     )
 
 
+def build_trust_history(providers: DataFrame) -> DataFrame:
+    """What the yearly lists said of each organisation over time: one row per stretch of years in which name, type, sector and region stay.
+
+    A list that leaves the sector or region open does not change it. ``valid_from`` is the first year of a stretch, ``valid_before``
+    the first year of the next (NULL for the current one); a year without a list belongs to the stretch before it. The windows hold
+    the years of one organisation, after its lists have been reduced to a row a year.
+    """
+    told = "struct(source_file, organisation_name)"
+    columns = {
+        "seen": f"min_by(struct(organisation_name, trust_type), {told})",
+        "sector": f"max_by(sector, CASE WHEN sector IS NOT NULL THEN {told} END)",
+        "region": f"max_by(region, CASE WHEN region IS NOT NULL THEN {told} END)",
+    }
+    years = providers.groupBy("org_code", "financial_year").agg(*named(columns))
+    so_far, in_order = "PARTITION BY org_code ORDER BY financial_year", "financial_year"
+    filled = years.selectExpr(
+        "org_code", in_order, "seen.organisation_name", "seen.trust_type",
+        f"last_value(sector) IGNORE NULLS OVER ({so_far}) AS sector", f"last_value(region) IGNORE NULLS OVER ({so_far}) AS region",
+    )
+    attributes = "struct(organisation_name, trust_type, sector, region)"
+    marked = filled.selectExpr("*", f"CASE WHEN {attributes} <=> lag({attributes}) OVER ({so_far}) THEN 0 ELSE 1 END AS is_new")
+    stretches = marked.selectExpr("*", f"sum(is_new) OVER ({so_far}) AS entry")
+    joined = stretches.groupBy("org_code", "entry", "organisation_name", "trust_type", "sector", "region")
+    return joined.agg(
+        F.min("financial_year").alias("valid_from"), F.max("financial_year").alias("last_listed"), F.count(F.lit(1)).alias("lists")
+    ).selectExpr(
+        "org_code", "organisation_name", "trust_type", "sector", "region", "entry", "valid_from",
+        "lead(valid_from) OVER (PARTITION BY org_code ORDER BY entry) AS valid_before", "last_listed", "lists",
+    )
+
+
 def extend_worksheets(dim_worksheet: DataFrame, lines: DataFrame) -> DataFrame:
     """Adds worksheets seen in the lines but not in the dimension, under category OTHER."""
     seen = lines.select("worksheet_name").filter("worksheet_name IS NOT NULL").distinct()

@@ -11,6 +11,7 @@ from provfin.plans import enrich, views
 from provfin.plans.trend import total_m
 from provfin.plans.views import HEAD, TRUST
 from provfin.refdata import WS_EXPENDITURE, WS_OTHER_INCOME, WS_PATIENT_INCOME, WS_SOCI
+from provfin.sources import sinks
 
 # Columns of the four subsets of the enriched scorecard.
 CARD_EXTRACTS = {
@@ -180,6 +181,26 @@ def with_dimensions(extract: DataFrame, dim_trust: DataFrame, dim_year: DataFram
     )
 
 
+# The datasets of the report model that are linked to both dimensions.
+LINKED = ["kpis", "ie_summary", "expenditure_breakdown", "workforce", "income_detail", "expenditure_detail"]
+
+
+def linkable(name: str, fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame) -> DataFrame:
+    """A dataset of the report model by name."""
+    if name in CARD_EXTRACTS:
+        return card_extract(enrich.enrich(views.scorecard(fact, dim_trust, dim_subcode)), name)
+    return {"income_detail": income_detail, "expenditure_detail": expenditure_detail}[name](fact, dim_trust, dim_subcode)
+
+
+def write_model(folder: str, prefix: str, frames: dict[str, DataFrame], dim_trust: DataFrame, buckets: int = 16) -> dict[str, DataFrame]:
+    """Writes datasets and the organisation dimension as tables in buckets of the organisation; returns them by name, ``dim_trust`` too.
+
+    ``with_dimensions`` of these tables joins the organisation bucket by bucket: nothing of a dataset is shuffled for it.
+    """
+    named = {**frames, "dim_trust": dim_trust_extract(dim_trust) if "first_year_seen" in dim_trust.columns else dim_trust}
+    return {name: sinks.write_bucketed(df, f"{prefix}_{name}", f"{folder}/{name}", buckets) for name, df in named.items()}
+
+
 ROW_ORDER = {
     "dim_trust": ["organisation_name"],
     "dim_financial_year": ["financial_year"],

@@ -3,6 +3,7 @@
 ``totals`` applies the slicers and adds up every base quantity along the axes in one aggregation; each
 measure group is then a projection of it, and Catalyst drops the sums a group does not use. Without
 axes there is always one row, also for an empty selection: amounts are 0, ratios NULL, statuses Grey.
+All but ``benchmark`` and ``labels`` also take a cube (``plans.totals.cube``) in place of the scorecard and then read no fact.
 """
 
 from __future__ import annotations
@@ -12,46 +13,9 @@ from pyspark.sql import functions as F
 
 from provfin.functions import expr
 from provfin.functions.expr import named
+from provfin.plans.totals import select_context, totals
 from provfin.refdata import EBITDA_RAG, PAY_RAG, PRIOR_YEAR, RAG_COLOUR_OTHER, RAG_COLOURS, SURPLUS_RAG
 
-# Base quantity: scorecard column.
-SUMS = {
-    "income": "total_income_000s",
-    "patient_income": "patient_care_income_000s",
-    "other_income": "other_income_000s",
-    "expenditure": "total_expenditure_000s",
-    "operating_surplus": "operating_surplus_000s",
-    "net_surplus": "net_surplus_000s",
-    "pay": "pay_000s",
-    "non_pay": "non_pay_000s",
-    "depreciation": "depreciation_amort_000s",
-    "drugs": "drugs_cost_000s",
-    "negligence": "clinical_negligence_000s",
-    "ebitda": "ebitda_000s",
-    "wte": "total_wte",
-    "staff_cost": "total_staff_cost_000s",
-    "medical": "medical_wte",
-    "nursing": "nursing_wte",
-}
-
-
-def select_context(card: DataFrame, filters: dict[str, list[str]] | None = None) -> DataFrame:
-    """Slicers: a column and the values to keep."""
-    for column, values in (filters or {}).items():
-        card = card.filter(F.col(column).isin(*values))
-    return card
-
-
-def totals(card: DataFrame, by: list[str], filters: dict[str, list[str]] | None = None) -> DataFrame:
-    columns = {name: f"sum({column})" for name, column in SUMS.items()}
-    columns |= {
-        "deficit_trusts": "count_if(operating_surplus_000s < 0)",
-        "surplus_trusts": "count_if(operating_surplus_000s >= 0)",
-        "total_trusts": "count(DISTINCT org_code)",
-    }
-    return select_context(card, filters).groupBy(*by).agg(*named(columns))
-
-
 def _millions(name: str) -> str:
     return f"coalesce(CAST({name} AS DOUBLE) / 1000D, 0D)"
 

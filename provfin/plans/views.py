@@ -8,6 +8,7 @@ only when its size is below the threshold, and hash-partitions both sides otherw
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from provfin.functions import expr
 from provfin.operators.pivot import Category, Line, pivot_lines
@@ -181,6 +182,23 @@ def scorecard(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, ebi
     Columns a query does not use are pruned out of the aggregation by Catalyst, and a filter on
     ``financial_year`` moves below it.
     """
+    return expr.select(with_trust(_scorecard_rows(fact, dim_subcode, ebitda_rag), dim_trust), *SCORECARD_COLUMNS)
+
+
+def scorecard_as_of(fact: DataFrame, history: DataFrame, dim_subcode: DataFrame, ebitda_rag=EBITDA_RAG) -> DataFrame:
+    """The scorecard with every organisation as it was in the row's own year (``merge.build_trust_history``).
+
+    A year before the first list that has the organisation takes its first entry. An organisation has as many entries as changes, and
+    the facts have been reduced to organisation-years before they meet them.
+    """
+    rows = _scorecard_rows(fact, dim_subcode, ebitda_rag)
+    held = history.select(*TRUST, F.when(F.col("entry") > 1, F.col("valid_from")).alias("since"), F.col("valid_before").alias("before"))
+    in_time = "coalesce(financial_year >= since, true) AND coalesce(financial_year < before, true)"
+    return expr.select(rows.join(held, "org_code").filter(in_time), *SCORECARD_COLUMNS)
+
+
+def _scorecard_rows(fact: DataFrame, dim_subcode: DataFrame, ebitda_rag) -> DataFrame:
+    """The scorecard without the attributes of the organisation."""
     columns = [
         *INCOME_LINES, *EXPENDITURE_CATEGORIES, *EXPENDITURE_LINES[:2], *WORKFORCE_LINES, *SCORECARD_LINES,
     ]
@@ -190,4 +208,4 @@ def scorecard(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, ebi
         """CASE WHEN net_surplus_000s IS NULL THEN 'Grey' WHEN net_surplus_000s < 0 THEN 'Red'
            WHEN net_surplus_000s = 0 THEN 'Amber' ELSE 'Green' END AS surplus_rag""",
     )
-    return expr.select(with_trust(rows, dim_trust), *SCORECARD_COLUMNS)
+    return rows

@@ -113,6 +113,21 @@ SUBCODES = [
     ("STA0550", WS_STAFF, "Average working days lost per WTE", "+", "No.", 0, "STAFF_WTE"),
 ]
 
+# The lines that make up each subtotal, those that are taken off with a minus sign in front.
+SUBTOTALS = {
+    "INC0350": "INC0197 INC0198 INC0200 INC0210 INC0231 INC0302 INC0330 INC0332 INC0340",
+    "INC1220": "INC1100 INC1115 INC1140 INC1170",
+    "INC1360": "INC1230A INC1240A INC1280A",
+    "INC1365": "INC0350 INC1360",
+    "EXP0390": "EXP0100 EXP0110 EXP0130 EXP0140 EXP0150 EXP0160 EXP0170 EXP0190 EXP0200 EXP0210 EXP0220 EXP0240 EXP0250 "
+    "EXP0260 EXP0290A EXP0300 EXP0320 EXP0350 EXP0370",
+    "SCI0100A": "INC0350",
+    "SCI0110A": "INC1360",
+    "SCI0125A": "-EXP0390",
+    "SCI0140A": "SCI0100A SCI0110A SCI0125A",
+    "SCI0240": "SCI0140A SCI0150 -SCI0160 -SCI0170",
+}
+
 # Sector spellings and the label each stands for.
 SECTOR_ALIASES = {
     "Acute": "Acute",
@@ -220,6 +235,16 @@ def dim_subcode(spark: SparkSession) -> DataFrame:
     return spark.sql(values_sql(SUBCODES, SUBCODE_COLUMNS))
 
 
+def subtotal_rows() -> list[tuple[str, str, int]]:
+    """Subtotal, line and sign."""
+    return [(whole, part.removeprefix("-"), -1 if part[0] == "-" else 1) for whole, parts in SUBTOTALS.items() for part in parts.split()]
+
+
+def dim_subtotal(spark: SparkSession) -> DataFrame:
+    """The tree of subtotals: whole, part, sign."""
+    return spark.sql(values_sql(subtotal_rows(), ["whole", "part", "sign"]))
+
+
 def dim_worksheet(spark: SparkSession) -> DataFrame:
     return spark.sql(values_sql(WORKSHEETS, WORKSHEET_COLUMNS))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from provfin.plans.benchmark import SIZE_BANDS
+from provfin.plans.totals import AXES, SUMS
 from provfin.refdata import (
     PAY_AMBER_THRESHOLD,
     RAG_COLOUR_OTHER,
@@ -17,6 +18,7 @@ from provfin.refdata import (
     SECTOR_ALIASES,
     SUBCODE_COLUMNS,
     SUBCODES,
+    SUBTOTALS,
     WORKSHEET_COLUMNS,
     WORKSHEETS,
     values_sql,
@@ -412,7 +414,6 @@ MIX = ", ".join(
         ("other_income_000s", "other_income_pct"),
     )
 )
-SUBTOTALS = "c.is_subtotal = 0"
 
 
 def _detail(columns: str, where: str, fact: str = "fact") -> str:
@@ -667,6 +668,110 @@ def extract_sql() -> dict[str, str]:
     }
 
 
+def linked_sql(extracts: dict[str, str], trust: str) -> dict[str, str]:
+    """Every dataset of the report model with its organisation and year."""
+    year = f"""SELECT DISTINCT {LABEL.format('y')} AS financial_year, CAST(y AS VARCHAR) || '-04-01' AS start_date,
+        CAST(y + 1 AS VARCHAR) || '-03-31' AS end_date, substr({LABEL.format('y')}, 3, 5) AS year_label_short
+        FROM (SELECT {START.format('o_orderdate')} AS y FROM orders)"""
+    attributes = ["organisation_name", "trust_type", "sector", "region", "is_foundation"]
+    found = {}
+    for name in ("kpis", "ie_summary", "expenditure_breakdown", "workforce", "income_detail", "expenditure_detail"):
+        base = extracts.get(f"extract_{name}") or extracts[name]
+        given = {"kpis": attributes[:4], "income_detail": attributes[:3], "expenditure_detail": attributes[:3]}.get(name, [])
+        added = ", ".join(f"t.{a}" for a in attributes if a not in given)
+        found[f"extract_{name}_linked"] = f"""SELECT e.*, {added}, start_date, end_date, year_label_short FROM ({base}) e
+            LEFT JOIN ({trust}) t ON t.org_code = e.org_code LEFT JOIN ({year}) y ON y.financial_year = e.financial_year"""
+    return found
+
+
+def history_sql() -> dict[str, str]:
+    moved = SECTOR.format(f"(s + CASE WHEN s % 11 = 5 AND financial_year = '{PRIOR}' THEN 1 ELSE 0 END)")
+    shown = f"CASE WHEN s % 13 = 12 AND financial_year >= '{YEAR}' THEN NULL ELSE {moved} END AS sector"
+    lists = CTES["prov"].replace(f"CASE WHEN s % 13 = 12 AND financial_year >= '{YEAR}' THEN NULL ELSE sector END AS sector", shown)
+    history = statement(
+        f"""SELECT org_code, organisation_name, trust_type, sector, region, CAST(entry AS BIGINT) AS entry, min(financial_year) AS valid_from,
+        lead(min(financial_year)) OVER (PARTITION BY org_code ORDER BY entry) AS valid_before, max(financial_year) AS last_listed, count(*) AS lists
+        FROM (SELECT *, sum(fresh) OVER (PARTITION BY org_code ORDER BY financial_year) AS entry FROM (
+          SELECT *, CASE WHEN lag(financial_year) OVER o IS NOT NULL AND lag(organisation_name) OVER o = organisation_name
+            AND lag(sector) OVER o IS NOT DISTINCT FROM sector THEN 0 ELSE 1 END AS fresh
+          FROM (SELECT org_code, organisation_name, trust_type, region, financial_year,
+                last_value(sector IGNORE NULLS) OVER (PARTITION BY org_code ORDER BY financial_year) AS sector FROM ({lists}))
+          WINDOW o AS (PARTITION BY org_code ORDER BY financial_year)))
+        GROUP BY org_code, organisation_name, trust_type, sector, region, entry""",
+        "trust",
+        "years",
+    )
+    card = view_sql()["scorecard"]
+    return {
+        "dim_trust_history": history,
+        "scorecard_as_of": f"""SELECT s.* EXCLUDE (organisation_name, sector, region, trust_type), h.organisation_name, h.sector, h.region, h.trust_type
+            FROM ({card}) s JOIN ({history}) h ON h.org_code = s.org_code AND (h.entry = 1 OR s.financial_year >= h.valid_from)
+            AND (h.valid_before IS NULL OR s.financial_year < h.valid_before)""",
+    }
+
+
+def _leaves(whole: str) -> list[tuple[str, int]]:
+    """The lines without parts below a subtotal, with their signs."""
+    out = []
+    for part in SUBTOTALS[whole].split():
+        code, sign = part.removeprefix("-"), -1 if part[0] == "-" else 1
+        out += [(leaf, sign * s) for leaf, s in _leaves(code)] if code in SUBTOTALS else [(code, sign)]
+    return out
+
+
+def subtotal_sql() -> dict[str, str]:
+    def added(parts: list[tuple[str, int]], aggregate: str) -> str:
+        cases = " ".join(f"WHEN '{code}' THEN {sign} * value" for code, sign in parts)
+        return f"{aggregate}(CASE sub_code {cases} END)"
+
+    def body(fact: str, tolerance: int, where: str) -> str:
+        branches = []
+        for whole, listed in SUBTOTALS.items():
+            direct = [(p.removeprefix("-"), -1 if p[0] == "-" else 1) for p in listed.split()]
+            leaves = _leaves(whole)
+            branches.append(
+                f"""SELECT org_code, financial_year, '{whole}' AS sub_code, CAST(max(value) FILTER (WHERE sub_code = '{whole}') AS BIGINT) AS reported_000s,
+                CAST({added(direct, 'sum')} AS BIGINT) AS parts_000s, CAST({added(leaves, 'sum')} AS BIGINT) AS leaves_000s,
+                {added(direct, 'count')} AS part_count, {added(leaves, 'count')} AS leaf_count FROM value GROUP BY org_code, financial_year"""
+            )
+        return statement(
+            f"""SELECT * FROM (SELECT *, reported_000s - parts_000s AS parts_difference_000s, reported_000s - leaves_000s AS leaves_difference_000s,
+            CASE WHEN parts_000s IS NULL THEN 'no parts' WHEN abs(reported_000s - parts_000s) <= {tolerance}
+              AND abs(reported_000s - coalesce(leaves_000s, reported_000s)) <= {tolerance} THEN 'balanced' ELSE 'different' END AS status
+            FROM (WITH value AS (SELECT org_code, financial_year, sub_code, max(total) AS value FROM {fact} GROUP BY ALL)
+                  {' UNION ALL '.join(branches)}) WHERE reported_000s IS NOT NULL) WHERE {where}""",
+            fact,
+        )
+
+    return {
+        "subtotal_reconciliation": body("fact", 0, "true"),
+        "subtotal_differences_dirty": body("fact_dirty", 1000, "status = 'different'"),
+    }
+
+
+def cube_sql(measures: dict[str, str]) -> dict[str, str]:
+    axes = ", ".join(AXES)
+    sums = ", ".join(f"CAST(sum({column}) AS BIGINT) AS {name}" for name, column in SUMS.items())
+    level = f"GROUPING_ID({axes}) AS level"
+    chosen = f"""FROM (SELECT * FROM v5 WHERE {IN_YEAR} AND trust_type = 'FOUNDATION_TRUST' AND sector IN ('{SECTORS[0]}', '{SECTORS[1]}'))
+        GROUP BY region"""
+    body = measures["m_kpi"][measures["m_kpi"].rindex("SELECT financial_year, sector") :]
+    return {
+        "m_cube": statement(
+            f"""SELECT {axes}, {level}, {sums}, count(*) FILTER (WHERE operating_surplus_000s < 0) AS deficit_trusts,
+            count(*) FILTER (WHERE operating_surplus_000s >= 0) AS surplus_trusts, count(DISTINCT org_code) AS total_trusts
+            FROM v5 GROUP BY CUBE ({axes})""",
+            "v5",
+        ),
+        "trusts_by_slice": statement(f"SELECT {axes}, {level}, count(DISTINCT org_code) AS trust_count FROM v5 GROUP BY CUBE ({axes})", "v5"),
+        "m_core_from_cube": measures["m_core"],
+        "m_kpi_from_cube": measures["m_kpi"],
+        "m_kpi_of_slice": statement(
+            body.replace("SELECT financial_year, sector", "SELECT region").replace("FROM v5 GROUP BY financial_year, sector", chosen), "v5"
+        ),
+    }
+
+
 def trend_sql() -> dict[str, str]:
     def income(year: str) -> str:
         return f"sum(total_income_000s) FILTER (WHERE financial_year = '{year}')"
@@ -1227,6 +1332,8 @@ def oracle_sql() -> dict[str, str]:
         **dashboard_sql(),
         **monthly_sql(),
     }
+    found |= linked_sql(found, statement("SELECT * FROM trust", "trust"))
+    found |= {**history_sql(), **subtotal_sql(), **cube_sql(found)}
     trend = trend_sql()["national_trend"]
     body = trend[trend.rindex("SELECT financial_year") :]
     found["scorecard_refresh"] = found["scorecard"]

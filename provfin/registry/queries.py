@@ -11,7 +11,7 @@ from provfin import refdata
 from provfin.functions import expr
 from provfin.functions.session import materialise, working_folder
 from provfin.operators import ingest, merge
-from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, periods, refresh, trend, views
+from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, periods, refresh, subtotals, totals, trend, views
 from provfin.sources import fixture as fx
 from provfin.sources import sinks
 from provfin.streaming import intake
@@ -187,6 +187,31 @@ def _linked(s, d):
     return _dates_as_text(extracts.with_dimensions(costs, fx.dim_trust(s, d), _dim_year(s, d)))
 
 
+def _linked_in_buckets(name: str) -> Query:
+    """A dataset and the organisations laid out in buckets, then linked."""
+
+    def run(s, d):
+        folder = working_folder(s)
+        frame = extracts.linkable(name, _fact(s, d, prior=name.endswith("_detail")), *_dims(s, d))
+        model = extracts.write_model(folder, f"model_{folder.rsplit('/', 1)[1]}", {name: frame}, fx.dim_trust(s, d))
+        return _dates_as_text(extracts.with_dimensions(model[name], model["dim_trust"], _dim_year(s, d)))
+
+    return run
+
+
+def _cube(s, d):
+    return totals.cube(totals.cells(_card(s, d), totals.numbered(fx.dim_trust(s, d))))
+
+
+def _history(s, d):
+    raw = fx.raw_providers(s, d, moving=True)
+    return merge.build_trust_history(ingest.clean_providers(raw, code_length=fx.CODE_WIDTH, or_longer=True))
+
+
+def _as_of(s, d):
+    return extracts.with_plain_numbers(views.scorecard_as_of(_fact(s, d), _history(s, d), refdata.dim_subcode(s)))
+
+
 def _worksheets(s, d):
     return merge.extend_worksheets(refdata.dim_worksheet(s), _lines(s, d))
 
@@ -220,6 +245,8 @@ def queries() -> dict[str, Query]:
         "kpis": lambda s, d: extracts.with_plain_numbers(_v4(s, d)),
         "scorecard": lambda s, d: extracts.with_plain_numbers(_card(s, d)),
         "scorecard_refresh": _refreshed,
+        "dim_trust_history": _history,
+        "scorecard_as_of": _as_of,
         "scorecard_from_files": lambda s, d: extracts.with_plain_numbers(_card_from_files(s, d)),
         "national_trend_from_files": lambda s, d: trend.national_trend(_card_from_files(s, d)),
         # enrichment
@@ -237,6 +264,7 @@ def queries() -> dict[str, Query]:
         "extract_workforce": _extract("workforce"),
         "dim_financial_year_extract": _years,
         "extract_with_dimensions": _linked,
+        **{f"extract_{name}_linked": _linked_in_buckets(name) for name in extracts.LINKED},
         "dim_trust_extract": lambda s, d: extracts.dim_trust_extract(fx.dim_trust(s, d, seen=True)),
         "ie_summary_extract": lambda s, d: extracts.income_summary_extract(_v1(s, d)),
         "expenditure_extract": lambda s, d: extracts.expenditure_extract(_v2(s, d)),
@@ -280,7 +308,14 @@ def queries() -> dict[str, Query]:
         "val_q10": lambda s, d: audit.key_uniqueness(_fact(s, d)),
         "audit_report_dirty": lambda s, d: audit.audit_report(fx.dirty_facts(s, d), *_dims(s, d), EXPECTED),
         "audit_report": lambda s, d: audit.audit_report(_fact(s, d), *_dims(s, d), EXPECTED),
+        "subtotal_reconciliation": lambda s, d: subtotals.reconcile(_fact(s, d), refdata.dim_subtotal(s)),
+        "subtotal_differences_dirty": lambda s, d: subtotals.reconcile(fx.dirty_facts(s, d), refdata.dim_subtotal(s), 1000).filter("status = 'different'"),
         # measures
+        "m_cube": lambda s, d: totals.every_slice(_cube(s, d)),
+        "trusts_by_slice": lambda s, d: totals.trusts_by_slice(_cube(s, d)),
+        "m_core_from_cube": lambda s, d: measures.core(_cube(s, d), BY_YEAR_SECTOR),
+        "m_kpi_from_cube": lambda s, d: measures.kpi(_cube(s, d), BY_YEAR_SECTOR),
+        "m_kpi_of_slice": lambda s, d: measures.kpi(_cube(s, d), ["region"], {"sector": fx.SECTORS[:2], **SLICE}),
         "m_core": lambda s, d: measures.core(_card(s, d), BY_YEAR_SECTOR),
         "m_kpi": lambda s, d: measures.kpi(_card(s, d), BY_YEAR_SECTOR),
         "m_workforce": lambda s, d: measures.workforce(_card(s, d), BY_YEAR_SECTOR),

@@ -318,23 +318,24 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_providers(spark: SparkSession, sf_dir: str, moving: bool = False) -> DataFrame:
     """The provider lists of all yearly files, under the published headers: an organisation is listed in years with postings.
 
     Every 17th supplier is never listed; from 2000/01 on every 13th has no sector and every 19th a new name; some
-    have a code of the wrong length or none.
+    have a code of the wrong length or none. With ``moving`` every eleventh supplier is in another sector in 1999/00 alone.
     """
     years = _posted_years(spark, sf_dir).filter("l_suppkey % 17 <> 16")
     suppliers = _suppliers(spark, sf_dir)
     listed = years.join(suppliers, years.l_suppkey == suppliers.s_suppkey)
     late = f"start_year >= {YEAR[:4]}"
+    shown = sector(f"(s_suppkey + CASE WHEN s_suppkey % 11 = 5 AND start_year = {PRIOR[:4]} THEN 1 ELSE 0 END)") if moving else sector("s_suppkey")
     return listed.selectExpr(
         f"""CASE WHEN s_suppkey % 19 = 18 AND {late} THEN concat(s_name, ' Group')
             ELSE concat(' ', s_name) END AS `Full name of Provider`""",
         f"""CASE WHEN s_suppkey % 46 = 22 THEN '7Q'
             WHEN s_suppkey % 46 <> 45 THEN concat({org_code("s_suppkey")}, ' ') END AS `NHS code`""",
         "r_name AS Region",
-        f"CASE WHEN NOT (s_suppkey % 13 = 12 AND {late}) THEN {sector('s_suppkey')} END AS Sector",
+        f"CASE WHEN NOT (s_suppkey % 13 = 12 AND {late}) THEN {shown} END AS Sector",
         "CAST(NULL AS STRING) AS `Comments `",
         f"""concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
                   replace({expr.year_label('start_year')}, '/', '-')) AS source_file""",

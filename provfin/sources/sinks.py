@@ -57,6 +57,16 @@ def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None)
     replace_partitions(materialise(merge_facts(touched, incoming)), path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int = 16, key: str = "org_code") -> DataFrame:
+    """Writes a table laid out by ``key``: rows of a key lie in one of ``buckets`` buckets, sorted. Tables of as many buckets meet without a shuffle.
+
+    The rows are shuffled once, here, so that each bucket is one file; every later join on the key reads them where they lie.
+    """
+    laid = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+    laid.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def stage_lines(raw: DataFrame, path: str) -> dict[str, int]:
     """Writes published lines below ``path``, kept ones (``refused=false``) apart from refused ones with their reasons.
 
