@@ -54,10 +54,14 @@ def clean_lines(raw: DataFrame) -> DataFrame:
     """Current-year account lines. Totals may hold separators; unreadable ones are 0, fractions are cut.
 
     Lines whose total has more than fourteen digits are set aside (``rejected_lines`` has them), so one of them does not
-    stop a load; rows that a reader could not cut into columns are too.
+    stop a load; rows that a reader could not cut into columns are too. Year and type come from the file's name, or from
+    columns of their own if the reader has told them already.
     """
+    told = tuple(c for c in ("trust_type", "financial_year") if c in raw.columns)
+    trust_type = "trust_type" if "trust_type" in told else f"{derive_trust_type('source_file')} AS trust_type"
+    financial_year = "financial_year" if "financial_year" in told else f"{derive_financial_year('source_file')} AS financial_year"
     return (
-        resolve_headers(raw.filter(f"{CORRUPT} IS NULL") if CORRUPT in raw.columns else raw, LINE_HEADERS)
+        resolve_headers(raw.filter(f"{CORRUPT} IS NULL") if CORRUPT in raw.columns else raw, LINE_HEADERS, kept=told)
         .filter("main_code IS NULL OR NOT contains(main_code, 'PY')")
         .filter(_given("organisation_name", "sub_code", "total"))
         .filter(f"coalesce(abs({READ_TOTAL}), 0D) < {TOTAL_BELOW}")
@@ -71,8 +75,8 @@ def clean_lines(raw: DataFrame) -> DataFrame:
             f"coalesce(try_cast({READ_TOTAL} AS BIGINT), 0) AS total",
             "source_file",
             "'CY' AS year_type",
-            f"{derive_trust_type('source_file')} AS trust_type",
-            f"{derive_financial_year('source_file')} AS financial_year",
+            trust_type,
+            financial_year,
         )
     )
 

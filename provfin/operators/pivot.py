@@ -25,8 +25,8 @@ class Line:
     worksheet: str | None
 
     def sql(self) -> str:
-        on_sheet = f" AND worksheet_name = '{self.worksheet}'" if self.worksheet else ""
-        return f"max(CASE WHEN sub_code = '{self.sub_code}'{on_sheet} THEN total END)"
+        on_sheet = f" AND worksheet_name = {expr.literal(self.worksheet)}" if self.worksheet else ""
+        return f"max(CASE WHEN sub_code = {expr.literal(self.sub_code)}{on_sheet} THEN total END)"
 
 
 @dataclass(frozen=True)
@@ -38,12 +38,12 @@ class Category:
     worksheet: str
 
     def sql(self) -> str:
-        in_category = f"CASE WHEN analytics_category = '{self.category}' THEN total ELSE 0 END"
-        return f"sum(CASE WHEN worksheet_name = '{self.worksheet}' AND seeded = 1 THEN {in_category} END)"
+        in_category = f"CASE WHEN analytics_category = {expr.literal(self.category)} THEN total ELSE 0 END"
+        return f"sum(CASE WHEN worksheet_name = {expr.literal(self.worksheet)} AND seeded = 1 THEN {in_category} END)"
 
 
 def _quoted(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
+    return ", ".join(map(expr.literal, values))
 
 
 def _wanted(columns: list[Line | Category]) -> str:
@@ -55,7 +55,7 @@ def _wanted(columns: list[Line | Category]) -> str:
         if isinstance(c, Line) and c.worksheet is not None and c.worksheet not in whole_sheets:
             by_sheet.setdefault(c.worksheet, []).append(c.sub_code)
     parts = [
-        f"(worksheet_name = '{sheet}' AND sub_code IN ({_quoted(codes)}))" for sheet, codes in by_sheet.items()
+        f"(worksheet_name = {expr.literal(sheet)} AND sub_code IN ({_quoted(codes)}))" for sheet, codes in by_sheet.items()
     ]
     if whole_sheets:
         parts.append(f"worksheet_name IN ({_quoted(whole_sheets)})")

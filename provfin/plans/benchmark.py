@@ -167,7 +167,7 @@ def ebitda_movers(card: DataFrame, year: str, prior: str, limit: int = 30) -> Da
     """
 
     def value(column: str, y: str) -> str:
-        return f"max(CASE WHEN financial_year = '{y}' THEN {column} END)"
+        return f"max(CASE WHEN financial_year = {expr.literal(y)} THEN {column} END)"
 
     columns = {c: value(c, year) for c in ("total_income_000s", "is_deficit")}
     columns |= {

@@ -105,7 +105,7 @@ def _detail(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, keep:
 
 
 def _leaf_lines(fact, dim_trust, dim_subcode, *sheets: str) -> DataFrame:
-    names = ", ".join(f"'{s}'" for s in sheets)
+    names = ", ".join(map(expr.literal, sheets))
     current = f"worksheet_name IN ({names}) AND main_code NOT LIKE '%PY%'"
     return (
         _detail(fact, dim_trust, dim_subcode, current)

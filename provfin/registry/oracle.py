@@ -1337,5 +1337,16 @@ def oracle_sql() -> dict[str, str]:
     trend = trend_sql()["national_trend"]
     body = trend[trend.rindex("SELECT financial_year") :]
     found["scorecard_refresh"] = found["scorecard"]
+    found |= {f"sql_{name}": found[name] for name in ("top_income", "worst_net_margin", "sector_kpis", "regional_health")}
+    found["sql_sector_members"] = statement(
+        f"SELECT org_code, organisation_name, region, total_income_000s, is_deficit FROM v5 WHERE financial_year = '{PRIOR}' AND sector = '{SECTORS[1]}'", "v5"
+    )
+    found["sql_ebitda_change"] = statement(
+        f"""SELECT org_code, n.organisation_name, {tenths('p.ebitda_t')} AS ebitda_prior_pct, {tenths('n.ebitda_t')} AS ebitda_current_pct,
+        {tenths('(n.ebitda_t - p.ebitda_t)')} AS yoy_change_pp FROM v5 n JOIN v5 p USING (org_code)
+        WHERE n.financial_year = '{YEAR}' AND p.financial_year = '{PRIOR}'""",
+        "v5",
+    )
+    found["stg_from_source"] = statement("SELECT * EXCLUDE (source_file), source_file || '_p' || row_num % 4 || '.csv' AS source_file FROM clean", "clean")
     found["national_trend_from_files"] = statement(body.replace("FROM v5", "FROM v5_files"), "v5_files")
     return found

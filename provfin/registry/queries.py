@@ -11,9 +11,9 @@ from provfin import refdata
 from provfin.functions import expr
 from provfin.functions.session import materialise, working_folder
 from provfin.operators import ingest, merge
-from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, periods, refresh, subtotals, totals, trend, views
+from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, named, periods, refresh, subtotals, totals, trend, views
 from provfin.sources import fixture as fx
-from provfin.sources import sinks
+from provfin.sources import files, sinks
 from provfin.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,6 +199,24 @@ def _linked_in_buckets(name: str) -> Query:
     return run
 
 
+def _from_source(s, d):
+    """Published files through the data source of account files."""
+    folder = working_folder(s)
+    fx.publish(fx.raw_lines(s, d), folder)
+    files.register(s)
+    return ingest.clean_lines(s.read.format(files.NAME).load(folder))
+
+
+def _named(function: str, **values) -> Query:
+    """A report by its name in SQL, with bound values."""
+
+    def run(s, d):
+        named.register(s, {"scorecard": _card(s, d)})
+        return named.call(s, function, **values)
+
+    return run
+
+
 def _cube(s, d):
     return totals.cube(totals.cells(_card(s, d), totals.numbered(fx.dim_trust(s, d))))
 
@@ -229,6 +247,7 @@ def queries() -> dict[str, Query]:
         "derive_trust_type": _derive_type,
         "stg_provider_clean": lambda s, d: _providers(s, d),
         "stg_tac_clean": lambda s, d: _lines(s, d),
+        "stg_from_source": _from_source,
         "dim_trust_build": _dim_trust_build,
         "dim_worksheet_extend": _worksheets,
         "fact_promote": _promoted,
@@ -284,6 +303,13 @@ def queries() -> dict[str, Query]:
         "drugs_cost": lambda s, d: trend.drugs_cost(_card(s, d)),
         "negligence_national": lambda s, d: trend.negligence_national(_card(s, d)),
         "finance_position": lambda s, d: trend.finance_position(_card(s, d)),
+        # reports by their names in SQL
+        "sql_top_income": _named("top_income", year=YEAR),
+        "sql_worst_net_margin": _named("worst_net_margin", year=YEAR),
+        "sql_sector_kpis": _named("sector_kpis", year=YEAR),
+        "sql_regional_health": _named("regional_health", year=YEAR),
+        "sql_sector_members": _named("sector_members", chosen="Mental Health", year=PRIOR),
+        "sql_ebitda_change": _named("ebitda_change", year=YEAR, prior=PRIOR),
         # benchmarks
         "size_bands": lambda s, d: benchmark.size_bands(_card(s, d, year), YEAR),
         "trust_type_compare": lambda s, d: benchmark.trust_type_compare(_card(s, d)),

@@ -42,7 +42,9 @@ def _groups(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     frames = []
     for header, files in by_header.items():
         schema = StructType([StructField(name, StringType()) for name in (*header, CORRUPT)])
-        frames.append(spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", CORRUPT).csv(files))
+        # rows that do not fit their header are only seen by a parser that cuts them into all columns
+        told = {"header": True, "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
+        frames.append(spark.read.schema(schema).options(**told).csv(files))
     if columnar:
         frames.append(spark.read.option("mergeSchema", True).parquet(*columnar))
     return [f.select("*", F.col("_metadata.file_name").alias("source_file")) for f in frames]
