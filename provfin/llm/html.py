@@ -1,8 +1,9 @@
 """Main text of web pages by two-pass block rules.
 
-A page is cut into blocks at its block elements. The first pass classes each block by stop-word density, length and link density,
-and by the elements it stands in: menus, forms, adverts and the like are not text, articles are. Short blocks stay undecided; the
-second pass gives them the label of the nearest decided neighbours. Pages are parsed one by one, whole, in one go over their marks.
+A page is cut into blocks at its block elements. The first pass weighs the evidence of each block: stop-word density, length, link
+density, whether it is a paragraph or heading, and, as one prior among these, what the elements around it are called. Blocks of clear
+evidence are text or not; short and contradictory ones stay undecided, and the second pass gives them the label of the nearest
+decided neighbours. Pages are parsed one by one, whole, in one go over their marks.
 """
 
 from __future__ import annotations
@@ -18,8 +19,17 @@ from pyspark.sql import functions as F
 
 from provfin.llm import columns
 
-#: Characters below which a block is short and from which it is long; shares of linked characters and of stop words.
-SHORT, LONG, MOST_LINKED, STOP_LOW, STOP_HIGH = 70, 200, 0.33, 0.08, 0.16
+#: Characters below which a block is short (on its own, and outside paragraphs and headings) and from which it is long; shares of linked characters
+#: and of stop words.
+SHORT, SHORT_BARE, LONG, MOST_LINKED, ALL_LINKED, STOP_LOW, STOP_HIGH = 70, 100, 200, 0.33, 0.9, 0.08, 0.16
+#: Evidence: of a block that is not short and of a long one; of few and many stop words, of none in a long block, and of a language they do not
+#: cover; of a paragraph or heading, and of a short block that is neither; of links, and of links alone outside paragraphs and headings; of a
+#: copyright line; of a paragraph or heading, and of another block, in an article, and of standing in a menu, form, advert and so on. From
+#: TEXT_FROM on a block is text, up to NOT_UP_TO not.
+E_SIZE, E_LONG, E_FEW, E_MANY, E_NONE, E_UNKNOWN, E_OWN, E_BARE, E_LINKED, E_LINKS, E_NOTICE, E_ARTICLE, E_INSIDE, E_ASIDE = (
+    0.5, 1.0, 0.5, 1.0, -2.5, 0.5, 0.5, -0.5, -1.5, -3.5, -2.0, 0.4, 1.25, -4.0
+)
+TEXT_FROM, NOT_UP_TO = 1.0, -1.0
 # Frequent words of four languages, elements, and words of class and id names.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it as was with be by on are this from an or at not have he his they which you but had were "
@@ -52,6 +62,8 @@ _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _PARTS = re.compile(r"[^a-z]+")
 #: Characters that stand for some three letters: ideographs, kana, Hangul.
 _WIDE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
+#: Copyright lines.
+_NOTICE = re.compile(r"(?:©|\(c\)\s|copyright\b)", re.IGNORECASE)
 _NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.IGNORECASE)
 #: Names that inside an article rule out only blocks without a heading; header rules out nothing there.
 SOFT_NAMES = frozenset("legal links notice notices share sharing tags".split())
@@ -191,30 +203,41 @@ def _other_script(text: str) -> bool:
     return 2 * sum(c > "\u024f" and not "\u1e00" <= c <= "\u1eff" for c in letters) > len(letters)
 
 
-def first_pass(block: Block, known: bool = True) -> bool | None:
-    """Whether a block that no element rules out is main text; None where it is too short to tell.
+def evidence(block: Block, known: bool = True, prior: bool = True) -> float:
+    """How much speaks for a block's being main text, below zero how much against; without ``prior`` whatever elements are around it.
 
-    Stop words tell only in the languages they cover: on other pages (not ``known``) and in other scripts length and links decide.
+    Stop words tell only in the languages they cover: on other pages (not ``known``) and in other scripts they do not count. A block too
+    short to tell has only its element and its links.
     """
-    size = len(block.text)
-    if block.linked > MOST_LINKED * size:
-        if block.inside and (block.heading or block.paragraph):
-            return True  # an article's heading or paragraph may be one link
-        return None if block.inside and block.linked < 0.9 * size else False
-    if block.inside:
-        return True
-    stop = _stop_share(block.text)
-    if not block.text.isascii():
-        size += 2 * len(_WIDE.findall(block.text))
-    if size < SHORT:
-        return None
-    if not known or stop < STOP_LOW and _other_script(block.text):
-        return True
-    if stop >= STOP_HIGH:
-        return True
-    if stop >= STOP_LOW:
-        return True if size >= LONG else None
-    return False if size >= LONG and stop == 0 else None
+    own, size, text = block.heading or block.paragraph, len(block.text), block.text
+    if not text.isascii():
+        size += 2 * len(_WIDE.findall(text))
+    share = _stop_share(text)
+    covered_here = known and not (share < STOP_LOW and _other_script(text))
+    out = E_OWN if own else 0.0
+    if size >= (SHORT if own or not covered_here else SHORT_BARE):
+        out += E_LONG if size >= LONG else E_SIZE
+        if not covered_here:
+            out += E_UNKNOWN
+        elif share >= STOP_LOW:
+            out += E_MANY if share >= STOP_HIGH else E_FEW
+        elif share == 0 and size >= LONG:
+            out += E_NONE
+    if not own and covered_here and size < LONG:
+        out += E_BARE
+    if block.linked > MOST_LINKED * len(text) and not (prior and own and block.inside):  # an article's paragraph may be one link
+        out += E_LINKS if not own and block.linked >= ALL_LINKED * len(text) else E_LINKED
+    if _NOTICE.match(text):
+        out += E_NOTICE
+    if prior and block.inside is not None:
+        out += E_ASIDE if not block.inside else E_ARTICLE if own else E_INSIDE
+    return out
+
+
+def first_pass(block: Block, known: bool = True, prior: bool = True) -> bool | None:
+    """Whether a block is main text; None where its evidence does not tell."""
+    weight = evidence(block, known, prior)
+    return True if weight >= TEXT_FROM else False if weight <= NOT_UP_TO else None
 
 
 def second_pass(labels: list[bool | None]) -> list[bool]:
@@ -236,16 +259,30 @@ def second_pass(labels: list[bool | None]) -> list[bool]:
     return out
 
 
-def main_text(page: str) -> str:
-    """The main text of a page: its blocks joined by line feeds."""
-    found = [b for b in blocks(page) if b.inside is not False]
+def judged(page: str, prior: bool = True) -> list[tuple[Block, bool | None, bool]]:
+    """Every block of a page with the label of the first pass and the final one.
+
+    Blocks that are out in a place of their own (a menu, a form, a list of links in an article) or as a copyright line end a page's text or
+    interrupt it; they say nothing of the blocks beside them, so the second pass looks past them.
+    """
+    found = blocks(page)
     known = covered(found)
-    labels = second_pass([first_pass(b, known) for b in found])
-    return "\n".join(b.text for b, keep in zip(found, labels) if keep)
+    first = [first_pass(b, known, prior) for b in found]
+    apart = [label is False and bool(prior and b.inside is not None or _NOTICE.match(b.text)) for b, label in zip(found, first)]
+    spread = iter(second_pass([label for label, away in zip(first, apart) if not away]))
+    return [(b, label, False if away else next(spread)) for b, label, away in zip(found, first, apart)]
+
+
+def main_text(page: str, prior: bool = True) -> str:
+    """The main text of a page: its blocks joined by line feeds."""
+    return "\n".join(b.text for b, _, keep in judged(page, prior) if keep)
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, url, text, n_chars. Null pages are empty and have an empty text; rows are taken one by one, repeated ones too."""
+    """Per page: page_id, url, text, n_chars. Null pages are empty and have an empty text; rows are taken one by one, repeated ones too.
+
+    A page of any length is one slice of a task, which holds some 20 bytes a byte of it, more where it has many tiny blocks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in columns.slices(batches, "html"):

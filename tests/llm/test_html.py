@@ -45,6 +45,49 @@ def test_labels_spread_to_the_nearest():
     assert html.second_pass([None, None]) == [True, True] and html.second_pass([]) == []
 
 
+def plain_text(page):
+    """The rules once more, block by block, over the blocks of a page: evidence as a plain sum, then the nearest label by search."""
+    found = html.blocks(page)
+    words = lambda t: [w.strip(".,;:!?()\"'") for w in t.lower().split()]
+    share = lambda t: sum(w in html.STOP_WORDS for w in words(t)) / len(words(t))
+    latin = lambda c: c <= "\u024f" or "\u1e00" <= c <= "\u1eff"
+    known = any(len(b.text) >= 70 and b.linked <= 0.33 * len(b.text) and share(b.text) >= 0.16 for b in found)
+    labels, away = [], []
+    for b in found:
+        own, letters = b.heading or b.paragraph, [c for c in b.text if c.isalpha()]
+        size = len(b.text) + 2 * sum("\u3040" <= c <= "\u30ff" or "\u3400" <= c <= "\u9fff" or "\uac00" <= c <= "\ud7af" for c in b.text)
+        foreign = not known or share(b.text) < 0.08 and 2 * sum(not latin(c) for c in letters) > len(letters)
+        told = size >= (70 if own or foreign else 100)
+        notice = b.text.lower().startswith(("©", "(c) ", "copyright"))
+        parts = [
+            0.5 * own, 0.5 * told, 0.5 * (told and size >= 200), 0.5 * (told and foreign), 0.5 * (told and not foreign and share(b.text) >= 0.08),
+            0.5 * (told and not foreign and share(b.text) >= 0.16), -2.5 * (told and not foreign and size >= 200 and share(b.text) == 0),
+            -0.5 * (not own and not foreign and size < 200), -1.5 * (b.linked > 0.33 * len(b.text) and not (own and b.inside)), -2 * (not own and b.linked >= 0.9 * len(b.text)),
+            -2 * notice, {None: 0, False: -4, True: 0.4 if own else 1.25}[b.inside],
+        ]
+        labels.append(None if -1 < sum(parts) < 1 else sum(parts) > 0)
+        away.append(sum(parts) <= -1 and (notice or b.inside is not None))
+    kept = []
+    rest = [i for i in range(len(found)) if not away[i]]
+    for place, i in enumerate(rest):
+        near = [(abs(k - place), k < place, labels[j]) for k, j in enumerate(rest) if labels[j] is not None]
+        if labels[i] if labels[i] is not None else not near or min(near)[2]:
+            kept.append(found[i].text)
+    return "\n".join(kept)
+
+
+def test_every_given_page_follows_the_rules(spark, sf_dir):
+    pages = [r.html or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    rng = random.Random(6)
+    cut = [page.replace("article", rng.choice(["div", "section"])).replace('class="ad"', rng.choice(['class="x"', ""])) for page in pages]
+    assert [html.main_text(p) for p in [*pages, *cut]] == [plain_text(p) for p in [*pages, *cut]]
+
+
+def test_most_pages_need_no_names(spark, sf_dir):
+    pages = [r.html or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("html").collect()]
+    assert sum(html.main_text(p) == html.main_text(p, prior=False) for p in pages) > 0.75 * len(pages)
+
+
 def test_any_bytes_parse():
     rng = random.Random(1)
     parts = ["<", ">", "<p", "</p>", "<a href='", '"', "<!--", "-->", "<script>", "</script>", "&amp", "x ", "<nav>", "</nav>", "<br/>", "é", "<article class=\"", "\x00"]
