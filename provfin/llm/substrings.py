@@ -125,11 +125,11 @@ def sketch(docs: DataFrame, bits: int, window: int = WINDOW, gram: int = GRAM) -
 
 
 def repeated_runs(docs: DataFrame, bits: int, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Runs whose anchor is estimated to occur twice or more: doc_id, body, at, size, anchor, another hash of all its words,
+    """Runs whose anchor is estimated to occur twice or more: body, twin (two hashes of the text), at, size, anchor, another hash of all its words,
     and the hashes of its windows, which a task writes once for runs of equal words (else null)."""
     merged = docs.sparkSession.sparkContext.broadcast(sketch(docs, bits, window, gram))
-    names = ["doc_id", "body", "at", "size", "anchor", "words", "windows"]
-    shape = "doc_id long, body long, at int, size int, anchor long, words long, windows array<long>"
+    names = ["body", "twin", "at", "size", "anchor", "words", "windows"]
+    shape = "body long, twin long, at int, size int, anchor long, words long, windows array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flags = merged.value
@@ -160,11 +160,11 @@ def repeated_runs(docs: DataFrame, bits: int, window: int = WINDOW, gram: int =
                 pa.array(total.astype(np.int32), mask=np.append(~new, False)), pa.array(other.spans(each, each + window).view(np.int64))
             )
             who = pa.array(found["owner"][pick])
-            arrays = [batch.column("doc_id").take(who), batch.column("body").take(who), pa.array(found["at"][pick].astype(np.int32)),
+            arrays = [batch.column("body").take(who), batch.column("twin").take(who), pa.array(found["at"][pick].astype(np.int32)),
                       pa.array(count.astype(np.int32)), pa.array(found["anchor"][pick].view(np.int64)), pa.array(equal.view(np.int64)), windows]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return docs.select("doc_id", "body", "text").mapInArrow(run, shape)
+    return docs.select("body", "twin", "text").mapInArrow(run, shape)
 
 
 def sketch_bits(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> int:
@@ -175,33 +175,36 @@ def sketch_bits(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> int:
 
 
 def covers(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int | None = None) -> DataFrame:
-    """Stretches of repeated windows: doc_id, body (hash of the text), at, size (first window and number of windows)."""
+    """Stretches of repeated windows: body, twin (two hashes of the text), at, size (first window and number of windows).
+
+    Equal texts have equal stretches, so they are told by text, not by row; a text that stands in many rows gives each stretch as often.
+    """
     found = stored(repeated_runs(docs, bits or sketch_bits(docs, window, gram), window, gram))
     alike = ["anchor", "words"]
     distinct = found.groupBy(*alike).agg(
-        F.count(F.lit(1)).alias("n"), *(F.first(c, ignorenulls=True).alias(c) for c in ("doc_id", "body", "at", "windows"))
+        F.count(F.lit(1)).alias("n"), *(F.first(c, ignorenulls=True).alias(c) for c in ("body", "twin", "at", "windows"))
     )
     distinct = stored(distinct.withColumn("row", F.monotonically_increasing_id()))
-    whole = found.select("doc_id", "body", "at", "size", *alike)
+    whole = found.select("body", "twin", "at", "size", *alike)
     whole = whole.join(distinct.where("n > 1").select(*alike), alike, "left_semi")
     each = distinct.select("anchor", "n", "row", F.posexplode("windows").alias("step", "window"))
     again = each.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").select("anchor", "window")
     single = each.where("n = 1").select("anchor", "window", (F.col("row") * 64 + F.col("step")).alias("place"))
     single = single.join(again, ["anchor", "window"], "left_semi")
     single = single.groupBy(F.expr("place div 64").alias("row")).agg(F.collect_list(F.expr("CAST(place % 64 AS INT)")).alias("steps"))
-    parts = single.join(distinct.where("n = 1").select("row", "doc_id", "body", "at"), "row")
-    parts = parts.select("doc_id", "body", F.explode("steps").alias("step"), "at").select("doc_id", "body", F.expr("at + step").alias("at"), F.lit(1).alias("size"))
-    return whole.select("doc_id", "body", "at", "size").unionByName(parts)
+    parts = single.join(distinct.where("n = 1").select("row", "body", "twin", "at"), "row")
+    parts = parts.select("body", "twin", F.explode("steps").alias("step"), "at").select("body", "twin", F.expr("at + step").alias("at"), F.lit(1).alias("size"))
+    return whole.select("body", "twin", "at", "size").unionByName(parts)
 
 
 def _with_covers(docs: DataFrame, window: int, gram: int, bits: int | None) -> tuple[DataFrame, str]:
     """The documents with the packed stretches of covered words (null if none), and the name of that column."""
-    body, name = columns.fresh(docs.columns, "body", "covered")
-    keyed = docs.withColumn(body, F.xxhash64("text"))
-    plain = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(body).alias("body"), F.col("text").cast("string").alias("text"))
-    found = covers(plain, window, gram, bits).groupBy("doc_id", "body")
-    found = found.agg(F.collect_list(F.struct("at", "size")).alias(name)).withColumnRenamed("doc_id", "of").withColumnRenamed("body", "hash")
-    joined = keyed.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("of")) & (F.col(body) == F.col("hash")), "left")
+    body, twin, name, of, alike = columns.fresh(docs.columns, "body", "twin", "covered", "of", "alike")
+    keyed = docs.withColumns({body: F.xxhash64("text"), twin: F.xxhash64(F.lit(7), "text")})
+    plain = keyed.select(F.col(body).alias("body"), F.col(twin).alias("twin"), F.col("text").cast("string").alias("text"))
+    found = covers(plain, window, gram, bits).groupBy(F.col("body").alias(of), F.col("twin").alias(alike))
+    found = found.agg(F.collect_set(F.struct("at", "size")).alias(name))  # of one text; its copies add nothing
+    joined = keyed.join(found, (F.col(body) == F.col(of)) & (F.col(twin) == F.col(alike)), "left")
     return joined.select(*docs.columns, name), name
 
 
@@ -217,8 +220,8 @@ def _flags(stretches, words: int, window: int) -> np.ndarray:
 def report(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by blanks).
 
-    Null texts have no words. A repeated row is an occurrence of its own, so its long texts go altogether; rows of one doc_id with
-    different texts are told apart by their text.
+    Null texts have no words. A repeated row is an occurrence of its own, so its long texts go altogether; ids may be null or repeated.
+    A text of any length is one slice of a task, which holds some 120 bytes a byte of it.
     """
     joined, name = _with_covers(docs.select("doc_id", "text"), window, gram, bits)
 

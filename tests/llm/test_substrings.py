@@ -69,3 +69,16 @@ def test_removal_keeps_columns_and_other_texts(spark, odd_docs):
 
 def test_no_documents(no_docs):
     assert substrings.report(no_docs).collect() == []
+
+
+def test_many_rows_of_one_text(spark):
+    """A text that is repeated is joined to its stretches once a row, whatever the number of rows; other rows of its id are untouched."""
+    rng = random.Random(11)
+    text = " ".join(f"w{rng.randint(0, 9999)}" for _ in range(300))
+    docs = spark.range(2000).selectExpr("CASE WHEN id % 2 = 0 THEN 7L ELSE NULL END AS doc_id", f"'{text}' AS text").repartition(6)
+    docs = docs.unionByName(spark.createDataFrame([(7, "a text of its own " + text[:60]), (8, None)], "doc_id long, text string"))
+    stretches = substrings.covers(docs.selectExpr("xxhash64(text) AS body", "xxhash64(7, text) AS twin", "text"))
+    joined, name = substrings._with_covers(docs, 35, 8, None)
+    assert joined.selectExpr(f"max(size({name})) AS n").first().n <= stretches.distinct().count() <= 300
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted((tuple(r) for r in substrings.report(docs).collect()), key=str) == expected(rows, 35)
