@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from provfin.llm import decontaminate
@@ -45,7 +46,9 @@ def test_matches_a_plain_search(spark, odd_docs, odd_texts, monkeypatch):
     bench = spark.createDataFrame(items, "item_id long, text string")
     plain = expected([(r.doc_id, r.text) for r in docs.collect()], {i for i in items})
     assert sorted((tuple(r) for r in decontaminate.report(docs, bench).collect()), key=str) == plain
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 30)  # the benchmark in several blocks
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)  # the benchmark in several blocks
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 90)  # and long items in parts
+    assert len(list(decontaminate._blocks(bench))) > 3
     assert sorted((tuple(r) for r in decontaminate.report(docs, bench).collect()), key=str) == plain
 
 
@@ -67,3 +70,37 @@ def test_empty_tables(spark, no_docs):
     assert decontaminate.report(no_docs, bench).collect() == []
     one = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert [r.n_hit for r in decontaminate.report(one, bench).collect()] == [0]
+
+
+def test_a_block_holds_what_it_says():
+    """Bytes of the arrays against the bound, for texts of short and of long words."""
+    rng = random.Random(3)
+    for letters in (1, 6, 40):
+        rows = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(letters)) for _ in range(3000))) for i in range(20)]
+        items = decontaminate.Items(rows)
+        held = sum(x.nbytes for x in (items.text, items.at, items.end, items.first_word, items.owner)) + sum(k.nbytes + p.nbytes for _, k, p in items.lengths)
+        assert held <= sum(len(t) + decontaminate.WORD_COST * (t.count(" ") + len(t) // 8 + 1) for _, t in rows)
+
+
+def test_long_items_in_parts():
+    words_ = [f"w{i}" for i in range(500)]
+    text = " ".join(words_)
+    decontaminate_parts = list(decontaminate._parts(1, text))
+    assert decontaminate_parts == [(1, text)]
+    before, decontaminate.PART_BYTES = decontaminate.PART_BYTES, 100
+    try:
+        parts = list(decontaminate._parts(1, text))
+    finally:
+        decontaminate.PART_BYTES = before
+    windows = {tuple(p[1].split()[i : i + 13]) for p in parts for i in range(len(p[1].split()) - 12)}
+    assert windows == {tuple(words_[i : i + 13]) for i in range(488)} and {p[2] for p in parts} == {500}
+    one, cut = decontaminate.Items([(1, text)]), decontaminate.Items(parts)
+    assert [(n, sorted(set(k.tolist()))) for n, k, _ in one.lengths] == [(n, sorted(set(k.tolist()))) for n, k, _ in cut.lengths]
+
+
+def test_many_rows_of_one_text_meet_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    items = [(i, f"item {i} has a phrase of its own that nobody else has in the whole set") for i in range(6)]
+    docs = spark.range(500).selectExpr("CAST(NULL AS LONG) AS doc_id", f"'before {items[0][1]} and {items[5][1]} after' AS text")
+    found = decontaminate.report(docs, spark.createDataFrame(items, "item_id long, text string")).distinct().collect()
+    assert [tuple(r) for r in found] == expected([(None, f"before {items[0][1]} and {items[5][1]} after")], items)
