@@ -1,9 +1,13 @@
 """Toxic passages as maximum-scoring segments.
 
-Tokens are words, with their first bytes as a fallback for rare word forms. A token scores its log-odds between toxic and clean
-documents with a Dirichlet prior; any other word scores a little below zero. A linear-time scan finds every maximal segment of
-positive sum. The sum of the best segments is held against the extreme values that chance gives in a text of that length, and the
-result is set so that 0.7 is the cut that separates documents kept back from the counting best.
+Tokens are words, with their first bytes as a fallback for rare word forms. A token whose log-odds between toxic and clean documents,
+with a Dirichlet prior, are significant scores them, above zero or below; any other word scores DRIFT. A linear-time scan finds every
+maximal segment of positive sum.
+
+Chance is calibrated on the clean words of the sample: the scale is the positive root of ``mean of exp(scale * score) = 1`` over them, so
+that a segment as good as s is expected ``words * exp(-scale * s)`` times in a clean text (extreme-value theory of such sums). Segments
+expected less than SIGNIFICANT times are the passages that are reported. The sum of the best segments above chance makes a document's
+score, set so that 0.7 is the cut that separates documents kept back from the counting best.
 """
 
 from __future__ import annotations
@@ -22,9 +26,13 @@ from provfin.llm import columns
 
 #: Labelled documents to learn from, at most, of either label; smallest hashes of doc_id first.
 TOXIC_ROWS, CLEAN_ROWS = 8000, 16000
-#: Bytes of the fallback tokens, prior count of a token in either kind, least z and log-odds of a token that counts, most tokens, and the score of other words.
-PREFIXES, PRIOR, LEAST_Z, LEAST_ODDS, MOST_TOKENS, DRIFT = (5, 4), 0.5, 3.0, 2.0, 1 << 16, -0.2
-CUT = 0.7
+#: Bytes of the fallback tokens, prior count of a token in either kind, least z of a token that scores, least log-odds of one that speaks for and of
+#: one that speaks against toxicity, largest score either way, and the score of other words.
+PREFIXES, PRIOR, LEAST_Z, LEAST_ODDS, LEAST_AGAINST, MOST_ODDS, DRIFT = (5, 4), 0.5, 3.0, 2.0, 0.5, 8.0, -0.2
+#: The score that makes a document toxic, how often chance may give a passage that is reported, and the scale if clean words do not score below zero.
+CUT, SIGNIFICANT, LEAST_SCALE = 0.7, 0.05, 0.05
+PASSAGES = "array<struct<begin: int, end: int, score: double>>"
+_PASSAGES = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -56,7 +64,7 @@ class Model:
         self.gate[(self.keys >> np.uint64(48)).astype(np.int64)] = True
 
     def found(self, kinds: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Words that score above the drift, and their scores: a word's own if it has one, else the longest fallback's."""
+        """Words with a score of their own, and these: the word's if it has one, else its longest fallback's."""
         at = np.flatnonzero(np.logical_or.reduce([self.gate[(k >> np.uint64(48)).astype(np.int64)] for k in kinds]))
         score = np.full(len(at), np.nan)
         for key in kinds:
@@ -77,6 +85,11 @@ class Model:
                 break
         return best
 
+    def significant(self, segments: list[tuple[int, int, float]], words: int) -> list[tuple[int, int, float]]:
+        """The segments that chance gives less than SIGNIFICANT times in a clean text of so many words."""
+        least = math.log(max(words, 1) / SIGNIFICANT) / self.scale
+        return [s for s in segments if s[2] > least]
+
     def score(self, excess: float) -> float:
         """From 0 to 1; the cut of the excess is at CUT."""
         odds = min(max(excess - self.cut, -30.0), 30.0) + math.log(CUT / (1 - CUT))
@@ -165,30 +178,55 @@ def learn(docs: DataFrame, labels: DataFrame, among) -> Model:
     if not totals.get(1) or not totals.get(0):
         return Model(np.zeros(0, np.uint64), np.zeros(0), cut=100.0)
     counts = counting.mapInArrow(_counted, "key long, toxic long, clean long").groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    rows = counts.where("toxic > 1").collect()  # tokens of a bounded sample
-    key = np.array([r.key for r in rows], np.int64).view(np.uint64)
-    t, c = (np.array([r[k] for r in rows], float) for k in ("toxic", "clean"))
     n_t, n_c = float(totals[1]), float(totals[0])
-    odds = lambda y, n: np.log(y + PRIOR) - np.log(n - y + PRIOR)
-    delta = odds(t, n_t) - odds(c, n_c)
-    z = delta / np.sqrt(1 / (t + PRIOR) + 1 / (c + PRIOR))
-    keep = np.flatnonzero((z >= LEAST_Z) & (delta >= LEAST_ODDS))
-    keep = keep[np.argsort(-z[keep], kind="stable")][:MOST_TOKENS]
-    keep = keep[np.argsort(key[keep])]
-    model = Model(key[keep], np.clip(delta[keep], 0.0, 8.0))
-    # the scale at which the mean of exp(scale * score) over clean words is one
-    rate = (c[keep] + 0.5) / (n_c + 1) / 100
-    low, high = 0.05, 1.0
-    for _ in range(40):
-        middle = (low + high) / 2
-        mean = (rate * np.exp(middle * model.scores)).sum() + (1 - min(rate.sum(), 0.9)) * math.exp(middle * DRIFT)
-        low, high = (middle, high) if mean < 1 else (low, middle)
-    model.scale = low
-    seen = sample.where("back").select("toxic", "text").mapInArrow(_scorer(lambda: model, ["toxic"], raw=True), "toxic int, score double, segments int").collect()
-    model.cut = _best_cut(np.array([r.score for r in seen]), np.array([r.toxic for r in seen]), len(keep))
+    odds = lambda y, n: f"(ln({y} + {PRIOR}D) - ln({n}D - {y} + {PRIOR}D))"
+    delta = f"({odds('toxic', n_t)} - {odds('clean', n_c)})"
+    z = f"{delta} / sqrt(1D / (toxic + {PRIOR}D) + 1D / (clean + {PRIOR}D))"
+    telling = counts.selectExpr("key", f"{delta} AS delta", f"{z} AS z", "toxic")
+    telling = telling.where(f"z >= {LEAST_Z} AND delta >= {LEAST_ODDS} AND toxic > 1 OR z <= -{LEAST_Z} AND delta <= -{LEAST_AGAINST}")
+    rows = sorted((r.key % (1 << 64), r.delta) for r in telling.select("key", "delta").collect())  # significant tokens of a bounded sample
+    model = Model(np.array([k for k, _ in rows], np.uint64), np.clip(np.array([d for _, d in rows]), -MOST_ODDS, MOST_ODDS))
+    clean = counting.where("toxic = 0").select("text").mapInArrow(_score_counts(lambda: model), "score double, n long")
+    seen = {r.score: r.n for r in clean.groupBy("score").agg(F.sum("n").alias("n")).collect()}
+    model.scale = chance_scale(seen, model.scores)
+    back = sample.where("back").select("toxic", "text").mapInArrow(_scorer(lambda: model, ["toxic"], raw=True), f"toxic int, score double, passages {PASSAGES}")
+    judged = back.select("toxic", "score").collect()
+    model.cut = _best_cut(np.array([r.score for r in judged]), np.array([r.toxic for r in judged]), len(rows))
     return model
 
 
+def _score_counts(get):
+    """How many words of a slice have each score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = get()
+        for batch in columns.slices(batches, "text"):
+            kinds, _ = tokens(*columns.flat(batch.column("text")))
+            _, score = model.found(kinds)
+            value, count = np.unique(np.append(score, DRIFT), return_counts=True)
+            count[value == DRIFT] += len(kinds[0]) - len(score) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count)], ["score", "n"])
+
+    return run
+
+
+def chance_scale(seen: dict[float, int], scores: np.ndarray) -> float:
+    """The positive root of ``mean of exp(scale * score) = 1`` over clean words, ``seen`` times each score; every token counts half a time more."""
+    value = np.array([*seen, *scores.tolist(), DRIFT])
+    weight = np.array([*seen.values(), *[0.5] * len(scores), 1.0])
+    weight /= weight.sum()
+    if (weight * value).sum() >= 0 or value.max() <= 0:
+        return LEAST_SCALE
+    above = lambda x: float((weight * np.expm1(x * value)).sum())
+    low, high = 1e-6, 1.0
+    while above(high) <= 0:
+        low, high = high, 2 * high
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if above(middle) < 0 else (low, middle)
+    return high
+
+
 def _best_cut(excess: np.ndarray, toxic: np.ndarray, tokens_known: int) -> float:
     """The cut with the best F1, in the middle of the gap where it lies."""
     if not len(excess) or not toxic.any():
@@ -210,36 +248,32 @@ def _scorer(get, keys: list[str], raw: bool = False):
             at, score = model.found(kinds)
             edge = np.searchsorted(at, first)
             words = np.diff(first).tolist()
-            excess, count = [], []
+            excess, told = [], []
+            speaks = np.concatenate([[0], np.cumsum(score > 0)])[edge]
             for i, (a, b) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
-                found = segments((at[a:b] - first[i]).tolist(), score[a:b].tolist()) if b > a else []
+                found = segments((at[a:b] - first[i]).tolist(), score[a:b].tolist()) if speaks[i + 1] > speaks[i] else []
                 excess.append(max(model.excess(found, words[i]), -99.0))
-                count.append(len(found))
+                told.append([dict(zip(("begin", "end", "score"), s)) for s in model.significant(found, words[i])])
             made = excess if raw else [model.score(x) for x in excess]
-            arrays = [*(batch.column(k) for k in keys), pa.array(made, pa.float64()), pa.array(count, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, [*keys, "score", "segments"])
+            arrays = [*(batch.column(k) for k in keys), pa.array(made, pa.float64()), pa.array(told, _PASSAGES)]
+            yield pa.RecordBatch.from_arrays(arrays, [*keys, "score", "passages"])
 
     return run
 
 
-def passages(text: str, model: Model) -> list[tuple[int, int, float]]:
-    """Toxic passages of one text (first word, end, score), those above chance alone."""
-    kinds, _ = tokens(*columns.flat(pa.array([text])))
-    at, score = model.found(kinds)
-    return [s for s in segments(at.tolist(), score.tolist()) if model.excess([s], len(kinds[0])) > model.cut]
-
-
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per document: doc_id, held_out, score, predicted, n_segments.
+    """Per document: doc_id, held_out, score, predicted, n_segments, passages (first word, end and score of every significant passage).
 
     Labels count for rows whose crc32(doc_id) mod 3 is not 1. Texts without a passage, null and blank ones too, score next to 0;
-    ids may be null or repeated; without labels of both kinds nothing is toxic.
+    ids may be null or repeated; without labels of both kinds nothing is toxic. A text of any length is one slice of a task, which
+    holds some 150 bytes a byte of it.
     """
     held = lambda c: F.coalesce(F.pmod(F.crc32(c.cast("string")), F.lit(3)) == 1, F.lit(False))
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, lambda c: ~held(c)))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = rows.mapInArrow(_scorer(lambda: model.value, ["doc_id"]), "doc_id long, score double, segments int")
-    return scored.select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), F.col("segments").alias("n_segments"))
+    scored = rows.mapInArrow(_scorer(lambda: model.value, ["doc_id"]), f"doc_id long, score double, passages {PASSAGES}")
+    predicted = (F.col("score") >= CUT).cast("int").alias("predicted")
+    return scored.select("doc_id", held(F.col("doc_id")).alias("held_out"), "score", predicted, F.size("passages").alias("n_segments"), "passages")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
