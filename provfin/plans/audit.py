@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,17 +41,22 @@ def _check(name: str, severity: str, passed: str, detail: str) -> str:
 Check = tuple[str, str, str]
 
 
-def _rows(spark: SparkSession, together: Callable[[], DataFrame], alone: Callable[[str], DataFrame], checks: list[Check]) -> DataFrame:
-    """All checks from one aggregation; if that cannot be planned, each from its own metric, so a failing one loses only itself."""
-    try:
-        return together().selectExpr(f"inline(array({', '.join(row for *_, row in checks)}))")
-    except AnalysisException:
-        pass
-    out = None
-    for metric, name, row in checks:
-        one = _guarded(spark, name, lambda m=metric, r=row: alone(m).selectExpr(f"inline(array({r}))"))
-        out = one if out is None else out.unionByName(one)
-    return out
+class _Checks:
+    """Checks that one aggregation can answer together, or each alone from its own metric."""
+
+    def __init__(self, spark: SparkSession, together: Callable[[], DataFrame], alone: Callable[[str], DataFrame], checks: list[Check]):
+        self.spark, self.build, self.metric, self.checks = spark, together, alone, checks
+
+    def together(self) -> DataFrame:
+        """All checks from one aggregation; if that cannot be planned, each alone, so a failing one loses only itself."""
+        try:
+            return self.build().selectExpr(f"inline(array({', '.join(row for *_, row in self.checks)}))")
+        except AnalysisException:
+            return reduce(DataFrame.unionByName, (_guarded(self.spark, name, build) for name, build in self.alone()))
+
+    def alone(self) -> list[tuple[str, Callable[[], DataFrame]]]:
+        """Name and frame of every check."""
+        return [(name, lambda m=metric, r=row: self.metric(m).selectExpr(f"inline(array({r}))")) for metric, name, row in self.checks]
 
 
 def _named_check(metric: str, name: str, severity: str, passed: str, detail: str) -> Check:
@@ -62,7 +68,7 @@ def _text(value: str, *rest: str) -> str:
     return f"concat({value}, {expr.literal(''.join(rest))})"
 
 
-def _key_checks(fact: DataFrame, dim_trust: DataFrame, expected: dict) -> DataFrame:
+def _key_checks(fact: DataFrame, dim_trust: DataFrame, expected: dict) -> _Checks:
     """Size, coverage, blank codes, duplicate keys and orphans from one pass over the fact.
 
     Lines are counted by fact key, the counts by organisation, and only those meet the dimension.
@@ -132,17 +138,17 @@ def _key_checks(fact: DataFrame, dim_trust: DataFrame, expected: dict) -> DataFr
             _text("orphans", " org_codes in fct_tac not in dim_trust"),
         ),
     ]
-    return _rows(fact.sparkSession, together, alone, checks)
+    return _Checks(fact.sparkSession, together, alone, checks)
 
 
-def _trust_count(dim_trust: DataFrame, expected: dict) -> DataFrame:
+def _trust_count(dim_trust: DataFrame, expected: dict) -> _Checks:
     minimum = expected["trust_count_min"]
     count = lambda *_: dim_trust.agg(F.count(F.lit(1)).alias("n"))
     detail = _text("n", f" trusts (expected ≥ {minimum})")
-    return _rows(dim_trust.sparkSession, count, count, [_named_check("n", "dim_trust row count", "CRITICAL", f"n >= {minimum}", detail)])
+    return _Checks(dim_trust.sparkSession, count, count, [_named_check("n", "dim_trust row count", "CRITICAL", f"n >= {minimum}", detail)])
 
 
-def _view_checks(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict) -> DataFrame:
+def _view_checks(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict) -> _Checks:
     """The six rules on the views, from one organisation-year pivot and one global aggregation."""
     year, sector = expected["year"], expected["pay_sector"].lower()
     now = f"financial_year = {expr.literal(year)}"
@@ -227,7 +233,7 @@ def _view_checks(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame,
             _text("implausible", " trust-years with implausible WTE"),
         ),
     ]
-    return _rows(fact.sparkSession, lambda: years_of(dim_trust).agg(*named(metrics)), alone, checks)
+    return _Checks(fact.sparkSession, lambda: years_of(dim_trust).agg(*named(metrics)), alone, checks)
 
 
 REPORT_SCHEMA = "check_name string, severity string, passed boolean, detail string"
@@ -243,10 +249,30 @@ def _guarded(spark: SparkSession, name: str, build: Callable[[], DataFrame]) ->
 
 
 def audit_report(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict = EXPECTED) -> DataFrame:
-    """One row per check: name, severity, passed, detail."""
-    report = _key_checks(fact, dim_trust, expected)
-    report = report.unionByName(_trust_count(dim_trust, expected))
-    return report.unionByName(_view_checks(fact, dim_trust, dim_subcode, expected))
+    """One row per check: name, severity, passed, detail. Lazy; ``run_report`` also keeps what is left when a check fails while it runs."""
+    return reduce(DataFrame.unionByName, (group.together() for group in _groups(fact, dim_trust, dim_subcode, expected)))
+
+
+def _groups(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict) -> list[_Checks]:
+    return [_key_checks(fact, dim_trust, expected), _trust_count(dim_trust, expected), _view_checks(fact, dim_trust, dim_subcode, expected)]
+
+
+def run_report(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, expected: dict = EXPECTED) -> DataFrame:
+    """The report, run: a row for every check, whatever happens to it. A check that fails while it runs is a failed CRITICAL row.
+
+    The checks of a group run together; only if that fails is each of them run alone. The rows are as few as the checks.
+    """
+    spark, rows = fact.sparkSession, []
+    for group in _groups(fact, dim_trust, dim_subcode, expected):
+        try:
+            rows += group.together().collect()
+        except PySparkException:
+            for name, build in group.alone():
+                try:
+                    rows += build().collect()
+                except PySparkException as error:
+                    rows.append((name, "CRITICAL", False, f"Exception: {error.getCondition() or type(error).__name__}"))
+    return spark.createDataFrame([tuple(row) for row in rows], REPORT_SCHEMA)
 
 
 def has_critical_failure(report: DataFrame) -> bool:

@@ -1347,6 +1347,19 @@ def oracle_sql() -> dict[str, str]:
         WHERE n.financial_year = '{YEAR}' AND p.financial_year = '{PRIOR}'""",
         "v5",
     )
+    unknown = CTES["trust"].replace(
+        f"{SECTOR.format('s_suppkey')} AS sector, r_name AS region",
+        f"CASE WHEN s_suppkey % 9 <> 4 THEN {SECTOR.format('s_suppkey')} END AS sector, CASE WHEN s_suppkey % 14 <> 5 THEN r_name END AS region",
+    )
+    for name in ("trust_flags", "sector_benchmarks_median", "sector_benchmarks", "pay_trend", "pay_pressure", "regional_health", "m_kpi"):
+        found[f"{name}_unknown"] = found[name].replace(CTES["trust"], unknown)
+    found["pay_trend_unknown"] = found["pay_trend_unknown"].replace("FROM v5 GROUP BY", "FROM v5 WHERE sector IS NOT NULL GROUP BY")
+    found["csv_round_trip"], found["report_round_trip"] = found["ie_summary_extract"], found["audit_report"]
+    found["discover_files"] = statement("SELECT DISTINCT source_file || '_p' || row_num % 4 || '.csv' AS file_name FROM named", "named")
+    found["stg_replace"] = statement(f"SELECT * REPLACE (total + CASE WHEN financial_year = '{YEAR}' THEN 0 ELSE 1 END AS total) FROM clean", "clean")
+    found["dim_trust_upsert"] = statement(
+        f"SELECT *, CASE WHEN last_year_seen >= '{YEAR}' THEN '2002-01-02' ELSE '2002-01-01' END AS updated_ts FROM built", "built"
+    )
     found["stg_from_source"] = statement("SELECT * EXCLUDE (source_file), source_file || '_p' || row_num % 4 || '.csv' AS source_file FROM clean", "clean")
     found["national_trend_from_files"] = statement(body.replace("FROM v5", "FROM v5_files"), "v5_files")
     return found

@@ -13,7 +13,7 @@ from provfin.functions.session import materialise, working_folder
 from provfin.operators import ingest, merge
 from provfin.plans import audit, benchmark, dashboard, enrich, extracts, measures, monthly, named, periods, refresh, subtotals, totals, trend, views
 from provfin.sources import fixture as fx
-from provfin.sources import files, sinks
+from provfin.sources import files, readers, sinks
 from provfin.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +207,57 @@ def _from_source(s, d):
     return ingest.clean_lines(s.read.format(files.NAME).load(folder))
 
 
+def _discovered(s, d):
+    """The names of the published files that a load would read."""
+    folder = working_folder(s)
+    lines = fx.raw_lines(s, d)
+    fx.publish(lines, folder)
+    draft = lines.filter("RowNumber % 50 = 0").withColumn("source_file", F.lit("TAC_NHS_trusts_Illustrative_1998-99"))
+    fx.publish(draft, folder)
+    paths = readers.discover(s, folder)
+    return s.createDataFrame([(p.rsplit("/", 1)[1],) for p in paths], "file_name string")
+
+
+def _replaced(s, d):
+    """Staging: a first load with other totals, then the last year's files replaced, twice."""
+    folder = working_folder(s)
+    lines = _lines(s, d)
+    sinks.replace_partitions(lines.withColumn("total", F.expr("total + 1")), folder)
+    for _ in range(2):
+        sinks.replace_partitions(lines.filter(F.col("financial_year") == YEAR), folder)
+    return s.read.schema(lines.schema).parquet(folder).select(lines.columns)
+
+
+def _csv_round_trip(s, d):
+    """A dataset written as CSV files and read back."""
+    folder = working_folder(s)
+    frame = extracts.income_summary_extract(_v1(s, d))
+    sinks.write_extract(frame, folder, extracts.DEFAULT_ORDER)
+    return s.read.schema(frame.schema).option("header", True).csv(folder)
+
+
+def _report_round_trip(s, d):
+    """The audit, run and written with its time, read back without it."""
+    folder = working_folder(s)
+    sinks.write_report(audit.run_report(_fact(s, d), *_dims(s, d), EXPECTED), folder)
+    written = s.read.schema(f"{audit.REPORT_SCHEMA}, run_ts timestamp").option("header", True).csv(folder)
+    return written.filter("run_ts IS NOT NULL").drop("run_ts")
+
+
+def _trusts_stamped(s, d):
+    """The organisation dimension after three loads: the earlier years, the later ones, and the later ones again."""
+    folder = working_folder(s)
+    providers = _providers(s, d)
+    for day, years in enumerate(("<", ">=", ">="), 1):
+        sinks.upsert_trusts(f"{folder}/trusts", providers.filter(f"financial_year {years} '{YEAR}'"), f"TIMESTAMP '2002-01-0{day} 00:00:00'")
+    return s.read.parquet(f"{folder}/trusts").withColumn("updated_ts", F.expr("date_format(updated_ts, 'yyyy-MM-dd')"))
+
+
+def _unknown_card(s, d, years=None):
+    """The scorecard with organisations whose sector or region is not known."""
+    return views.scorecard(_fact(s, d, years), fx.dim_trust(s, d, unknown=True), refdata.dim_subcode(s))
+
+
 def _named(function: str, **values) -> Query:
     """A report by its name in SQL, with bound values."""
 
@@ -248,6 +299,11 @@ def queries() -> dict[str, Query]:
         "stg_provider_clean": lambda s, d: _providers(s, d),
         "stg_tac_clean": lambda s, d: _lines(s, d),
         "stg_from_source": _from_source,
+        "discover_files": _discovered,
+        "stg_replace": _replaced,
+        "dim_trust_upsert": _trusts_stamped,
+        "csv_round_trip": _csv_round_trip,
+        "report_round_trip": _report_round_trip,
         "dim_trust_build": _dim_trust_build,
         "dim_worksheet_extend": _worksheets,
         "fact_promote": _promoted,
@@ -303,6 +359,18 @@ def queries() -> dict[str, Query]:
         "drugs_cost": lambda s, d: trend.drugs_cost(_card(s, d)),
         "negligence_national": lambda s, d: trend.negligence_national(_card(s, d)),
         "finance_position": lambda s, d: trend.finance_position(_card(s, d)),
+        # organisations without sector or region
+        "trust_flags_unknown": lambda s, d: enrich.trust_flags(_unknown_card(s, d)).select(
+            "org_code", "financial_year", "is_large", "pay_pressure_flag", "ebitda_rag"
+        ),
+        "sector_benchmarks_median_unknown": lambda s, d: enrich.sector_benchmarks(_unknown_card(s, d)),
+        "sector_benchmarks_unknown": lambda s, d: extracts.sector_benchmarks(
+            views.kpis(_fact(s, d), fx.dim_trust(s, d, unknown=True), refdata.dim_subcode(s))
+        ),
+        "pay_trend_unknown": lambda s, d: trend.pay_trend(_unknown_card(s, d)),
+        "pay_pressure_unknown": lambda s, d: benchmark.pay_pressure(_unknown_card(s, d, year), YEAR),
+        "regional_health_unknown": lambda s, d: benchmark.regional_health(_unknown_card(s, d, year), YEAR),
+        "m_kpi_unknown": lambda s, d: measures.kpi(_unknown_card(s, d), BY_YEAR_SECTOR),
         # reports by their names in SQL
         "sql_top_income": _named("top_income", year=YEAR),
         "sql_worst_net_margin": _named("worst_net_margin", year=YEAR),

@@ -218,8 +218,8 @@ def sector(suppkey: str) -> str:
     return expr.lookup(f"{suppkey} % 5", dict(enumerate(SECTORS)))
 
 
-def dim_trust(spark: SparkSession, sf_dir: str, seen: bool = False) -> DataFrame:
-    """Organisations; with ``seen`` also the first and last year that has postings of them."""
+def dim_trust(spark: SparkSession, sf_dir: str, seen: bool = False, unknown: bool = False) -> DataFrame:
+    """Organisations; with ``seen`` also the first and last year that has postings of them, with ``unknown`` some without sector or region."""
     trusts = _suppliers(spark, sf_dir)
     columns = []
     if seen:
@@ -230,8 +230,8 @@ def dim_trust(spark: SparkSession, sf_dir: str, seen: bool = False) -> DataFrame
         f"{org_code('s_suppkey')} AS org_code",
         "s_name AS organisation_name",
         f"{trust_type('s_suppkey')} AS trust_type",
-        f"{sector('s_suppkey')} AS sector",
-        "r_name AS region",
+        f"{sector('s_suppkey')} AS sector" if not unknown else f"CASE WHEN s_suppkey % 9 <> 4 THEN {sector('s_suppkey')} END AS sector",
+        "r_name AS region" if not unknown else "CASE WHEN s_suppkey % 14 <> 5 THEN r_name END AS region",
         f"{expr.flag('s_suppkey % 3 <> 0')} AS is_foundation",
         *columns,
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from provfin.functions.session import materialise
 from provfin.operators.ingest import REFUSALS, flagged_lines
-from provfin.operators.merge import merge_facts
+from provfin.operators.merge import build_dim_trust, merge_facts
 
 PARTITIONS = ["financial_year", "trust_type"]
 
@@ -57,6 +57,25 @@ def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None)
     replace_partitions(materialise(merge_facts(touched, incoming)), path)
 
 
+def upsert_trusts(path: str, providers: DataFrame, now: str = "current_timestamp()") -> None:
+    """Brings the organisation dimension at ``path`` up to date; ``updated_ts`` is when a row last came to be or changed (``now``: SQL text).
+
+    Repeating an upsert changes no row and so no time.
+    """
+    spark = providers.sparkSession
+    existing = read_table(spark, path)
+    merged = build_dim_trust(providers, existing)
+    if existing is None:
+        merged.withColumn("updated_ts", F.expr(now)).write.mode("overwrite").parquet(path)
+        return
+    values = [c for c in merged.columns if c != "org_code"]
+    before = existing.select("org_code", F.struct(*values).alias("before"), F.col("updated_ts").alias("known_ts"))
+    stamped = merged.join(before, "org_code", "left").withColumn(
+        "updated_ts", F.when(F.struct(*values).eqNullSafe(F.col("before")), F.col("known_ts")).otherwise(F.expr(now))
+    )
+    materialise(stamped.drop("before", "known_ts")).write.mode("overwrite").parquet(path)
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, buckets: int = 16, key: str = "org_code") -> DataFrame:
     """Writes a table laid out by ``key``: rows of a key lie in one of ``buckets`` buckets, sorted. Tables of as many buckets meet without a shuffle.
 

@@ -4,12 +4,13 @@ import os
 
 import pytest
 from compare import spark_rows
+from pyspark.sql import functions as F
 from test_ingest import FILE, line, lines, providers
 from test_scale import settings
 
 from provfin import refdata
 from provfin.operators import ingest, merge
-from provfin.plans import extracts, measures, named, refresh, subtotals, totals, views
+from provfin.plans import audit, extracts, measures, named, refresh, subtotals, totals, views
 from provfin.registry import queries as registry
 from provfin.sources import files, readers, sinks
 from provfin.sources import fixture as fx
@@ -144,6 +145,22 @@ def test_rows_that_do_not_fit_the_header_are_told(spark, tmp_path):
     assert rows(ingest.clean_lines(source), "sub_code", "financial_year", "trust_type") == [("EXP0130", "2023/24", "NHS_TRUST")]
 
 
+# --- checks that fail while they run -------------------------------------------------------------------
+
+
+def test_a_check_that_fails_while_it_runs_loses_only_itself(spark, sf_dir):
+    fact, dims = fx.facts(spark, sf_dir), (fx.dim_trust(spark, sf_dir), refdata.dim_subcode(spark))
+    whole = {r.check_name: r for r in audit.run_report(fact, *dims, registry.EXPECTED).collect()}
+    assert [tuple(r) for r in whole.values()] == [tuple(r) for r in audit.audit_report(fact, *dims, registry.EXPECTED).collect()]
+    broken = fact.withColumn("sub_code", F.expr("CASE WHEN sub_code = 'STA0410' THEN CAST(raise_error('unreadable block') AS STRING) ELSE sub_code END"))
+    report = {r.check_name: r for r in audit.run_report(broken, *dims, registry.EXPECTED).collect()}
+    assert set(report) == set(whole)
+    failed = {n for n, r in report.items() if r.detail.startswith("Exception")}
+    assert "fct_tac row count" not in failed and "dim_trust row count" not in failed and "no duplicate fact keys" in failed
+    assert all(report[n].severity == "CRITICAL" and not report[n].passed for n in failed)
+    assert all(report[n] == whole[n] for n in set(whole) - failed)
+
+
 # --- subtotals -----------------------------------------------------------------------------------------
 
 
