@@ -4,12 +4,13 @@ A text's words give k-mers; equal k-mers of a text are numbered, so that each pa
 selects its two smallest pairs, puts them into text order again and hashes the tuple. Two texts agree in a slot if they have the
 selected k-mers in the same order, which falls with their edit distance rather than with their sets.
 
-With ``own_orders`` every slot ranks all pairs of a text by an order of its own, as SuperMinHash does it: a pair visits the 64 slots
-in a random sequence of its own, one a round, and a slot ranks by the round of the visit and then by a hash of pair and round. A
-text needs only the rounds until every slot has been visited twice, about 768 visits, so long texts stop after the first. Without
-``own_orders`` there is that first round alone (bins of one permutation): short texts then fill few slots, most with one k-mer.
+Every slot ranks all pairs of a text by an order of its own, as SuperMinHash does it: a pair visits the 64 slots in a random sequence
+of its own, one a round, and a slot ranks by the round of the visit and then by a hash of pair and round. A text needs only the rounds
+until every slot has been visited twice, about 768 visits, so long texts stop after the first; of their visits only those of small
+hashes are sorted at all, and the rest only if these leave a slot unfilled.
 
-Arrays of 64-bit numbers hold the upper 40 bits of a hash and 24 bits of the position, so that plain sorting groups and orders them.
+Arrays of 64-bit numbers hold the upper 40 bits of a hash and 24 bits of the position, so that plain sorting groups and orders them. A
+text of more than 16,777,216 words has no room for its positions and stops the query with an error that says so.
 """
 
 from __future__ import annotations
@@ -68,29 +69,40 @@ def _least(visits: Column) -> Column:
 
 
 def _least_of_own_orders(df: DataFrame, kept: list[str]) -> DataFrame:
-    """Adds ``_least`` from ``_pairs``: each slot's two smallest of all pairs, by as many rounds as the text needs."""
+    """Adds ``_least`` from ``_pairs``: each slot's two smallest of all pairs, by as many visits as the text needs.
+
+    The first try of a long text takes the visits of one round below a hash that about VISITS of them are below: a slot with two of
+    them has its two smallest. The next tries take all visits of as many rounds as may be needed.
+    """
     pairs, n, none = F.col("_pairs"), F.size("_pairs"), F.array().cast("array<long>")
     first = F.greatest(F.ceil(F.lit(VISITS) / F.greatest(n, F.lit(1))), F.lit(1)).cast("int")
-    df = df.select(*kept, "_pairs", none.alias("_least"))
-    for rounds in (first, 2 * first, F.lit(SLOTS)):
-        steps = F.sequence(F.lit(0), F.least(rounds, F.lit(SLOTS)) - 1)
-        visits = F.flatten(F.transform(steps, lambda r: F.transform(pairs, lambda x: _visit(x, r))))
-        whole = F.size("_least") == SLOTS * F.least(n, F.lit(TUPLE))  # by fewer rounds
-        df = _let(df, "_visits", F.when(whole, none).otherwise(F.sort_array(visits)))
+    low = F.floor(F.lit(float(1 << RANK)) * VISITS / F.greatest(n, F.lit(1))).cast("long")
+    df = df.select(*kept, "_pairs", none.alias("_least"), low.alias("_low"))
+    rank = lambda v: F.shiftright(v, PLACE).bitwiseAND(F.lit((1 << RANK) - 1))
+    every = lambda rounds: F.flatten(F.transform(F.sequence(F.lit(0), F.least(rounds, F.lit(SLOTS)) - 1), lambda r: F.transform(pairs, lambda x: _visit(x, r))))
+    for rounds in (None, first, 2 * first, F.lit(SLOTS)):
+        whole = F.size("_least") == SLOTS * F.least(n, F.lit(TUPLE))  # by an earlier try
+        if rounds is None:
+            tried = F.when(n >= 2 * VISITS, F.filter(F.transform(pairs, lambda x: _visit(x, F.lit(0))), lambda v: rank(v) < F.col("_low")))
+        else:
+            tried = F.when(~whole, every(rounds))
+        df = _let(df, "_visits", F.sort_array(F.coalesce(tried, none)))
         df = _let(df, "_found", F.when(whole, F.col("_least")).otherwise(_least(F.col("_visits"))))
-        df = df.select(*kept, "_pairs", F.col("_found").alias("_least"))
+        df = df.select(*kept, "_pairs", F.col("_found").alias("_least"), "_low")
     return df.select(*kept, "_least")
 
 
-def with_signature(df: DataFrame, text: str, name: str, own_orders: bool = False) -> DataFrame:
+def with_signature(df: DataFrame, text: str, name: str) -> DataFrame:
     """Adds a signature column: for each filled slot, in the order of signed hashes, the slot's number times 65536 and 16 bits of its tuple's hash.
 
-    Null and blank texts fill no slot. Words end at ASCII white space; the last k-mers of a text are shorter. A k-mer's first
+    Null and blank texts fill no slot; a text of more words than positions have room for raises an error. Words end at ASCII white space; the last k-mers of a text are shorter. A k-mer's first
     occurrence is its own hash, later ones hash it with their number.
     """
     kept = df.columns
     plain = F.translate(F.coalesce(F.col(text), F.lit("")), "\t\n\x0b\x0c\r", " " * 5)
-    df = df.select(*kept, F.array_remove(F.split(plain, " "), "").alias("_words"))
+    df = _let(df.select(*kept, plain.alias("_plain")), "_words", F.array_remove(F.split("_plain", " "), "")).drop("_plain")
+    room = F.raise_error(F.concat(F.lit("a text has "), F.size("_words").cast("string"), F.lit(f" words; positions have room for {_LOW + 1}")))
+    df = df.select(*kept, F.when(F.size("_words") <= _LOW + 1, F.col("_words")).otherwise(room).alias("_words"))
     words = F.col("_words")
     kmer = lambda x, i: _packed(F.xxhash64(x, *(F.get(words, i + k) for k in range(1, KMER))), i)
     df = _let(df, "_hashes", F.transform(words, kmer))
@@ -98,11 +110,7 @@ def with_signature(df: DataFrame, text: str, name: str, own_orders: bool = False
     kmers = F.col("_kmers")
     again = lambda x, i: _packed(F.xxhash64(_above(x), _numbered(kmers, x, i)), x)
     df = _let(df, "_pairs", F.transform(kmers, lambda x, i: F.when(_above(F.get(kmers, i - 1)) == _above(x), again(x, i)).otherwise(x)))
-    if own_orders:
-        df = _least_of_own_orders(df, kept)
-    else:
-        df = df.select(*kept, F.sort_array("_pairs").alias("_sorted"))
-        df = _let(df, "_least", _least(F.col("_sorted")))
+    df = _least_of_own_orders(df, kept)
     least = F.col("_least")
 
     def tuple_of(x: Column, i: Column) -> Column:
@@ -166,7 +174,7 @@ def with_next(docs: DataFrame, carried: list[str], tops: list[int]) -> DataFrame
     return with_lead.where("_at.guest = 0").drop("_id", "_block", "_part", "_top", "_at")
 
 
-def report(docs: DataFrame, own_orders: bool = False) -> DataFrame:
+def report(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n_chars / 2) code points replaced by the first as many of the next document's. A single
@@ -174,12 +182,12 @@ def report(docs: DataFrame, own_orders: bool = False) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     tops = ranges(docs)  # from the ids alone, before texts are read
-    docs = with_next(with_signature(docs, "text", "signature", own_orders), ["text", "signature"], tops)
+    docs = with_next(with_signature(docs, "text", "signature"), ["text", "signature"], tops)
     docs = docs.withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.expr("CAST(n_chars div 2 AS INT)")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next_text", F.lit(1), half))
     docs = _let(docs, "edited", edited).drop("text", "next_text")
-    docs = with_signature(docs.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_signature", own_orders)
+    docs = with_signature(docs.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "edited_signature")
     return docs.select(
         "doc_id", "n_chars", "edited_sha256", spelled("signature").alias("fingerprint"), spelled("edited_signature").alias("edited_fingerprint"),
         likeness("signature", "edited_signature").alias("near_edited"), likeness("signature", "next_signature").alias("near_next"),
