@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from provfin.llm import columns
 
-#: Documents of each language to learn from, about; a share of all by the hash of doc_id. Bytes of a context, and bytes whose
+#: Documents, and bytes of text, of each language to learn from, about; a share of all by the hash of doc_id. Bytes of a context, and bytes whose
 #: evidence counts in the confidence.
-ROWS_PER_LANGUAGE, ORDER, EVIDENCE = 1500, 3, 48
+ROWS_PER_LANGUAGE, BYTES_PER_LANGUAGE, ORDER, EVIDENCE = 1500, 16 << 20, 3, 48
+#: Languages that trees may have, as a node has a number for each; and bytes of a text that are followed at once.
+MOST_LANGUAGES, STEP = 32, 1 << 19
 _LETTER = re.compile(r"[^\W\d_]")
 _PAD = b"\n" * ORDER
 
@@ -46,10 +48,14 @@ class Trees:
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length in bits of every text (rows) in every language."""
         text, begin, end = padded(data, offsets)
-        total = np.zeros((len(text) + 1, len(self.languages)))
-        if len(text):
-            np.cumsum(self._byte_costs(text), axis=0, out=total[1:])
-        return total[end] - total[begin]
+        out = np.zeros((len(begin), len(self.languages)))
+        for at in range(0, len(text), STEP):  # a byte's cost depends on the ORDER bytes before it
+            before = min(at, ORDER)
+            costs = self._byte_costs(text[at - before : at + STEP])[before:]
+            total = np.zeros((len(costs) + 1, len(self.languages)))
+            np.cumsum(costs, axis=0, out=total[1:])
+            out += total[np.clip(end - at, 0, len(costs))] - total[np.clip(begin - at, 0, len(costs))]
+        return out
 
     def _byte_costs(self, text: np.ndarray) -> np.ndarray:
         """Cost of every byte after those before it."""
@@ -141,14 +147,17 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, among) -> Trees | None:
-    """Trees of the languages of documents whose id fulfils ``among``; None if there are none."""
+    """Trees of the languages of documents whose id fulfils ``among``; None if there are none. More than MOST_LANGUAGES are an error."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & among(F.col("doc_id")))
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).limit(MOST_LANGUAGES + 1).collect()
     if not sizes:
         return None
-    languages = sorted(sizes)
-    limits = F.create_map(*(F.lit(x) for k in languages for x in (k, min(1.0, ROWS_PER_LANGUAGE / sizes[k]))))
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} different values of lang; learn them in groups")
+    share = {r.lang: min(1.0, ROWS_PER_LANGUAGE / r.n, BYTES_PER_LANGUAGE / max(r.bytes, 1)) for r in sizes}
+    languages = sorted(share)
+    limits = F.create_map(*(F.lit(x) for k in languages for x in (k, share[k])))
     sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20) < limits[F.col("lang")])
     counts = sample.select("text", "lang").mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     index = {k: i for i, k in enumerate(languages)}
@@ -163,6 +172,7 @@ def report(docs: DataFrame) -> DataFrame:
 
     Only documents whose crc32(doc_id) mod 5 is not 0 are learnt from. Null texts and texts without a letter are ``und`` with score
     0, as is everything if no language is known; of equal code lengths the first language in order counts. Ids may be null or repeated.
+    A text of any length is followed in steps; a task holds some 20 bytes a byte of it and 100 a byte of a step.
     """
     held = lambda c: F.coalesce(F.pmod(F.crc32(c.cast("string")), F.lit(5)) == 0, F.lit(False))
     trees = docs.sparkSession.sparkContext.broadcast(learn(docs, lambda c: ~held(c)))

@@ -84,3 +84,37 @@ def test_without_languages(spark, no_docs):
     assert language.report(no_docs).collect() == []
     rows = language.report(spark.createDataFrame([(1, "text", None), (None, None, None)], "doc_id long, text string, lang string")).collect()
     assert [r.lang_pred for r in rows] == ["und", "und"]
+
+
+def test_long_texts_are_followed_in_steps(monkeypatch):
+    rng = random.Random(5)
+    trees = counted({"xx": ["".join(rng.choices("abcd é", k=300))], "yy": ["".join(rng.choices("cdef\nß", k=200))]})
+    texts = pa.array(["".join(rng.choices("abcdefé ßz\n", k=n)) for n in (0, 900, 3, 50, 1)])
+    whole = trees.lengths(*columns.flat(texts))
+    for step in (1, 2, 3, 4, 7, 64):
+        monkeypatch.setattr(language, "STEP", step)
+        assert trees.lengths(*columns.flat(texts)).tolist() == [pytest.approx(r, rel=1e-9) for r in whole.tolist()]
+
+
+def test_the_whole_query_against_a_plain_coder(spark):
+    """Learning, counting and scores: all documents are learnt from, as there are fewer than the sample takes."""
+    rng = random.Random(7)
+    stock = {"aa": "lorem ipsum dolor sit".split(), "bb": "straße über nicht und".split()}
+    rows = [(i, " ".join(rng.choices(stock[k], k=rng.randint(1, 9))), k) for i in range(60) for k in [rng.choice(["aa", "bb"])]] + [(90, "ipsum nicht", None), (None, "über", "bb")]
+    learnt = {k: [t for i, t, lang in rows if lang == k and (i is None or zlib.crc32(str(i).encode()) % 5)] for k in stock}
+    for r in language.report(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id)
+        bits = [plain_length(text, learnt[k]) for k in ("aa", "bb")]
+        gain = [(min(bits) - b) * math.log(2) * min(1, language.EVIDENCE / len(text.encode())) for b in bits]
+        assert r.lang_pred == ("aa", "bb")[bits.index(min(bits))] and r.score == pytest.approx(1 / sum(map(math.exp, gain)), rel=1e-3)
+
+
+def test_bounds_of_what_is_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(i, "some text here", f"l{i % 3}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2 different values of lang"):
+        language.report(docs)
+    monkeypatch.setattr(language, "BYTES_PER_LANGUAGE", 1)
+    trees = language.learn(docs.where("lang <> 'l2'"), lambda c: c.isNotNull())
+    assert trees is None or trees.languages == ["l0", "l1"]
