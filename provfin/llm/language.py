@@ -84,6 +84,8 @@ class Trees:
 def grow(counts: dict[tuple[int, int], dict[int, int]], languages: list[str]) -> Trees:
     """Trees from counts by (order, gram as a number) and language."""
     n = len(languages)
+    for order in range(1, ORDER):  # the line feeds before a text are contexts though nobody counts them
+        counts.setdefault((order, int.from_bytes(_PAD[: order + 1])), {})
     children, costs, escapes = [np.zeros(0, np.int32)], [np.zeros((257, n), np.float32)], [np.zeros((1, n), np.float32)]
     table = np.zeros((256, n))
     for (order, gram), by in counts.items():

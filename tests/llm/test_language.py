@@ -106,7 +106,8 @@ def test_the_whole_query_against_a_plain_coder(spark):
         text = next(t for i, t, _ in rows if i == r.doc_id)
         bits = [plain_length(text, learnt[k]) for k in ("aa", "bb")]
         gain = [(min(bits) - b) * math.log(2) * min(1, language.EVIDENCE / len(text.encode())) for b in bits]
-        assert r.lang_pred == ("aa", "bb")[bits.index(min(bits))] and r.score == pytest.approx(1 / sum(map(math.exp, gain)), rel=1e-3)
+        assert r.lang_pred == ("aa", "bb")[bits.index(min(bits))], (r, text, bits)
+        assert r.score == pytest.approx(1 / sum(map(math.exp, gain)), rel=1e-3)
 
 
 def test_bounds_of_what_is_learnt(spark, monkeypatch):
