@@ -84,7 +84,8 @@ def _with_drops(docs: DataFrame, least_chars: int, least_docs: int) -> tuple[Dat
     keyed = docs.withColumn(body, F.xxhash64("text"))
     plain = keyed.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(body).alias("body"), F.col("text").cast("string").alias("text"))
     found = stored(lines(plain, least_chars))
-    lost = found.join(repeated(found, least_docs), ["key1", "key2"]).where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
+    # written, so that both sides of the join are plain shuffles and Spark may split the lines of a hot key
+    lost = found.join(stored(repeated(found, least_docs)), ["key1", "key2"]).where(~F.col("doc_id").eqNullSafe(F.col("first_id")))
     lost = lost.groupBy(F.col("doc_id").alias(of), F.col("body").alias(hashed)).agg(F.collect_set("at").alias(name))  # positions of one text
     joined = keyed.join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.col(body) == F.col(hashed)), "left")
     return joined.select(*docs.columns, name), name
