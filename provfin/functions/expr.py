@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 PCT = "decimal(20,1)"
 
@@ -108,6 +109,17 @@ def rag_below(value: str, green_below, amber_below) -> str:
     )
 
 
+def scale_of(df: DataFrame, column: str) -> int:
+    """Fractional digits that a column keeps."""
+    kind = df.schema[column].dataType
+    return kind.scale if isinstance(kind, DecimalType) else 0
+
+
+def amount(df: DataFrame, column: str = "total_000s") -> str:
+    """A total as the number that plans add up: BIGINT if the table keeps whole units, DECIMAL if it keeps fractions."""
+    return column if scale_of(df, column) else f"CAST({column} AS BIGINT)"
+
+
 def literal(value) -> str:
     """A value as SQL text; a quote is joined in by its code, which holds under either way of escaping."""
     if not isinstance(value, str):

@@ -15,6 +15,8 @@ from provfin.refdata import FILE_YEAR_PATTERN, LINE_HEADERS, PROVIDER_HEADERS
 # A total as a number, NULL if it cannot be read; and the first number that no longer fits the fact table.
 READ_TOTAL = "try_cast(replace(total, ',', '') AS DOUBLE)"
 TOTAL_BELOW = "1e14D"
+# Fractional digits of a total: most that a load can keep, and most that are read of a text before the rest is cut.
+MOST_SCALE, READ_SCALE = 4, 12
 # The column of a reader that holds rows it could not cut into columns.
 CORRUPT = "_corrupt_record"
 
@@ -50,13 +52,27 @@ def _given(*names: str) -> str:
     return " AND ".join(f"lower(trim({name})) NOT IN ('', 'nan')" for name in names)
 
 
-def clean_lines(raw: DataFrame) -> DataFrame:
+def _total(scale: int) -> str:
+    """A total with ``scale`` fractional digits, further ones cut; text that is no number is 0."""
+    if scale == 0:
+        return f"coalesce(try_cast({READ_TOTAL} AS BIGINT), 0)"
+    exact, near = (f"try_cast({text} AS DECIMAL({18 + READ_SCALE},{READ_SCALE}))" for text in ("replace(total, ',', '')", READ_TOTAL))
+    units = f"CAST(coalesce({exact}, {near}, 0) * {10**scale} AS BIGINT)"
+    return f"CAST(CAST({units} AS DECIMAL(18,0)) / {10**scale} AS DECIMAL({14 + scale},{scale}))"
+
+
+def clean_lines(raw: DataFrame, scale: int = 0) -> DataFrame:
     """Current-year account lines. Totals may hold separators; unreadable ones are 0, fractions are cut.
 
+    ``scale`` is how many fractional digits a total keeps (4 at most): with 0, the default, totals are whole numbers (BIGINT), else
+    DECIMAL, and the fact and the views keep the same digits. Head counts and days lost are published with fractions.
+
     Lines whose total has more than fourteen digits are set aside (``rejected_lines`` has them), so one of them does not
     stop a load; rows that a reader could not cut into columns are too. Year and type come from the file's name, or from
     columns of their own if the reader has told them already.
     """
+    if not 0 <= scale <= MOST_SCALE:
+        raise ValueError(f"totals keep 0 to {MOST_SCALE} fractional digits, not {scale}")
     told = tuple(c for c in ("trust_type", "financial_year") if c in raw.columns)
     trust_type = "trust_type" if "trust_type" in told else f"{derive_trust_type('source_file')} AS trust_type"
     financial_year = "financial_year" if "financial_year" in told else f"{derive_financial_year('source_file')} AS financial_year"
@@ -72,7 +88,7 @@ def clean_lines(raw: DataFrame) -> DataFrame:
             "trim(main_code) AS main_code",
             "try_cast(row_num AS BIGINT) AS row_num",
             "trim(sub_code) AS sub_code",
-            f"coalesce(try_cast({READ_TOTAL} AS BIGINT), 0) AS total",
+            f"{_total(scale)} AS total",
             "source_file",
             "'CY' AS year_type",
             trust_type,

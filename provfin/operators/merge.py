@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provfin.functions.expr import named
+from provfin.functions.expr import named, scale_of
 
 FACT_KEY = ["org_code", "financial_year", "main_code", "sub_code"]
 FACT_COLUMNS = [
@@ -102,9 +102,16 @@ def extend_worksheets(dim_worksheet: DataFrame, lines: DataFrame) -> DataFrame:
     return dim_worksheet.unionByName(new)
 
 
-# A row number and a total in one number that orders as the pair does; rows without a number come first.
-_PLACE = "CAST(coalesce(row_num, -9223372036854775807) AS DECIMAL(19,0)) * 1000000000000000 + (total + 100000000000000)"
-_TOTAL_OF = "CAST(pmod({0}, CAST(1000000000000000 AS DECIMAL(38,0))) - 100000000000000 AS DECIMAL(14,0))"
+def _place(scale: int) -> str:
+    """A row number and a total in one number that orders as the pair does; rows without a number come first."""
+    units = f"CAST(total * {10**scale} AS DECIMAL(19,0))" if scale else "total"
+    return f"CAST(coalesce(row_num, -9223372036854775807) AS DECIMAL(19,0)) * {10 ** (15 + scale)} + ({units} + {10 ** (14 + scale)})"
+
+
+def _total_of(place: str, scale: int) -> str:
+    """The total in a number that ``_place`` made."""
+    units = f"pmod({place}, CAST({10 ** (15 + scale)} AS DECIMAL(38,0))) - {10 ** (14 + scale)}"
+    return f"CAST({f'CAST({units} AS DECIMAL(18,0)) / {10**scale}' if scale else units} AS DECIMAL({14 + scale},{scale}))"
 
 
 def promote_lines(lines: DataFrame, providers: DataFrame, batch: str = "0") -> DataFrame:
@@ -113,13 +120,15 @@ def promote_lines(lines: DataFrame, providers: DataFrame, batch: str = "0") -> D
     Raw lines are first reduced by key, file and worksheet with numbers alone, which Spark adds up in hash tables before the
     shuffle; names and codes are compared only among what is left. Names match without regard to case, and the rows meet the
     provider list after the reduction, so the join sees no hot names. ``batch`` (SQL text over the lines) numbers loads that
-    follow one another: with it one scan promotes them all, and the result is what merging them in turn would leave.
+    follow one another: with it one scan promotes them all, and the result is what merging them in turn would leave. Totals keep
+    the fractional digits of the lines.
     """
+    scale = scale_of(lines, "total")
     match = ["financial_year", "trust_type", "name_key"]
     reduced = (
         lines.selectExpr(
             f"{batch} AS batch", "financial_year", "trust_type", "lower(organisation_name) AS name_key", "main_code", "sub_code",
-            "source_file", "worksheet_name", "table_id", f"CAST({_PLACE} AS DECIMAL(38,0)) AS place",
+            "source_file", "worksheet_name", "table_id", f"CAST({_place(scale)} AS DECIMAL(38,0)) AS place",
         )
         .groupBy("batch", *match, "main_code", "sub_code", "source_file", "worksheet_name", "table_id")
         .agg(F.max("place").alias("last"), F.min("place").alias("first"))
@@ -139,7 +148,7 @@ def promote_lines(lines: DataFrame, providers: DataFrame, batch: str = "0") -> D
         "first.table_id",
         "main_code",
         "sub_code",
-        f"{_TOTAL_OF.format('last.last')} AS total_000s",
+        f"{_total_of('last.last', scale)} AS total_000s",
         "first.trust_type",
         "last.source_file",
     )

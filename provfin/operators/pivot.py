@@ -18,14 +18,16 @@ KEYS = ["org_code", "financial_year"]
 
 @dataclass(frozen=True)
 class Line:
-    """Largest value of a sub-code; ``worksheet`` None means on any worksheet."""
+    """Largest value of a sub-code; ``worksheet`` None means on any worksheet, ``seeded`` that the dimension must know the code."""
 
     name: str
     sub_code: str
     worksheet: str | None
+    seeded: bool = False
 
     def sql(self) -> str:
         on_sheet = f" AND worksheet_name = {expr.literal(self.worksheet)}" if self.worksheet else ""
+        on_sheet += " AND seeded = 1" if self.seeded else ""
         return f"max(CASE WHEN sub_code = {expr.literal(self.sub_code)}{on_sheet} THEN total END)"
 
 
@@ -42,13 +44,25 @@ class Category:
         return f"sum(CASE WHEN worksheet_name = {expr.literal(self.worksheet)} AND seeded = 1 THEN {in_category} END)"
 
 
+@dataclass(frozen=True)
+class Present:
+    """1 if there is any line on a worksheet (with ``seeded``, any whose code the dimension knows), else NULL."""
+
+    name: str
+    worksheet: str
+    seeded: bool = False
+
+    def sql(self) -> str:
+        return f"max(CASE WHEN worksheet_name = {expr.literal(self.worksheet)}{' AND seeded = 1' if self.seeded else ''} THEN 1 END)"
+
+
 def _quoted(values) -> str:
     return ", ".join(map(expr.literal, values))
 
 
-def _wanted(columns: list[Line | Category]) -> str:
+def _wanted(columns: list[Line | Category | Present]) -> str:
     """Rows any of the columns can read; a plain predicate on the fact, so it reaches the scan."""
-    whole_sheets = sorted({c.worksheet for c in columns if isinstance(c, Category)})
+    whole_sheets = sorted({c.worksheet for c in columns if isinstance(c, Category | Present)})
     loose = [c.sub_code for c in columns if isinstance(c, Line) and c.worksheet is None]
     by_sheet: dict[str, list[str]] = {}
     for c in columns:
@@ -66,7 +80,7 @@ def _wanted(columns: list[Line | Category]) -> str:
 
 def pivot_lines(
     fact: DataFrame,
-    columns: list[Line | Category],
+    columns: list[Line | Category | Present],
     dim_subcode: DataFrame | None = None,
     rows: str | None = None,
     unseeded: bool = True,
@@ -75,7 +89,7 @@ def pivot_lines(
 
     ``rows`` overrides which fact rows make an organisation-year appear; by default those any column reads.
     ``dim_subcode`` is needed for ``Category`` columns; lines it does not know have no category and, without
-    ``unseeded``, do not count at all.
+    ``unseeded``, do not count at all. Columns are BIGINT, or DECIMAL if the fact keeps fractions.
     """
     lines = fact.filter(rows or _wanted(columns))
     seeds = ()
@@ -83,5 +97,5 @@ def pivot_lines(
         known = dim_subcode.selectExpr("sub_code", "analytics_category", "1 AS seeded")
         lines = lines.join(known, "sub_code", "left" if unseeded else "inner")
         seeds = ("analytics_category", "seeded")
-    lines = lines.selectExpr(*KEYS, "worksheet_name", "sub_code", *seeds, "CAST(total_000s AS BIGINT) AS total")
+    lines = lines.selectExpr(*KEYS, "worksheet_name", "sub_code", *seeds, f"{expr.amount(fact)} AS total")
     return expr.aggregate(lines, KEYS, {c.name: c.sql() for c in columns})

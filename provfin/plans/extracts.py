@@ -99,50 +99,56 @@ def _detail(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, keep:
     trusts = dim_trust.select(*TRUST)
     codes = dim_subcode.select("sub_code", "description", "analytics_category", "is_subtotal")
     lines = fact.filter(keep).selectExpr(
-        "org_code", "financial_year", "worksheet_name", "sub_code", "CAST(total_000s AS BIGINT) AS amount_000s"
+        "org_code", "financial_year", "worksheet_name", "sub_code", f"{expr.amount(fact)} AS amount_000s"
     )
     return lines.join(codes, "sub_code").join(trusts, "org_code")
 
 
-def _leaf_lines(fact, dim_trust, dim_subcode, *sheets: str) -> DataFrame:
-    names = ", ".join(map(expr.literal, sheets))
-    current = f"worksheet_name IN ({names}) AND main_code NOT LIKE '%PY%'"
-    return (
-        _detail(fact, dim_trust, dim_subcode, current)
-        .filter("is_subtotal = 0")
-        .selectExpr(
-            "org_code", "organisation_name", "sector", "trust_type", "financial_year", "sub_code",
-            "description AS line_item", "analytics_category", "amount_000s",
-        )
+def _on(*sheets: str) -> str:
+    return f"worksheet_name IN ({', '.join(map(expr.literal, sheets))})"
+
+
+CURRENT = "main_code NOT LIKE '%PY%'"
+INCOME_SHEETS, COST_SHEETS = (WS_PATIENT_INCOME, WS_OTHER_INCOME), (WS_EXPENDITURE,)
+
+
+def _leaf_lines(detail: DataFrame, *sheets: str) -> DataFrame:
+    return detail.filter(f"{_on(*sheets)} AND is_subtotal = 0").selectExpr(
+        "org_code", "organisation_name", "sector", "trust_type", "financial_year", "sub_code",
+        "description AS line_item", "analytics_category", "amount_000s",
     )
 
 
 def income_detail(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame) -> DataFrame:
     """Current-year income lines below the subtotals."""
-    return _leaf_lines(fact, dim_trust, dim_subcode, WS_PATIENT_INCOME, WS_OTHER_INCOME)
+    return _leaf_lines(_detail(fact, dim_trust, dim_subcode, f"{_on(*INCOME_SHEETS)} AND {CURRENT}"), *INCOME_SHEETS)
 
 
 def expenditure_detail(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame) -> DataFrame:
     """Current-year cost lines below the subtotals."""
-    return _leaf_lines(fact, dim_trust, dim_subcode, WS_EXPENDITURE)
+    return _leaf_lines(_detail(fact, dim_trust, dim_subcode, f"{_on(*COST_SHEETS)} AND {CURRENT}"), *COST_SHEETS)
 
 
 def income_detail_full(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame) -> DataFrame:
     """All income lines of three worksheets, subtotals included."""
-    sheets = f"worksheet_name IN ('{WS_PATIENT_INCOME}', '{WS_OTHER_INCOME}', '{WS_SOCI}')"
-    return (
-        _detail(fact, dim_trust, dim_subcode, sheets)
-        .filter("analytics_category IN ('PATIENT_INCOME', 'OTHER_INCOME', 'TOTAL_INCOME')")
-        .selectExpr(
-            *HEAD, "worksheet_name", "sub_code", "description AS sub_code_description", "is_subtotal",
-            "amount_000s AS value_000s",
-        )
+    return _income_lines(_detail(fact, dim_trust, dim_subcode, _on(*INCOME_SHEETS, WS_SOCI)))
+
+
+def _income_lines(detail: DataFrame) -> DataFrame:
+    income = f"{_on(*INCOME_SHEETS, WS_SOCI)} AND analytics_category IN ('PATIENT_INCOME', 'OTHER_INCOME', 'TOTAL_INCOME')"
+    return detail.filter(income).selectExpr(
+        *HEAD, "worksheet_name", "sub_code", "description AS sub_code_description", "is_subtotal",
+        "amount_000s AS value_000s",
     )
 
 
 def expenditure_detail_full(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame) -> DataFrame:
     """All cost lines, subtotals included."""
-    return _detail(fact, dim_trust, dim_subcode, f"worksheet_name = '{WS_EXPENDITURE}'").selectExpr(
+    return _cost_lines(_detail(fact, dim_trust, dim_subcode, _on(*COST_SHEETS)))
+
+
+def _cost_lines(detail: DataFrame) -> DataFrame:
+    return detail.filter(_on(*COST_SHEETS)).selectExpr(
         *HEAD, "sub_code", "description AS sub_code_description", "analytics_category", "is_subtotal",
         "amount_000s AS value_000s",
     )
@@ -212,29 +218,34 @@ DEFAULT_ORDER = ["financial_year", "org_code"]
 
 
 def report_set(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, dim_year: DataFrame) -> dict[str, DataFrame]:
-    """The datasets of the views, by name."""
-    kpis = materialise(views.kpis(fact, dim_trust, dim_subcode))
+    """The datasets of the views, by name.
+
+    The fact is read twice, for what the views pivot and for the lines; both are written out, as sorting an extract reads its input twice.
+    """
+    view = views.narrow_views(materialise(views.wide_rows(fact, dim_subcode)), dim_trust)
+    detail = materialise(_detail(fact, dim_trust, dim_subcode, f"{_on(*INCOME_SHEETS, *COST_SHEETS)} AND {CURRENT}"))
     return {
         "dim_trust": dim_trust_extract(dim_trust),
         "dim_financial_year": dim_financial_year_extract(dim_year),
-        "ie_summary": income_summary_extract(views.income_expenditure(fact, dim_trust)),
-        "expenditure_breakdown": expenditure_extract(views.expenditure_breakdown(fact, dim_trust, dim_subcode)),
-        "workforce": workforce_extract(views.workforce(fact, dim_trust)),
-        "kpis": kpi_extract(kpis),
-        "income_detail": income_detail(fact, dim_trust, dim_subcode),
-        "expenditure_detail": expenditure_detail(fact, dim_trust, dim_subcode),
-        "sector_benchmarks": sector_benchmarks(kpis),
+        "ie_summary": income_summary_extract(view["income_expenditure"]),
+        "expenditure_breakdown": expenditure_extract(view["expenditure_breakdown"]),
+        "workforce": workforce_extract(view["workforce"]),
+        "kpis": kpi_extract(view["kpis"]),
+        "income_detail": _leaf_lines(detail, *INCOME_SHEETS),
+        "expenditure_detail": _leaf_lines(detail, *COST_SHEETS),
+        "sector_benchmarks": sector_benchmarks(view["kpis"]),
     }
 
 
 def enriched_set(fact: DataFrame, dim_trust: DataFrame, dim_subcode: DataFrame, dim_year: DataFrame) -> dict[str, DataFrame]:
-    """The datasets of the enriched scorecard, by name. The scorecard is written out once and read by five of them."""
+    """The datasets of the enriched scorecard, by name. The scorecard is written out once and read by five of them, the lines once for two."""
+    detail = materialise(_detail(fact, dim_trust, dim_subcode, _on(*INCOME_SHEETS, WS_SOCI, *COST_SHEETS)))
     card = materialise(enrich.enrich(views.scorecard(fact, dim_trust, dim_subcode)))
     return {
         **{name: card_extract(card, name) for name in CARD_EXTRACTS},
         "sector_benchmarks": enrich.sector_benchmarks(card),
-        "income_detail": income_detail_full(fact, dim_trust, dim_subcode),
-        "expenditure_detail": expenditure_detail_full(fact, dim_trust, dim_subcode),
+        "income_detail": _income_lines(detail),
+        "expenditure_detail": _cost_lines(detail),
         "dim_trust": dim_trust_extract(dim_trust),
         "dim_financial_year": dim_financial_year_extract(dim_year),
     }

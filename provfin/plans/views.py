@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provfin.functions import expr
-from provfin.operators.pivot import Category, Line, pivot_lines
+from provfin.operators.pivot import Category, Line, Present, pivot_lines
 from provfin.refdata import EBITDA_RAG, SURPLUS_RAG, WS_EXPENDITURE, WS_SOCI, WS_STAFF
 
 TRUST = ["org_code", "organisation_name", "sector", "region", "trust_type"]
@@ -86,7 +86,10 @@ def with_trust(org_years: DataFrame, dim_trust: DataFrame) -> DataFrame:
 
 def income_expenditure(fact: DataFrame, dim_trust: DataFrame) -> DataFrame:
     """Income, expenditure and surplus from the summary statement."""
-    rows = pivot_lines(fact, INCOME_LINES, rows=f"worksheet_name = '{WS_SOCI}'")
+    return _income_columns(pivot_lines(fact, INCOME_LINES, rows=f"worksheet_name = '{WS_SOCI}'"), dim_trust)
+
+
+def _income_columns(rows: DataFrame, dim_trust: DataFrame) -> DataFrame:
     return with_trust(rows, dim_trust).selectExpr(
         *HEAD,
         "patient_care_income_000s",
@@ -112,7 +115,12 @@ def workforce(fact: DataFrame, dim_trust: DataFrame) -> DataFrame:
 
 
 def _with_kpis(rows: DataFrame) -> DataFrame:
-    """KPI columns over pivoted organisation-years with income; the margins are NULL-safe."""
+    """KPI columns over pivoted organisation-years with income; the margins are NULL-safe.
+
+    Where totals keep fractions, numerator and denominator are divided in units of the last digit, so nothing is rounded before.
+    """
+    scale = expr.scale_of(rows, "total_wte")
+    kpi = lambda num, den, times=1: expr.kpi(*(f"{c} * {10**scale}" if scale else c for c in (num, den)), times)
     earning = rows.selectExpr(
         "*",
         f"{TOTAL_INCOME} AS total_income_000s",
@@ -121,10 +129,10 @@ def _with_kpis(rows: DataFrame) -> DataFrame:
     ).filter("total_income_000s > 0")
     return earning.selectExpr(
         "*",
-        f"{expr.kpi('ebitda_000s', 'total_income_000s', 100)} AS ebitda_margin_pct",
-        f"{expr.kpi('pay_000s', 'total_income_000s', 100)} AS pay_pct_income",
-        f"{expr.kpi('staff_cost_000s', 'total_wte')} AS cost_per_wte_000s",
-        f"{expr.kpi('net_surplus_000s', 'total_income_000s', 100)} AS net_surplus_margin_pct",
+        f"{kpi('ebitda_000s', 'total_income_000s', 100)} AS ebitda_margin_pct",
+        f"{kpi('pay_000s', 'total_income_000s', 100)} AS pay_pct_income",
+        f"{kpi('staff_cost_000s', 'total_wte')} AS cost_per_wte_000s",
+        f"{kpi('net_surplus_000s', 'total_income_000s', 100)} AS net_surplus_margin_pct",
         f"{expr.flag('operating_surplus_000s < 0')} AS is_deficit",
     )
 
@@ -148,8 +156,12 @@ def kpis(
     ``surplus_rag`` compares the unrounded margin, as whole numbers: net * 100 against cut * income.
     """
     columns = [*INCOME_LINES, *EXPENDITURE_CATEGORIES, *EXPENDITURE_LINES[:-1], *WORKFORCE_LINES]
+    return _kpi_columns(pivot_lines(fact, columns, dim_subcode), dim_trust, ebitda_rag, surplus_rag)
+
+
+def _kpi_columns(rows: DataFrame, dim_trust: DataFrame, ebitda_rag=EBITDA_RAG, surplus_rag=SURPLUS_RAG) -> DataFrame:
     cuts = [f"{cut} * total_income_000s" for cut in surplus_rag]
-    rows = _with_kpis(pivot_lines(fact, columns, dim_subcode)).selectExpr(
+    rows = _with_kpis(rows).selectExpr(
         "*",
         f"{expr.rag('ebitda_margin_pct', *ebitda_rag)} AS ebitda_rag",
         f"{expr.rag('net_surplus_000s * 100', *cuts)} AS surplus_rag",
@@ -157,6 +169,29 @@ def kpis(
     return expr.select(with_trust(rows, dim_trust), *KPI_COLUMNS)
 
 
+def wide_rows(fact: DataFrame, dim_subcode: DataFrame) -> DataFrame:
+    """What the four narrow views read, from one pass over the fact: a row per organisation-year with a line on any of their worksheets."""
+    columns = [
+        Present("on_income", WS_SOCI), Present("on_expenditure", WS_EXPENDITURE, seeded=True), Present("on_staff", WS_STAFF),
+        *INCOME_LINES, *EXPENDITURE_CATEGORIES, *EXPENDITURE_LINES[:-1], *WORKFORCE_LINES,
+        *[Line(f"listed_{c.name}", c.sub_code, c.worksheet, seeded=True) for c in EXPENDITURE_LINES],
+    ]
+    return pivot_lines(fact, columns, dim_subcode)
+
+
+def narrow_views(wide: DataFrame, dim_trust: DataFrame) -> dict[str, DataFrame]:
+    """The four views by name, from ``wide_rows``: what each is when it reads the fact itself."""
+    spent = with_trust(wide.filter("on_expenditure = 1"), dim_trust)
+    staff = with_trust(wide.filter("on_staff = 1"), dim_trust)
+    listed = [f"listed_{c.name} AS {c.name}" for c in EXPENDITURE_LINES]
+    return {
+        "income_expenditure": _income_columns(wide.filter("on_income = 1"), dim_trust),
+        "expenditure_breakdown": expr.select(spent, *HEAD, *[c.name for c in EXPENDITURE_CATEGORIES], *listed),
+        "workforce": expr.select(staff, *HEAD, *[c.name for c in WORKFORCE_LINES]),
+        "kpis": _kpi_columns(wide, dim_trust),
+    }
+
+
 SCORECARD_COLUMNS = [
     *HEAD,
     "total_income_000s", "patient_care_income_000s", "other_income_000s",

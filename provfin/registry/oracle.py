@@ -329,6 +329,16 @@ CTES |= {
     for name in ("v1", "v2", "v3", "joined", "v4", "extra", "v5")
 }
 
+# The same facts with the fractions of the staff lines, in hundredths.
+CTES |= {
+    "fact_hundredths": """SELECT * REPLACE (100 * total + CASE WHEN sub_code LIKE 'STA%'
+        THEN (7 * CAST(org_code AS BIGINT) + CAST(substr(sub_code, 4) AS INTEGER)) % 100 ELSE 0 END AS total) FROM fact_files""",
+}
+CTES |= {
+    f"{name}_hundredths": re.sub(r"\b(fact|v[1-4]|joined)_files\b", r"\1_hundredths", CTES[f"{name}_files"])
+    for name in ("v1", "v2", "v3", "joined", "v4")
+}
+
 # Facts with every fault the audit looks for.
 _org = "CAST(org_code AS BIGINT)"
 CTES |= {
@@ -361,6 +371,9 @@ NEEDS = {
     "fact_files": ["fact", "trust", "prov"], "v1_files": ["fact_files", "built"], "v2_files": ["fact_files", "built", "code"],
     "v3_files": ["fact_files", "built"], "joined_files": ["v1_files", "v2_files", "v3_files"], "v4_files": ["joined_files"],
     "extra_files": ["fact_files"], "v5_files": ["v4_files", "extra_files"],
+    "fact_hundredths": ["fact_files"], "v1_hundredths": ["fact_hundredths", "built"], "v2_hundredths": ["fact_hundredths", "built", "code"],
+    "v3_hundredths": ["fact_hundredths", "built"], "joined_hundredths": ["v1_hundredths", "v2_hundredths", "v3_hundredths"],
+    "v4_hundredths": ["joined_hundredths"],
     "placed_files": ["matched"], "promoted_files": ["placed_files"], "monthly": [],
     "posted": [], "slots": [], "det": ["posted", "slots"], "tot": ["det"], "wte": ["posted"],
     "fact_all": ["det", "tot", "wte"], "fact": ["fact_all"], "trust": [], "code": [],
@@ -551,6 +564,17 @@ def view_sql() -> dict[str, str]:
             f"SELECT * EXCLUDE (ebitda_t, pay_t, cost_t, net_t), {KPI_NUMBERS} FROM v5_files",
             "v5_files",
         ),
+        "workforce_fractional": statement(
+            f"SELECT {HEAD}, {', '.join(f'CAST({c} AS DOUBLE) / 100 AS {c}' for c in _v3_lines.values())} FROM v3_hundredths", "v3_hundredths"
+        ),
+        "kpis_fractional": statement(
+            f"""SELECT {HEAD}, {', '.join(f'CAST({c} AS DOUBLE) / 100 AS {c}' for c in (
+                'total_income_000s', 'total_expenditure_000s', 'operating_surplus_000s', 'net_surplus_000s', 'pay_000s', 'non_pay_000s',
+                'depreciation_amort_000s', 'staff_cost_000s', 'drugs_cost_000s', 'clinical_negligence_000s', 'total_wte', 'medical_wte',
+                'nursing_wte', 'avg_days_lost_per_wte', 'ebitda_000s'))}, {KPI_NUMBERS}, is_deficit,
+            {rag('ebitda_t', 50, 20)} AS ebitda_rag, {surplus_rag} AS surplus_rag FROM v4_hundredths""",
+            "v4_hundredths",
+        ),
         "normalise_sectors": statement(
             f"""SELECT org_code, given AS given_sector, CASE given {aliases} ELSE given END AS sector FROM (
             SELECT org_code, CASE (s // 5) % 4 WHEN 0 THEN sector WHEN 1 THEN upper(replace(sector, ' ', '_'))

@@ -82,6 +82,17 @@ def _card_from_files(s, d):
     return views.scorecard(fact, merge.build_dim_trust(providers), refdata.dim_subcode(s))
 
 
+def _fractional(view):
+    """A view over account files whose head counts and days lost have fractions, kept to two digits: (spark, sf_dir) to frame."""
+
+    def query(s, d):
+        providers = _providers(s, d)
+        fact = merge.promote_lines(ingest.clean_lines(fx.raw_accounts(s, d, fractions=True), scale=2), providers)
+        return extracts.with_plain_numbers(view(fact, merge.build_dim_trust(providers), refdata.dim_subcode(s)))
+
+    return query
+
+
 def _from_stream(s, d):
     """Published files promoted as a stream: those of the earlier years, then the rest, which a second run finds."""
     folder = working_folder(s)
@@ -323,6 +334,8 @@ def queries() -> dict[str, Query]:
         "dim_trust_history": _history,
         "scorecard_as_of": _as_of,
         "scorecard_from_files": lambda s, d: extracts.with_plain_numbers(_card_from_files(s, d)),
+        "workforce_fractional": _fractional(lambda fact, trusts, _: views.workforce(fact, trusts)),
+        "kpis_fractional": _fractional(views.kpis),
         "national_trend_from_files": lambda s, d: trend.national_trend(_card_from_files(s, d)),
         # enrichment
         "normalise_sectors": _normalised,

@@ -302,9 +302,14 @@ def publish(lines: DataFrame, folder: str, parts: int = 4) -> None:
         files.rename(found.getPath(), hadoop_path(spark, f"{folder}/{name}")[1])
 
 
-def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The yearly account lines as files hold them, of all worksheets: published headers, all text, prior years too."""
+def raw_accounts(spark: SparkSession, sf_dir: str, fractions: bool = False) -> DataFrame:
+    """The yearly account lines as files hold them, of all worksheets: published headers, all text, prior years too.
+
+    With ``fractions`` the staff lines have three more digits behind the point.
+    """
     lines = facts(spark, sf_dir, include_prior=True)
+    behind = "lpad(CAST((CAST(org_code AS BIGINT) * 7 + CAST(substr(sub_code, 4) AS INT)) % 100 AS STRING), 2, '0')"
+    shown = "format_number(total_000s, 0)"
     return lines.selectExpr(
         "concat(' SUPPLIER#', org_code, ' ') AS OrganisationName",
         "worksheet_name AS WorkSheetName",
@@ -312,7 +317,7 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "main_code AS MainCode",
         "'1' AS RowNumber",
         "concat(sub_code, ' ') AS SubCode",
-        "format_number(total_000s, 0) AS Total",
+        f"CASE WHEN sub_code LIKE 'STA%' THEN concat({shown}, '.', {behind}, '9') ELSE {shown} END AS Total" if fractions else f"{shown} AS Total",
         """concat(CASE trust_type WHEN 'NHS_TRUST' THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
             replace(financial_year, '/', '-')) AS source_file""",
     )

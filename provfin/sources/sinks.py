@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from provfin.functions.expr import scale_of
 from provfin.functions.session import materialise
 from provfin.operators.ingest import REFUSALS, flagged_lines
 from provfin.operators.merge import build_dim_trust, merge_facts
@@ -50,6 +51,9 @@ def promote_into(path: str, incoming: DataFrame, years: list[str] | None = None)
     if existing is None:
         replace_partitions(incoming, path)
         return
+    kept, given = (scale_of(side, "total_000s") for side in (existing, incoming))
+    if kept != given:
+        raise ValueError(f"totals of the table keep {kept} fractional digits, those of the load {given}")
     if years is None:
         incoming = materialise(incoming)
         years = [row[0] for row in incoming.select("financial_year").distinct().collect()]

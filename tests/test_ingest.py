@@ -1,6 +1,7 @@
 """Published extracts: headers, dirty values, upserts, files and periods."""
 
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -9,7 +10,7 @@ from provfin import refdata
 from provfin.functions import expr
 from provfin.operators import ingest, merge
 from provfin.operators.ranking import ntile
-from provfin.plans import audit, extracts
+from provfin.plans import audit, extracts, views
 from provfin.sources import fixture as fx
 from provfin.sources import readers, sinks
 
@@ -51,6 +52,55 @@ def test_dirty_totals_and_dropped_rows(spark):
     assert clean == {"a": 1234, "b": 0, "c": 12, "e": -7, "j": 5, "k": 5}
 
 
+def test_totals_keep_the_fractions_asked_for(spark):
+    rows = [
+        line(total="1,234.567", code="a"), line(total="-7.999", code="b"), line(total="x", code="c"), line(total="0.29", code="d"),
+        line(total="99999999999999.99", code="e"), line(total="1.5e2", code="f"), line(total="-99,999,999,999,999.99", code="g"),
+        line(total="100000000000000", code="h"),
+    ]
+    exact = {"a": "1234.56", "b": "-7.99", "c": "0.00", "d": "0.29", "e": "99999999999999.99", "f": "150.00", "g": "-99999999999999.99"}
+    clean = ingest.clean_lines(lines(spark, rows), scale=2)
+    assert {r.sub_code: str(r.total) for r in clean.collect()} == exact
+    fact = merge.promote_lines(clean, ingest.clean_providers(providers(spark, [("Org A", "RAA", None, FILE)])))
+    assert {r.sub_code: str(r.total_000s) for r in fact.collect()} == exact
+    four = ingest.clean_lines(lines(spark, [line(total="-0.00019", row="9223372036854775807"), line(total="2", row="-9")]), scale=4)
+    fact = merge.promote_lines(four, ingest.clean_providers(providers(spark, [("Org A", "RAA", None, FILE)])))
+    assert [str(r.total_000s) for r in fact.collect()] == ["-0.0001"]
+    with pytest.raises(ValueError, match="fractional digits"):
+        ingest.clean_lines(lines(spark, [line()]), scale=5)
+
+
+def test_fractions_reach_the_views_and_a_table_keeps_one_scale(spark, tmp_path):
+    staff = [line(sheet="TAC09 Staff", main="A09CY01", code="STA0410", total="10.25"), line(sheet="TAC09 Staff", main="A09CY01", code="STA0550", total="4.5"),
+             line(code="EXP0130", total="100"), line(sheet="TAC02 SoCI", main="A02CY01", code="SCI0100A", total="400")]
+    listed = ingest.clean_providers(providers(spark, [("Org A", "RAA", None, FILE)]))
+    load = lambda scale: merge.promote_lines(ingest.clean_lines(lines(spark, staff), scale), listed)
+    trusts, codes = merge.build_dim_trust(listed), refdata.dim_subcode(spark)
+    row = views.workforce(load(2), trusts).first()
+    assert (row.total_wte, row.avg_days_lost_per_wte) == (Decimal("10.25"), Decimal("4.50"))
+    assert views.kpis(load(2), trusts, codes).first().cost_per_wte_000s == Decimal("9.8")
+    assert views.kpis(load(0), trusts, codes).first().cost_per_wte_000s == Decimal("10.0")
+    sinks.promote_into(str(tmp_path / "fact"), load(2))
+    sinks.promote_into(str(tmp_path / "fact"), load(2))
+    assert views.workforce(spark.read.parquet(str(tmp_path / "fact")), trusts).first().total_wte == Decimal("10.25")
+    with pytest.raises(ValueError, match="fractional digits"):
+        sinks.promote_into(str(tmp_path / "fact"), load(0))
+
+
+def test_one_pass_gives_the_four_views(spark, sf_dir):
+    fact, trust, codes = fx.facts(spark, sf_dir), fx.dim_trust(spark, sf_dir), refdata.dim_subcode(spark).filter("sub_code <> 'EXP0170'")
+    lost = fact.filter("NOT (worksheet_name = 'TAC08 Op Exp' AND CAST(org_code AS BIGINT) % 3 = 0 AND sub_code <> 'EXP0170')")
+    narrow = views.narrow_views(views.wide_rows(lost, codes), trust)
+    direct = {
+        "income_expenditure": views.income_expenditure(lost, trust), "expenditure_breakdown": views.expenditure_breakdown(lost, trust, codes),
+        "workforce": views.workforce(lost, trust), "kpis": views.kpis(lost, trust, codes),
+    }
+    for name, df in direct.items():
+        assert narrow[name].columns == df.columns
+        rows = [sorted(map(str, frame.collect())) for frame in (narrow[name], df)]
+        assert rows[0] == rows[1] and rows[0]
+
+
 def test_file_names(spark):
     names = spark.createDataFrame([("TAC_NHS_Foundation_trusts_2021-22.csv",), (FILE,)], "f string")
     rows = names.selectExpr(ingest.derive_financial_year("f") + " AS y", ingest.derive_trust_type("f") + " AS t").collect()
