@@ -66,27 +66,33 @@ class Search:
         self.automaton.make_automaton()
 
     def fuzzy(self, text: str) -> list[tuple[str, int, int, int]]:
-        """Label, begin, end and errors of every notice in a text of words between blanks, best first where they overlap."""
-        windows: dict[int, list[list[int]]] = {}
+        """Label, begin, end and errors of every notice in texts of words between blanks, best first where they overlap.
+
+        A line feed parts two texts, and no place reaches over one. Overlapping windows of a notice are searched as one, so a place is
+        told once, whichever of its parts were found.
+        """
+        windows: dict[int, list[tuple[int, int]]] = {}
         for last, (size, of) in self.automaton.iter(text):
             for i, at in of:
                 notice, _, k = self.notices[i]
                 begin = max(last + 1 - size - at - k - 1, 0)
                 end = min(last + 1 - size - at + len(notice) + k + 1, len(text))
-                known = windows.setdefault(i, [])
-                if known and begin <= known[-1][1]:
-                    known[-1][1] = max(known[-1][1], end)
-                    known[-1][0] = min(known[-1][0], begin)
-                else:
-                    known.append([begin, end])
+                before, after = text.rfind("\n", begin, last + 1 - size), text.find("\n", last + 1, end)
+                windows.setdefault(i, []).append((begin if before < 0 else before + 1, end if after < 0 else after + 1))
         out = []
-        for i, places in windows.items():
+        for i, found in windows.items():
             _, label, k = self.notices[i]
+            places: list[tuple[int, int]] = []
+            for begin, end in sorted(found):
+                if places and begin < places[-1][1]:
+                    places[-1] = (places[-1][0], max(places[-1][1], end))
+                else:
+                    places.append((begin, end))
             while places:
                 begin, end = places.pop()
                 if (m := self.patterns[i].search(text, begin, end)) is not None:
                     out.append((label, m.start(), m.end(), sum(m.fuzzy_counts) if k else 0))
-                    places += [[begin, m.start()], [m.end(), end]]  # what is left on either side of the best
+                    places += [(begin, m.start()), (m.end(), end)]  # what is left on either side of the best
         return out
 
 
@@ -136,8 +142,6 @@ def scan(data: np.ndarray, offsets: np.ndarray) -> tuple[list[list[dict]], np.nd
     def note(label: str, a: int, b: int, errors: int, exact: bool) -> None:
         a, b = place(a), place(b)
         text = int(np.searchsorted(texts, a, side="right")) - 1
-        if b > texts[text + 1]:
-            return
         origin = int(np.searchsorted(begin, texts[text]))
         first, last = int(np.searchsorted(begin, a)) - origin, int(np.searchsorted(begin, b)) - 1 - origin
         out[text].append({"label": label, "first_word": first, "last_word": last, "errors": errors, "exact": exact})

@@ -73,6 +73,29 @@ def test_fuzzy_labels_match_all_stretches():
     assert sum(any(not s["exact"] and s["errors"] for s in f) for f in found) > 80
 
 
+def test_a_place_is_told_once():
+    rng = random.Random(8)
+    pieces = ["gnu lesser general public license", "gnu general public licens", "gnu", "general public", "public license", "general public licens", "mozilla publik license"]
+    search, several = licenses.Search(), 0
+    for _ in range(300):
+        text = "\n" + " ".join(rng.choices(pieces, k=rng.randint(1, 8))) + " "
+        by_notice = {}
+        for label, a, b, _ in search.fuzzy(text):
+            by_notice.setdefault(label, []).append((a, b))
+        for spans in by_notice.values():
+            spans.sort()
+            several += len(spans) > 1
+            assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:])), text
+    assert several > 30
+
+
+def test_places_end_with_their_text():
+    texts = ["the mozilla public licens", "e mozilla public license", "gnu general publi", "c license", "apache", "license apache license"]
+    found, _ = licenses.scan(*columns.flat(pa.array(texts)))
+    fuzzy = [[(s["label"], s["first_word"], s["last_word"], s["errors"]) for s in f if not s["exact"]] for f in found]
+    assert fuzzy == [[("mpl", 1, 3, 1)], [("mpl", 1, 3, 0)], [], [], [], [("apache", 1, 2, 0)]]
+
+
 def test_base_columns_match_a_plain_search(spark, odd_docs):
     rng = random.Random(5)
     texts = noisy(rng) + ["MIT license, mit-license; Apache\nLicense cc by cc by cc by-nc"] + ["a b " * 9000 + "mit license " * 3]
