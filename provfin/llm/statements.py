@@ -48,4 +48,18 @@ SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped,
 FROM d LEFT JOIN kept USING (r)
 """
 
-SQL = {"op1_substring_dedup": SUBSTRINGS, "op5_decontamination": DECONTAMINATION, "op11_line_dedup": LINES}
+_IN_ORDER = "ORDER BY turn NULLS FIRST, role NULLS FIRST, said NULLS FIRST"
+_ESCAPED = r"(2 * length({0}) - length(translate({0}, '<[]\', '')))"
+
+CHAT = rf"""
+WITH given AS (SELECT conv_id, turn, role, text AS said FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, coalesce(role, '') AS who, coalesce(said, '') AS body FROM given)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns, sha256(string_agg(who || chr(10) || body || chr(10), '' {_IN_ORDER})) AS turns_sha256,
+       CAST(sum(CASE WHEN who = 'assistant' THEN length(body) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(body, '' {_IN_ORDER}) FILTER (WHERE who = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_ESCAPED.format("who")} + {_ESCAPED.format("body")} + 10) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+SQL = {"op1_substring_dedup": SUBSTRINGS, "op5_decontamination": DECONTAMINATION, "op9_chat_formatting": CHAT, "op11_line_dedup": LINES}
