@@ -110,8 +110,8 @@ def rag_below(value: str, green_below, amber_below) -> str:
 
 
 def scale_of(df: DataFrame, column: str) -> int:
-    """Fractional digits that a column keeps."""
-    kind = df.schema[column].dataType
+    """Fractional digits that a column keeps; 0 for a missing column, which the plan that reads it reports."""
+    kind = next((f.dataType for f in df.schema.fields if f.name == column), None)
     return kind.scale if isinstance(kind, DecimalType) else 0
 
 
