@@ -177,17 +177,23 @@ def facts(
         for ws, suffix, code, value in ACCOUNT_LINES
     )
     return (
-        year.selectExpr("l_suppkey", "start_year", f"{year_type} AS year_type", f"inline(array({unfolded}))")
-        .filter("total IS NOT NULL")
-        .selectExpr(
+        year.selectExpr(
             f"{org_code('l_suppkey')} AS org_code",
             f"{expr.year_label('start_year')} AS financial_year",
+            f"{trust_type('l_suppkey')} AS trust_type",
+            f"{year_type} AS year_type",
+            f"inline(array({unfolded}))",
+        )
+        .filter("total IS NOT NULL")
+        .selectExpr(
+            "org_code",
+            "financial_year",
             "worksheet_name",
             "CAST(1 AS SMALLINT) AS table_id",
             "concat('A', substr(worksheet_name, 4, 2), year_type, '01', suffix) AS main_code",
             "sub_code",
             "CAST(total AS DECIMAL(14,0)) AS total_000s",
-            f"{trust_type('l_suppkey')} AS trust_type",
+            "trust_type",
             "'fixture' AS source_file",
         )
     )
@@ -251,6 +257,15 @@ def _by_slot(values: list[str]) -> str:
     return f"element_at(array({listed}), CAST(slot AS INT) + 1)"
 
 
+def _unfolded(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Texts of a published row, unfolded from a one-element array: filters and cleaning read them and do not write them out again.
+
+    Written out for each use, they make a generated method of more than 8,000 bytes, which the JVM never compiles.
+    """
+    row = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
+    return rows.selectExpr(f"inline(array(struct({row})))")
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One published account line per shipped line, under the published headers, all text.
 
@@ -282,9 +297,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_file": """concat(CASE WHEN l_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
             start_year, '-', lpad((start_year + 1) % 100, 2, '0'))""",
     }
-    # Unfolded from a one-element array, so that filters on these texts do not write them out a second time.
-    row = ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
-    return lines.selectExpr(f"inline(array(struct({row})))")
+    return _unfolded(lines, columns)
 
 
 def publish(lines: DataFrame, folder: str, parts: int = 4) -> None:
@@ -307,20 +320,22 @@ def raw_accounts(spark: SparkSession, sf_dir: str, fractions: bool = False) -> D
 
     With ``fractions`` the staff lines have three more digits behind the point.
     """
-    lines = facts(spark, sf_dir, include_prior=True)
+    # Counting the lines ends the generated method that sums and unfolds; with the texts in it too, the JVM would not compile it.
+    lines = facts(spark, sf_dir, include_prior=True).observe("account_lines", F.count(F.lit(1)).alias("lines"))
     behind = "lpad(CAST((CAST(org_code AS BIGINT) * 7 + CAST(substr(sub_code, 4) AS INT)) % 100 AS STRING), 2, '0')"
     shown = "format_number(total_000s, 0)"
-    return lines.selectExpr(
-        "concat(' SUPPLIER#', org_code, ' ') AS OrganisationName",
-        "worksheet_name AS WorkSheetName",
-        "CAST(table_id AS STRING) AS TableID",
-        "main_code AS MainCode",
-        "'1' AS RowNumber",
-        "concat(sub_code, ' ') AS SubCode",
-        f"CASE WHEN sub_code LIKE 'STA%' THEN concat({shown}, '.', {behind}, '9') ELSE {shown} END AS Total" if fractions else f"{shown} AS Total",
-        """concat(CASE trust_type WHEN 'NHS_TRUST' THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
-            replace(financial_year, '/', '-')) AS source_file""",
-    )
+    columns = {
+        "OrganisationName": "concat(' SUPPLIER#', org_code, ' ')",
+        "WorkSheetName": "worksheet_name",
+        "TableID": "CAST(table_id AS STRING)",
+        "MainCode": "main_code",
+        "RowNumber": "'1'",
+        "SubCode": "concat(sub_code, ' ')",
+        "Total": f"CASE WHEN sub_code LIKE 'STA%' THEN concat({shown}, '.', {behind}, '9') ELSE {shown} END" if fractions else shown,
+        "source_file": """concat(CASE trust_type WHEN 'NHS_TRUST' THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
+            replace(financial_year, '/', '-'))""",
+    }
+    return _unfolded(lines, columns)
 
 
 def raw_providers(spark: SparkSession, sf_dir: str, moving: bool = False) -> DataFrame:

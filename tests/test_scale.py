@@ -128,3 +128,15 @@ def test_year_to_date(spark):
 def test_fact_key_is_unique_with_prior_year_lines(spark, sf_dir):
     facts = fx.facts(spark, sf_dir, include_prior=True)
     assert facts.groupBy(*merge.FACT_KEY).count().filter("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("key", ["kpis_fractional", "workforce_fractional", "scorecard_from_files", "national_trend_from_files"])
+def test_cleaning_of_published_accounts_is_compiled(key, spark, sf_dir):
+    """Texts of a published line are written out once; the generated method that cleans them stays below 8,000 bytes, else the JVM interprets it."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        plan = entry.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan()
+        stages = debug.codegenStringSeq(plan)
+    cleaning = [s for s in map(stages.apply, range(stages.size())) if "DecimalFormat" in s._2()]
+    assert len(cleaning) == 1
+    assert cleaning[0]._3().maxMethodCodeSize() < 8000
