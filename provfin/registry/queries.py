@@ -61,8 +61,8 @@ def _card(s, d, years=None):
     return views.scorecard(_fact(s, d, years), *_dims(s, d))
 
 
-def _lines(s, d):
-    return ingest.clean_lines(fx.raw_lines(s, d))
+def _lines(s, d, years="true"):
+    return ingest.clean_lines(fx.raw_lines(s, d, years))
 
 
 def _providers(s, d):
@@ -235,7 +235,7 @@ def _replaced(s, d):
     lines = _lines(s, d)
     sinks.replace_partitions(lines.withColumn("total", F.expr("total + 1")), folder)
     for _ in range(2):
-        sinks.replace_partitions(lines.filter(F.col("financial_year") == YEAR), folder)
+        sinks.replace_partitions(_lines(s, d, f"start_year = {YEAR[:4]}").filter(F.col("financial_year") == YEAR), folder)
     return s.read.schema(lines.schema).parquet(folder).select(lines.columns)
 
 

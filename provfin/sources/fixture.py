@@ -266,10 +266,10 @@ def _unfolded(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.selectExpr(f"inline(array(struct({row})))")
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, years: str = "true") -> DataFrame:
     """One published account line per shipped line, under the published headers, all text.
 
-    Names differ in case and spacing, and some names, codes and totals are missing, unreadable or too large.
+    ``years`` (SQL text over ``start_year``) chooses lines before their texts are written out. Names differ in case and spacing, and some names, codes and totals are missing, unreadable or too large.
     """
     by_slot = [(ws, code) for first, last, ws, code in SLOTS for _ in range(first, last + 1)]
     codes = [code for _, code in by_slot]
@@ -282,7 +282,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{expr.fiscal_year_start(SHIP_DATE)} AS start_year",
         "l_orderkey * 8 + l_linenumber AS row_number",
         "l_orderkey + l_linenumber AS mix",
-    )
+    ).filter(years)
     columns = {
         "OrganisationName": f"""CASE WHEN mix % 3 <> 2 OR mix % 97 <> 0 THEN concat(
             CASE mix % 3 WHEN 0 THEN ' Supplier#' WHEN 1 THEN 'SUPPLIER#' ELSE 'Supplier#' END,

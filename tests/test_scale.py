@@ -140,3 +140,24 @@ def test_cleaning_of_published_accounts_is_compiled(key, spark, sf_dir):
     cleaning = [s for s in map(stages.apply, range(stages.size())) if "DecimalFormat" in s._2()]
     assert len(cleaning) == 1
     assert cleaning[0]._3().maxMethodCodeSize() < 8000
+
+
+def _texts_written(spark, sf_dir, run) -> list[int]:
+    """Lines for which the plans that ``run`` executes have written texts out, in order, by the rows that reach the one-element array."""
+    seen, whole = [], fx._unfolded
+
+    def counted(rows, columns):
+        seen.append(rows.count())
+        return whole(rows, columns)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(fx, "_unfolded", counted)
+        run()
+    return seen
+
+
+def test_replaced_year_is_chosen_before_its_texts_are_written(spark, sf_dir):
+    whole = fx.raw_lines(spark, sf_dir).count()
+    seen = _texts_written(spark, sf_dir, lambda: entry.queries()["stg_replace"](spark, sf_dir))
+    assert seen[0] == whole and len(seen) == 3
+    assert max(seen[1:]) < whole / 3
