@@ -349,17 +349,18 @@ def raw_providers(spark: SparkSession, sf_dir: str, moving: bool = False) -> Dat
     listed = years.join(suppliers, years.l_suppkey == suppliers.s_suppkey)
     late = f"start_year >= {YEAR[:4]}"
     shown = sector(f"(s_suppkey + CASE WHEN s_suppkey % 11 = 5 AND start_year = {PRIOR[:4]} THEN 1 ELSE 0 END)") if moving else sector("s_suppkey")
-    return listed.selectExpr(
-        f"""CASE WHEN s_suppkey % 19 = 18 AND {late} THEN concat(s_name, ' Group')
-            ELSE concat(' ', s_name) END AS `Full name of Provider`""",
-        f"""CASE WHEN s_suppkey % 46 = 22 THEN '7Q'
-            WHEN s_suppkey % 46 <> 45 THEN concat({org_code("s_suppkey")}, ' ') END AS `NHS code`""",
-        "r_name AS Region",
-        f"CASE WHEN NOT (s_suppkey % 13 = 12 AND {late}) THEN {shown} END AS Sector",
-        "CAST(NULL AS STRING) AS `Comments `",
-        f"""concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
-                  replace({expr.year_label('start_year')}, '/', '-')) AS source_file""",
-    )
+    columns = {
+        "`Full name of Provider`": f"CASE WHEN s_suppkey % 19 = 18 AND {late} THEN concat(s_name, ' Group') ELSE concat(' ', s_name) END",
+        "`NHS code`": f"""CASE WHEN s_suppkey % 46 = 22 THEN '7Q'
+            WHEN s_suppkey % 46 <> 45 THEN concat({org_code("s_suppkey")}, ' ') END""",
+        "Region": "r_name",
+        "Sector": f"CASE WHEN NOT (s_suppkey % 13 = 12 AND {late}) THEN {shown} END",
+        "`Comments `": "CAST(NULL AS STRING)",
+        "source_file": f"""concat(CASE WHEN s_suppkey % 3 = 0 THEN 'TAC_NHS_trusts_' ELSE 'TAC_NHS_foundation_trusts_' END,
+            replace({expr.year_label('start_year')}, '/', '-'))""",
+    }
+    # Conditions on the year of a list would otherwise run on the name of its file for every shipped line, in a scan for each.
+    return _unfolded(listed, columns)
 
 
 # --- monthly returns -------------------------------------------------------------------------------

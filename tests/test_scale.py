@@ -161,3 +161,13 @@ def test_replaced_year_is_chosen_before_its_texts_are_written(spark, sf_dir):
     seen = _texts_written(spark, sf_dir, lambda: entry.queries()["stg_replace"](spark, sf_dir))
     assert seen[0] == whole and len(seen) == 3
     assert max(seen[1:]) < whole / 3
+
+
+@pytest.mark.parametrize("key", ["final_counts", "dim_trust_build"])
+def test_provider_lists_of_all_years_come_from_one_scan(key, spark, sf_dir):
+    """Lists of the earlier and the later years have one reading of the lines between them, without a file name for each line."""
+    with settings(spark, spark__sql__adaptive__enabled="false"):
+        plan = entry.queries()[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    years = [ln for ln in plan.splitlines() if "FileScan" in ln and "lineitem.parquet" in ln and "l_extendedprice" not in ln]
+    assert len(years) == 1
+    assert "ReusedExchange" in plan
