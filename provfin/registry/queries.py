@@ -96,10 +96,10 @@ def _fractional(view):
 def _from_stream(s, d):
     """Published files promoted as a stream: those of the earlier years, then the rest, which a second run finds."""
     folder = working_folder(s)
-    lines, providers = fx.raw_lines(s, d), _providers(s, d)
-    latest = f"{ingest.derive_financial_year('source_file')} >= '{YEAR}'"
-    for chosen in (f"NOT ({latest})", latest):
-        fx.publish(lines.filter(chosen), f"{folder}/raw")
+    providers = materialise(_providers(s, d))
+    latest = f"coalesce(start_year >= {YEAR[:4]}, false)"
+    for chosen in (f"NOT {latest}", latest):
+        fx.publish(fx.raw_lines(s, d, chosen), f"{folder}/raw")
         intake.promote_new(s, f"{folder}/raw", providers, f"{folder}/fact", f"{folder}/seen")
     return s.read.parquet(f"{folder}/fact").select(*merge.FACT_COLUMNS)
 

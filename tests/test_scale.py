@@ -171,3 +171,11 @@ def test_provider_lists_of_all_years_come_from_one_scan(key, spark, sf_dir):
     years = [ln for ln in plan.splitlines() if "FileScan" in ln and "lineitem.parquet" in ln and "l_extendedprice" not in ln]
     assert len(years) == 1
     assert "ReusedExchange" in plan
+
+
+def test_published_lines_are_chosen_before_their_texts_are_written(spark, sf_dir):
+    whole = fx.raw_lines(spark, sf_dir).count()
+    seen = _texts_written(spark, sf_dir, lambda: entry.queries()["fact_from_stream"](spark, sf_dir))
+    lines = [n for n in seen if n > 0]
+    assert len(lines) == 3  # one reading of the provider lists, and the lines of each of the two publications
+    assert lines[1] + lines[2] == whole
