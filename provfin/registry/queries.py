@@ -114,9 +114,9 @@ def _refreshed(s, d):
     before = fx.dim_trust(s, d).withColumn("region", F.expr(f"CASE WHEN {number} % 40 = 1 THEN 'UNKNOWN' ELSE region END"))
     trusts, codes = _dims(s, d)
     refresh.refresh_into(card, s.read.parquet(fact), [], before, codes)
-    late = whole.filter(f"financial_year >= '{PRIOR}'")
+    late = materialise(whole.filter(f"financial_year >= '{PRIOR}'"))
     changed = materialise(refresh.touched(late, s.read.parquet(fact).filter(f"financial_year >= '{PRIOR}'")))
-    sinks.promote_into(fact, late)
+    sinks.promote_into(fact, late, refresh.years_of(late))
     facts = s.read.parquet(fact)
     refresh.refresh_into(card, facts, [changed, refresh.touched_by_trusts(facts, before, trusts)], trusts, codes)
     return extracts.with_plain_numbers(s.read.parquet(card).select(*views.SCORECARD_COLUMNS))

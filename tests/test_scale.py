@@ -179,3 +179,18 @@ def test_published_lines_are_chosen_before_their_texts_are_written(spark, sf_dir
     lines = [n for n in seen if n > 0]
     assert len(lines) == 3  # one reading of the provider lists, and the lines of each of the two publications
     assert lines[1] + lines[2] == whole
+
+
+def test_late_facts_of_a_refresh_are_derived_once(spark, sf_dir, monkeypatch):
+    from provfin.registry import queries
+
+    plans, promote = [], queries.sinks.promote_into
+
+    def seen(path, incoming, *years):
+        plans.append(incoming._jdf.queryExecution().optimizedPlan().toString())
+        promote(path, incoming, *years)
+
+    monkeypatch.setattr(queries.sinks, "promote_into", seen)
+    entry.queries()["scorecard_refresh"](spark, sf_dir)
+    assert len(plans) == 2
+    assert "l_extendedprice" in plans[0] and "l_extendedprice" not in plans[1]
